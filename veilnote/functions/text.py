@@ -53,8 +53,11 @@ def fold_case(c: Column) -> Column:
     Upper then lower, with dotted capital I and final sigma levelled, so that
     any two strings equal under the ignore-case regex flags fold to one value.
     """
-    lowered = F.lower(F.upper(c))
-    return F.translate(F.replace(lowered, F.lit("i̇"), F.lit("i")), "ς", "σ")
+    def level(low: Column) -> Column:
+        odd = F.contains(low, F.lit("i̇")) | F.contains(low, F.lit("ς"))
+        return F.when(odd, F.translate(F.replace(low, F.lit("i̇"), F.lit("i")), "ς", "σ")).otherwise(low)
+
+    return bind(F.lower(F.upper(c)), level)
 
 
 def word_tokens(c: Column) -> Column:
@@ -82,17 +85,22 @@ def any_case_pattern(c: Column) -> Column:
 
 
 def ngrams(tokens: Column, sizes) -> Column:
-    """Distinct space-joined token runs of the given sizes."""
-    def runs(words: Column, n: int) -> Column:
-        if n == 1:
-            return words
-        starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
-        return F.transform(starts, lambda t, i: F.concat_ws(
-            " ", t, *[F.get(words, i + j) for j in range(1, n)]))
-
-    if not sizes:
-        return empty_strings()
-    return bind(tokens, lambda words: F.array_distinct(F.concat(*[runs(words, n) for n in sizes])))
+    """Distinct space-joined token runs of the given sizes.
+
+    Runs of n words are the runs of n - 1 words zipped with the words n - 1
+    places further on.
+    """
+    def all_runs(words: Column) -> Column:
+        kept, run = [], words
+        for n in range(1, max(sizes) + 1):
+            if n > 1:
+                run = F.zip_with(run, F.slice(words, F.lit(n), F.size(words)),
+                                 lambda head, word: F.concat(head, F.lit(" "), word))
+            if n in sizes:
+                kept.append(run)
+        return F.array_compact(F.array_distinct(F.concat(*kept)))
+
+    return bind(tokens, all_runs) if sizes else empty_strings()
 
 
 def py_quoted_list(values: Column) -> Column:

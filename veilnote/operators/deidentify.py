@@ -3,24 +3,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.detectors import detect_locations
 from ..functions.spans import find_spans, merge_spans, span_hits, splice_spans
-from ..functions.verify import no_hits, quarantine_reason, total_hits
+from ..functions.verify import quarantine_reason, total_hits
 from ..session import cut_lineage
 from .known_values import KINDS, known_value_steps
-from .matching import apply_forms, value_forms, value_keys, word_forms, word_keys
+from .matching import apply_forms, value_forms, value_keys, with_context, word_forms, word_keys
 from .surfaces import dictionary_steps, word_steps
 
 
 def start(notes: DataFrame, text: str = "note") -> DataFrame:
-    """Add the working text, empty hits and the places of the unedited text.
-
-    Places are looked up before any pass edits the text, and only the short
-    list of them is carried along, not a second copy of the text.
-    """
-    return notes.select(
-        "*", F.col(text).alias("text"), no_hits().alias("hits"),
-        detect_locations(F.col(text)).alias("locations"))
+    """The working frame: the text column is edited in place from here on."""
+    return notes.withColumnRenamed(text, "text")
 
 
 def redact_words(work: DataFrame, roster: DataFrame | None = None, staff: DataFrame | None = None) -> DataFrame:
@@ -47,7 +40,7 @@ def pattern_pass(text: Column, locations: Column) -> Column:
 
 
 def redact_patterns(work: DataFrame) -> DataFrame:
-    done = work.withColumn("spliced", pattern_pass(F.col("text"), F.col("locations")))
+    done = with_context(work).withColumn("spliced", pattern_pass(F.col("text"), F.col("locations")))
     return done.withColumn("text", F.col("spliced.text")).withColumn(
         "hits", F.concat("hits", "spliced.hits")).drop("spliced")
 
@@ -60,7 +53,7 @@ def verify_residuals(work: DataFrame) -> DataFrame:
 
 def finish(work: DataFrame) -> DataFrame:
     """Working columns to result columns, counts both as map and in order."""
-    out = verify_residuals(work).withColumn("counts", total_hits(F.col("hits")))
+    out = verify_residuals(with_context(work)).withColumn("counts", total_hits(F.col("hits")))
     return out.withColumn("substitutions", F.map_from_entries("counts")).withColumnRenamed(
         "text", "deidentified_text").drop("hits", "locations")
 
@@ -77,9 +70,10 @@ def deidentify(
 ) -> DataFrame:
     """De-identify notes (unique ``note_id`` and a text column).
 
-    Adds ``deidentified_text``, ``is_quarantined``, ``quarantine_reason``,
-    ``counts`` (ordered) and ``substitutions`` (map).  A later phase searches
-    the text an earlier one produced.  With ``cut`` the text is checkpointed
+    The text column is replaced by ``deidentified_text``; adds
+    ``is_quarantined``, ``quarantine_reason``, ``counts`` (ordered) and
+    ``substitutions`` (map).  Places are those of the unedited text; a later
+    phase searches the text an earlier one produced.  With ``cut`` the text is checkpointed
     between phases, so it is produced once instead of once for finding the next
     candidates and once for editing; use it for long-running jobs.
     """

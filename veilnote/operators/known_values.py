@@ -48,18 +48,21 @@ def known_value_steps(roster: DataFrame, kinds=tuple(KINDS), normalise_dob: bool
 
 
 def _first_of_equal(rows: DataFrame) -> DataFrame:
-    """Keep the first step of each pattern.
+    """Keep the first step of each pattern, for id numbers also the last.
 
     Once a value was replaced nothing is left for a second participant with the
     same value (a shared phone, ``N/A``), unless the value can occur in a tag.
-    Aggregated on the map side, so a value shared by a third of the roster
-    costs one row per task.
+    An id number must stand alone, and edits for others in between may set one
+    free, so it is searched again at its last holder.  Aggregated on the map
+    side, so a value shared by a third of the roster costs one row per task.
     """
     low = F.lower("form")
     in_tag = low.contains("[") | low.contains("]")
     for tag in _TAGS:
         in_tag = in_tag | F.contains(F.lit(tag), low)
     keep_apart = F.when(in_tag, F.struct("major", "kind", "variant"))
-    firsts = rows.groupBy("pattern", keep_apart.alias("apart")).agg(
-        F.min(F.struct("pass_no", "major", "kind", "variant", "form", "tag", "label", "once")).alias("f"))
-    return firsts.select("f.*", "pattern")
+    entry = F.struct("pass_no", "major", "kind", "variant", "form", "tag", "label", "once")
+    grouped = rows.groupBy("pattern", keep_apart.alias("apart")).agg(
+        F.min(entry).alias("first"), F.max(entry).alias("last"))
+    kept = F.when(F.col("first.kind") == NDIS, F.array_distinct(F.array("first", "last"))).otherwise(F.array("first"))
+    return grouped.select("pattern", F.explode(kept).alias("f")).select("f.*", "pattern")

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.detectors import detect_locations
 from ..functions.text import (
     bind, empty_strings, fold_case, ngrams, quote_literal, quote_replacement,
     word_pattern, word_tokens,
@@ -31,7 +32,7 @@ from ..functions.text import (
 from ..functions.verify import HITS_TYPE, no_hits
 from ..session import fits_broadcast
 
-MAX_RUN = 5            # longer forms are keyed by their first MAX_RUN words
+MAX_RUN = 3            # longer forms are keyed by their first MAX_RUN words
 GRAMS = (5, 8, 10, 12, 16)
 AT_CONTEXT = 64
 EVERY_NOTE = ""        # key of forms that are candidates of every note
@@ -57,13 +58,15 @@ def _step(**parts: Column) -> Column:
         "pass_no", "major", "kind", "variant", "form", "tag", "label", "pattern", "once")]).cast(STEP_TYPE)
 
 
-def _measure(table: DataFrame, size: Column) -> dict:
+def _measure(table: DataFrame, size: Column, odd: Column | None = None) -> dict:
+    """One small job over the forms: size, key sizes, special keys."""
     return table.agg(
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.length("key") + 2 * F.length(F.col("step")["form"]) + 120), F.lit(0)).alias("bytes"),
         F.collect_set(size).alias("sizes"),
         F.coalesce(F.bool_or(F.col("key") == EVERY_NOTE), F.lit(False)).alias("every_note"),
         F.coalesce(F.bool_or(F.contains(F.col("key"), F.lit("@"))), F.lit(False)).alias("emails"),
+        F.coalesce(F.bool_or(F.lit(False) if odd is None else odd), F.lit(False)).alias("odd"),
     ).first().asDict()
 
 
@@ -89,12 +92,19 @@ def word_forms(steps: DataFrame, codes: bool) -> KeyedForms:
     Forms equal but for case are one step of a pass unless re-entrant: after
     the first one ran nothing is left for the others.
     """
+    table = _keyed_words(steps, codes, edges=False)
+    edge = F.col("step")["form"].rlike(r"(?U)^\W|\W$")
+    seen = _measure(table, F.size(F.split("key", " ")), edge)
+    if codes and seen["odd"]:       # words may be glued to a code: wider re-entrant test
+        table = _keyed_words(steps, codes, edges=True)
+        seen = _measure(table, F.size(F.split("key", " ")), edge)
+    return KeyedForms(table, sorted(seen["sizes"]), seen["every_note"], False,
+                      fits_broadcast(seen["rows"], seen["bytes"]))
+
+
+def _keyed_words(steps: DataFrame, codes: bool, edges: bool) -> DataFrame:
     tags = ["staff_name", "carer_name", "participant", "organization", "location"]
     rows = steps.withColumn("tokens", word_tokens(F.col("form")))
-    edges = False
-    if codes:
-        edge = F.col("form").rlike(r"(?U)^\W|\W$")
-        edges = bool(rows.agg(F.coalesce(F.bool_or(edge), F.lit(False))).first()[0])
     rows = rows.withColumn("reentrant", _reentrant(
         F.col("tokens"), F.col("form"), F.array(*[F.lit(t) for t in tags]), codes, edges))
     rows = rows.withColumn("fold", F.when(F.col("reentrant"), F.col("form")).otherwise(fold_case(F.col("form"))))
@@ -108,12 +118,9 @@ def word_forms(steps: DataFrame, codes: bool) -> KeyedForms:
     plain = F.filter("r.tokens", lambda t: ~t.rlike(r"part$|^\d") & ~t.isin(*tags))
     direct = F.struct(F.array_join(F.slice("r.tokens", 1, MAX_RUN), " ").alias("key"), F.lit(False).alias("reentrant"))
     again = F.struct(F.coalesce(F.get(plain, F.lit(0)), F.lit(EVERY_NOTE)).alias("key"), F.lit(True).alias("reentrant"))
-    keyed = first.select(step.alias("step"), F.explode(
-        F.when(F.col("r.reentrant"), F.array(direct, again)).otherwise(F.array(direct))).alias("k"))
-    table = keyed.select("k.key", "k.reentrant", "step")
-    seen = _measure(table, F.size(F.split("key", " ")))
-    return KeyedForms(table, sorted(seen["sizes"]), seen["every_note"], False,
-                      fits_broadcast(seen["rows"], seen["bytes"]))
+    return first.select(step.alias("step"), F.explode(
+        F.when(F.col("r.reentrant"), F.array(direct, again)).otherwise(F.array(direct))).alias("k")).select(
+        "k.key", "k.reentrant", "step")
 
 
 def word_keys(text: Column, forms: KeyedForms) -> Column:
@@ -171,8 +178,8 @@ def candidates(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str =
         return exploded.join(F.broadcast(forms.table), "key").select(note_id, "reentrant", "step")
     salt = F.when(F.col("key") == EVERY_NOTE, F.pmod(F.xxhash64(note_id), F.lit(_SALTS))).otherwise(F.lit(0))
     salts = F.when(F.col("key") == EVERY_NOTE, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = forms.table.withColumn("salt", F.explode(salts).cast("long"))
-    return exploded.withColumn("salt", salt.cast("long")).join(right, ["key", "salt"]).select(
+    right = forms.table.withColumn("salt", F.explode(salts))
+    return exploded.withColumn("salt", salt.cast("int")).join(right, ["key", "salt"]).select(
         note_id, "reentrant", "step")
 
 
@@ -206,17 +213,27 @@ def fold_steps(text: Column, steps: Column) -> Column:
     return F.when(F.size(steps) > 0, F.aggregate(steps, start, apply)).otherwise(start)
 
 
-def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text", hits: str = "hits") -> DataFrame:
+def with_context(work: DataFrame, text: str = "text") -> DataFrame:
+    """Add the empty hits and the places of the text, where still missing."""
+    if "locations" not in work.columns:
+        work = work.withColumn("locations", detect_locations(F.col(text)))
+    if "hits" not in work.columns:
+        work = work.withColumn("hits", no_hits())
+    return work
+
+
+def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text") -> DataFrame:
     """Find candidates of each note and fold them into its text and hits.
 
-    Notes are shuffled once, by note id; a later phase on the result finds
-    them already in place.
+    Notes are shuffled once, by note id and with nothing but their own columns;
+    a later phase on the result finds them already in place.
     """
     steps = candidate_steps(notes, keys_of(F.col(text), forms), forms)
-    folded = notes.join(steps.hint("shuffle_hash"), "note_id", "left").withColumn(
+    joined = with_context(notes.join(steps.hint("shuffle_hash"), "note_id", "left"), text)
+    folded = joined.withColumn(
         "folded", fold_steps(F.col(text), F.coalesce(F.col("steps"), F.array().cast(STEPS_TYPE))))
     return folded.withColumn(text, F.col("folded.text")).withColumn(
-        hits, F.concat(F.col(hits), F.col("folded.hits"))).drop("steps", "folded")
+        "hits", F.concat("hits", "folded.hits")).drop("steps", "folded")
 
 
 def matches(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text") -> DataFrame:

@@ -59,3 +59,20 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     larger side is left to an ordinary shuffle join.
     """
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+_FEW_SPLITS: dict[tuple, bool] = {}
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Read Parquet; a scan with fewer splits than cores is spread over them.
+
+    Text work is heavy per row, and a single small file would be one task.
+    Larger scans stay as they are.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    known = (path, spark.sparkContext.applicationId)
+    if known not in _FEW_SPLITS:
+        _FEW_SPLITS[known] = df.rdd.getNumPartitions() < cores
+    return df.repartition(cores) if _FEW_SPLITS[known] else df
