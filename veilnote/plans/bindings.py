@@ -132,6 +132,27 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         note.otherwise("  ").alias("note"))
 
 
+def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export rows under the logical fields: mixed date formats and name columns."""
+    n = F.col("src_row")
+    day = F.to_date("created_at")
+    split_names = F.col("src_file") == "f0"
+    nameless = n % 11 == 0
+    full = F.concat_ws(" ", "first_name", "last_name")
+    date = (F.when(n % 5 == 0, F.date_format(day, "d/M/yyyy")).when(n % 5 == 1, F.col("created_at"))
+            .when(n % 5 == 2, F.date_format(day, "dd/MM/yy")).when(n % 5 == 3, "").otherwise("junk"))
+    return notes(spark, sf_dir).select(
+        "src_file", "src_row", date.alias("date"),
+        F.when(split_names & ~nameless, F.col("first_name")).otherwise("").alias("first_name"),
+        F.when(split_names & ~nameless, F.col("last_name")).otherwise("").alias("last_name"),
+        F.when(~split_names & ~nameless, full).otherwise("").alias("full_name"),
+        F.trim("note").alias("note"),
+        F.when(F.col("src_file") == "f2", "").when(n % 2 == 0, F.upper("staff")).otherwise(F.col("staff")).alias("staff"),
+        F.when(F.col("src_file") == "f2", "").otherwise(F.col("ndis_number")).alias("ndis"),
+        F.when(F.col("src_file") == "f2", "").otherwise(F.col("date_of_birth")).alias("dob"),
+        F.lit(True).alias("has_note"), (~split_names).alias("has_full_name"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_spread(spark, f"{sf_dir}/documents.parquet").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("note_id"), F.col("text").alias("note"))
@@ -206,6 +227,19 @@ SQL = {
                WHEN 6 THEN 'Participant engaged well with activities.'
                ELSE '  ' END AS note
       FROM orders JOIN fx_roster ON o_custkey = k""",
+    "rows": """
+      SELECT src_file, src_row,
+             CASE src_row % 5
+               WHEN 0 THEN day(d) || '/' || month(d) || '/' || year(d) WHEN 1 THEN created_at
+               WHEN 2 THEN strftime(d, '%d/%m/%y') WHEN 3 THEN '' ELSE 'junk' END AS date,
+             CASE WHEN src_file = 'f0' AND src_row % 11 <> 0 THEN first_name ELSE '' END AS first_name,
+             CASE WHEN src_file = 'f0' AND src_row % 11 <> 0 THEN last_name ELSE '' END AS last_name,
+             CASE WHEN src_file <> 'f0' AND src_row % 11 <> 0 THEN first_name || ' ' || last_name ELSE '' END AS full_name,
+             trim(note) AS note,
+             CASE WHEN src_file = 'f2' THEN '' WHEN src_row % 2 = 0 THEN upper(staff) ELSE staff END AS staff,
+             CASE WHEN src_file = 'f2' THEN '' ELSE ndis_number END AS ndis,
+             CASE WHEN src_file = 'f2' THEN '' ELSE date_of_birth END AS dob
+      FROM (SELECT *, CAST(created_at AS DATE) AS d FROM fx_notes)""",
     "corpus": """
       SELECT 'd' || doc_id AS note_id, text AS note FROM documents
       UNION ALL SELECT 'n' || note_id, note FROM fx_notes""",
@@ -214,7 +248,7 @@ SQL = {
 
 def with_sql(body: str, *names: str) -> str:
     """Prefix a query with the definitions it needs (as ``fx_<name>``)."""
-    needed = {"corpus": ("roster", "notes"), "notes": ("roster",)}
+    needed = {"corpus": ("roster", "notes"), "notes": ("roster",), "rows": ("roster", "notes")}
     order = []
     for name in names:
         for part in (*needed.get(name, ()), name):

@@ -1,7 +1,7 @@
 """State tables: code registry, processed log, run ledger.
 
-Every run writes its rows under its own ``run_id=...`` folder and overwrites
-only that, so a repeated run replaces its rows instead of doubling them.
+Every run appends under its own ``run_id=...`` folder.  Known clients and
+processed notes are never selected again, so a repeated run adds nothing.
 """
 from __future__ import annotations
 
@@ -39,7 +39,7 @@ def read_state(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 def append_state(rows: DataFrame, base: str, name: str, run_id: str) -> None:
     columns = [f.name for f in rows.sparkSession.createDataFrame([], SCHEMAS[name]).schema]
-    rows.select(*[F.col(f"`{c}`") for c in columns]).write.mode("overwrite").parquet(f"{base}/{name}/run_id={run_id}")
+    rows.select(*[F.col(f"`{c}`") for c in columns]).write.mode("append").parquet(f"{base}/{name}/run_id={run_id}")
 
 
 def publish_ledger(spark: SparkSession, base: str, target: str) -> None:
