@@ -12,7 +12,7 @@ from ..fixed_values import (
     PHONE_PATTERNS, POSTCODE_RANGE, POSTCODE_YEAR_LIKE, STATES, SUBURB_POSTCODE_PATTERN,
 )
 from .names import is_generic_term
-from .text import empty_strings
+from .text import empty_strings, lit_words
 
 _U = "(?U)"
 _CI = "(?iuU)"
@@ -66,9 +66,8 @@ def detect_addresses(text: Column) -> Column:
 def detect_states(text: Column) -> Column:
     """State codes and names present as whole words, case-sensitive."""
     any_state = _U + r"\b(?:" + "|".join(STATES) + r")\b"
-    hits = F.array_compact(F.array(*[
-        F.when(text.contains(s) & text.rlike(_U + r"\b" + s + r"\b"), F.lit(s)) for s in STATES
-    ]))
+    hits = F.filter(lit_words(STATES), lambda s: F.contains(text, s) & F.rlike(
+        text, F.concat(F.lit(_U + r"\b"), s, F.lit(r"\b"))))
     return _guarded(text.rlike(any_state), hits)
 
 

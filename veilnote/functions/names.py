@@ -4,9 +4,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..fixed_values import GENERIC_TERMS, NICKNAMES, TITLES
-from .text import bind, empty_strings, py_strip, py_words
+from .text import bind, empty_strings, lit_map, lit_words, py_strip, py_words
 
 _TITLE = "^(?:" + "|".join(TITLES) + r")\.? "
+_TITLE_ALONE = "^(?:" + "|".join(TITLES) + r")\.?$"
 
 
 def strip_title(name: Column) -> Column:
@@ -17,22 +18,20 @@ def strip_title(name: Column) -> Column:
 
 def nickname_expand(first: Column) -> Column:
     """Formal first name to short form and short form to formal, exact case."""
-    table = F.create_map(*[F.lit(v) for pair in NICKNAMES.items() for v in pair])
-    inverse = F.create_map(*[F.lit(v) for formal, short in NICKNAMES.items() for v in (short, formal)])
-    return F.array_compact(F.array(F.try_element_at(table, first), F.try_element_at(inverse, first)))
+    inverse = {short: formal for formal, short in NICKNAMES.items()}
+    return F.array_compact(F.array(F.try_element_at(lit_map(NICKNAMES), first),
+                                   F.try_element_at(lit_map(inverse), first)))
 
 
 def name_variations(full_name: Column) -> Column:
     """Distinct surface forms of a full name, each also as a possessive."""
-    titles = [t + dot for t in TITLES for dot in ("", ".")]
-
     def forms(clean: Column) -> Column:
         def from_words(words: Column) -> Column:
             first, last = F.get(words, F.lit(0)), F.get(words, F.size(words) - 1)
             single = F.filter(F.array(clean), lambda v: F.length(v) > 2)
             several = F.concat(
                 F.array(full_name, clean),
-                F.filter(F.array(first), lambda v: (F.length(v) > 2) & ~v.isin(*titles)),
+                F.filter(F.array(first), lambda v: (F.length(v) > 2) & ~v.rlike(_TITLE_ALONE)),
                 F.filter(F.array(last), lambda v: F.length(v) > 2),
                 nickname_expand(first))
             return F.when(F.size(words) >= 2, several).otherwise(single)
@@ -45,7 +44,7 @@ def name_variations(full_name: Column) -> Column:
 
 
 def is_generic_term(c: Column) -> Column:
-    return F.lower(c).isin(*GENERIC_TERMS)
+    return F.array_contains(lit_words(GENERIC_TERMS), F.lower(c))
 
 
 def surface_ok(form: Column, check_generic: bool = True) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 from ..fixed_values import DOB_PATTERN, SPAN_PRIORITY, SPAN_TAG
 from .detectors import detect_emails, detect_ndis, detect_phones, dob_matches
-from .text import any_case_pattern, bind, quote_literal, word_pattern
+from .text import any_case_pattern, bind, lit_map, quote_literal, word_pattern
 
 SPAN_TYPE = "struct<start:int,priority:int,neg_end:int,rank:int,label:string>"
 SPANS_TYPE = f"array<{SPAN_TYPE}>"
@@ -110,7 +110,7 @@ def merge_spans(spans: Column) -> Column:
 
 def splice_spans(text: Column, spans: Column) -> Column:
     """Text with every (merged, ordered) span replaced by its tag."""
-    tags = F.create_map(*[F.lit(v) for pair in SPAN_TAG.items() for v in pair])
+    tags = lit_map(SPAN_TAG)
 
     def splice(found: Column) -> Column:
         def piece(s: Column, i: Column) -> Column:

@@ -19,8 +19,14 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def lit_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def lit_words(values) -> Column:
+    """Constant array of plain words, built from one literal."""
+    return F.split(F.lit("|".join(values)), r"\|")
+
+
+def lit_map(table: dict) -> Column:
+    """Constant string map, built from one literal."""
+    return F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in table.items())))
 
 
 def empty_strings() -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.detectors import detect_locations
 from ..functions.text import (
-    bind, empty_strings, fold_case, ngrams, quote_literal, quote_replacement,
+    bind, empty_strings, fold_case, lit_words, ngrams, quote_literal, quote_replacement,
     word_pattern, word_tokens,
 )
 from ..functions.verify import HITS_TYPE, no_hits
@@ -106,7 +106,7 @@ def _keyed_words(steps: DataFrame, codes: bool, edges: bool) -> DataFrame:
     tags = ["staff_name", "carer_name", "participant", "organization", "location"]
     rows = steps.withColumn("tokens", word_tokens(F.col("form")))
     rows = rows.withColumn("reentrant", _reentrant(
-        F.col("tokens"), F.col("form"), F.array(*[F.lit(t) for t in tags]), codes, edges))
+        F.col("tokens"), F.col("form"), lit_words(tags), codes, edges))
     rows = rows.withColumn("fold", F.when(F.col("reentrant"), F.col("form")).otherwise(fold_case(F.col("form"))))
     first = rows.groupBy("pass_no", "fold").agg(
         F.min_by(F.struct("form", "tag", "label", "tokens", "reentrant"),
@@ -115,7 +115,7 @@ def _keyed_words(steps: DataFrame, codes: bool, edges: bool) -> DataFrame:
         pass_no=F.col("pass_no"), major=-F.length("r.form"), kind=F.lit(0), variant=F.lit(0),
         form=F.col("r.form"), tag=F.col("r.tag"), label=F.col("r.label"),
         pattern=word_pattern(F.col("r.form")), once=F.lit(False))
-    plain = F.filter("r.tokens", lambda t: ~t.rlike(r"part$|^\d") & ~t.isin(*tags))
+    plain = F.filter("r.tokens", lambda t: ~t.rlike(r"part$|^\d") & ~F.array_contains(lit_words(tags), t))
     direct = F.struct(F.array_join(F.slice("r.tokens", 1, MAX_RUN), " ").alias("key"), F.lit(False).alias("reentrant"))
     again = F.struct(F.coalesce(F.get(plain, F.lit(0)), F.lit(EVERY_NOTE)).alias("key"), F.lit(True).alias("reentrant"))
     return first.select(step.alias("step"), F.explode(
@@ -150,8 +150,13 @@ def value_forms(steps: DataFrame) -> KeyedForms:
 
 
 def value_keys(text: Column, forms: KeyedForms) -> Column:
-    def grams(t: Column, n: int) -> Column:
-        return F.regexp_extract_all(t, F.lit(rf"(?sU)(?=([\d+(].{{{n - 1}}}))"), F.lit(1))
+    def grams(t: Column) -> Column:
+        """One scan for the longest gram at each start, then its prefixes."""
+        lo, hi = min(forms.sizes), max(forms.sizes)
+        longest = F.array_distinct(F.regexp_extract_all(
+            t, F.lit(rf"(?sU)(?=([\d+(].{{{lo - 1},{hi - 1}}}))"), F.lit(1)))
+        return F.flatten(F.transform(longest, lambda g: F.array_compact(F.array(*[
+            F.when(F.length(g) >= n, F.substring(g, 1, n)) for n in forms.sizes]))))
 
     def around_at(t: Column) -> Column:
         def keys(pieces: Column) -> Column:
@@ -164,7 +169,7 @@ def value_keys(text: Column, forms: KeyedForms) -> Column:
         return F.when(t.contains("@"), bind(F.split(t, "@", -1), keys)).otherwise(empty_strings())
 
     def keys(t: Column) -> Column:
-        parts = [grams(t, n) for n in forms.sizes] + ([around_at(t)] if forms.emails else [])
+        parts = ([grams(t)] if forms.sizes else []) + ([around_at(t)] if forms.emails else [])
         parts.append(F.array(F.lit(EVERY_NOTE)) if forms.every_note else empty_strings())
         return F.array_distinct(F.concat(*parts))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..fixed_values import DICTIONARY_TYPES, NAME_LABEL_PREFIX, STAFF_LABEL, STAFF_TAG
 from ..functions.keys import code_number
 from ..functions.names import full_name, name_variations, surface_ok
-from ..functions.text import blank_to_empty
+from ..functions.text import blank_to_empty, lit_map
 
 # pass numbers give the order in which the passes edit a note
 PASS_PARTICIPANT, PASS_STAFF, PASS_KNOWN = 1, 2, 3
@@ -85,13 +85,12 @@ def word_steps(roster: DataFrame | None, staff: DataFrame | None) -> DataFrame |
 
 def dictionary_steps(surfaces: DataFrame) -> DataFrame:
     """Ordered word-replacement steps of the dictionary passes."""
-    table = F.create_map(*[
-        part for t, (tag, label, _) in DICTIONARY_TYPES.items()
-        for part in (F.lit(t), F.struct(F.lit(PASS_DICTIONARY[t]).alias("pass_no"),
-                                        F.lit(tag).alias("tag"), F.lit(label).alias("label")))])
-    spec = F.element_at(table, F.col("type"))
+    columns = {
+        "pass_no": PASS_DICTIONARY, "tag": {t: v[0] for t, v in DICTIONARY_TYPES.items()},
+        "label": {t: v[1] for t, v in DICTIONARY_TYPES.items()}}
+    spec = {n: F.element_at(lit_map(table), F.col("type")) for n, table in columns.items()}
     return dictionary_forms(surfaces).select(
-        spec["pass_no"].alias("pass_no"), F.col("surface").alias("form"),
+        spec["pass_no"].cast("int").alias("pass_no"), F.col("surface").alias("form"),
         spec["tag"].alias("tag"), spec["label"].alias("label"))
 
 

@@ -45,7 +45,7 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.when(j % 25 < len(LAST), _pick(LAST, j % 25)).otherwise(syllables)
     street = F.concat((10 + k % 90).cast("string"), F.lit(" "), _pick(SYL_A, _div(k, 90)),
                       _pick(SYL_B, _div(k, 900)), F.lit(" Street"))
-    return table(spark, sf_dir, "customer").select(
+    return read_spread(spark, f"{sf_dir}/customer.parquet").select(
         k.alias("k"),
         F.format_string("PART-%03d", k + 1).alias("ref_code"),
         F.format_string("cl_%d", k).alias("client_id"),
