@@ -10,6 +10,7 @@ from ..functions import detectors as det, keys, names, render, spans, text as tx
 from ..operators import codes, deidentify as d, matching as m, rosters, selection as sel, stats as st, surfaces as sf
 from ..operators.known_values import known_value_steps
 from ..session import scratch_path
+from ..streaming import incremental
 from ..sources import api_pages, note_files, notes_csv, outputs, pii_dictionary, state
 from . import bindings as b, oracle as o
 from .bindings import TARGET_DATE, with_sql
@@ -437,7 +438,8 @@ def _(spark, sf_dir):
 
 
 def result(spark, sf_dir) -> DataFrame:
-    return d.deidentify(b.corpus(spark, sf_dir), b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir))
+    return d.deidentify(b.corpus(spark, sf_dir), b.roster(spark, sf_dir), b.staff(spark, sf_dir),
+                        surfaces_of(spark, sf_dir), cut=True)
 
 
 @query("substitution_counts", o.deidentify_sql("""
@@ -846,5 +848,49 @@ def _(spark, sf_dir):
         "note", F.when(broken, bad).otherwise(F.col("note")))).select("note_id", "error")
 
 
+NOTE_ROW = ("note_id string, src_file string, src_row long, client_id string, first_name string, last_name string, "
+            "ndis_number string, date_of_birth string, staff string, note string, created_at string")
+
+
+def landed(spark, sf_dir) -> tuple[str, str]:
+    """Notes as two drops of Parquet files in one landing folder; the second comes later."""
+    base = scratch_path(spark, "landing")
+    columns = [c.split()[0] for c in NOTE_ROW.split(", ")]
+    n = b.notes(spark, sf_dir).select(*columns)
+    n.where(F.col("src_file") != "f2").coalesce(2).write.mode("append").parquet(f"{base}/in")
+    return base, columns
+
+
+def land_rest(spark, sf_dir, base: str, columns) -> None:
+    b.notes(spark, sf_dir).select(*columns).where(F.col("src_file") == "f2").coalesce(1).write.mode(
+        "append").parquet(f"{base}/in")
+
+
+@query("incremental_run", with_sql(f"""{_PATTERNED} SELECT note_id, CASE WHEN reason IS NULL THEN 'success'
+    ELSE 'quarantine' END AS status FROM done""", "notes"))
+def _(spark, sf_dir):
+    """Three runs over a landing folder: two drops, then nothing new."""
+    base, columns = landed(spark, sf_dir)
+    for run in range(3):
+        if run == 1:
+            land_rest(spark, sf_dir, base, columns)
+        stream = incremental.note_stream(spark, f"{base}/in", NOTE_ROW)
+        incremental.incremental_run(stream, f"{base}/state", f"{base}/checkpoint", TARGET_DATE).awaitTermination()
+    return state.read_state(spark, f"{base}/state", "processed_log").select("note_id", "status")
+
+
+@query("archive_inputs", with_sql("SELECT note_id, note FROM fx_notes", "notes"))
+def _(spark, sf_dir):
+    """Consumed inputs move to the archive after a later batch; no row is lost on the way."""
+    base, columns = landed(spark, sf_dir)
+    for run in range(2):
+        if run == 1:
+            land_rest(spark, sf_dir, base, columns)
+        stream = incremental.note_stream(spark, f"{base}/in", NOTE_ROW, archive=f"{base}/archive")
+        stream.select("note_id", "note").writeStream.format("parquet").option(
+            "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/taken").awaitTermination()
+    return spark.read.parquet(f"{base}/taken")
+
+
 def manifest() -> str:
     return json.dumps({"queries": len(QUERIES), "with_sql": len(SQL)})

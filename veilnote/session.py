@@ -26,13 +26,18 @@ def build_session(app: str = "veilnote", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+_OWN_FOLDER: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="veilnote-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if folder:
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDER:
+        _OWN_FOLDER[app] = tempfile.mkdtemp(prefix="veilnote-")
+    return _OWN_FOLDER[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
