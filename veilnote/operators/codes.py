@@ -29,10 +29,10 @@ def assign_codes(notes: DataFrame, registry: DataFrame) -> DataFrame:
     before = W.orderBy("src_file", "block").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("src_file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     ranked = new.withColumn("rank", F.row_number().over(W.partitionBy("src_file", "block").orderBy("src_row")))
-    numbered = ranked.join(broadcast_if_small(offsets), ["src_file", "block"]).join(
-        F.broadcast(code_base(registry)))      # one row
-    number = F.col("base") + F.col("offset") + F.col("rank")
-    return numbered.select("client_id", reference_code(number).alias("ref_code"), number.cast("long").alias("pos"))
+    numbered = ranked.join(broadcast_if_small(offsets), ["src_file", "block"])
+    number = code_base(registry).scalar() + F.col("offset") + F.col("rank")
+    return numbered.select("client_id", number.cast("long").alias("pos")).select(
+        "client_id", reference_code(F.col("pos")).alias("ref_code"), "pos")
 
 
 def registry_entries(assigned: DataFrame, clients: DataFrame) -> DataFrame:

@@ -67,9 +67,9 @@ def process(spark: SparkSession, notes: DataFrame, run: Run, staff: DataFrame |
 
 def counters(checked: DataFrame, finished: DataFrame) -> DataFrame:
     """Run counters; everything neither finished nor failed was skipped."""
-    done = run_stats(finished).select("uploaded", "quarantined")
-    seen = checked.agg(F.count("*").alias("total"), F.count("error").alias("errors"))
-    return seen.join(F.broadcast(done)).select(      # two one-row tables
+    done = run_stats(finished).select(F.struct("uploaded", "quarantined")).scalar()
+    seen = checked.agg(F.count("*").alias("total"), F.count("error").alias("errors"), done.alias("done"))
+    return seen.select("total", "errors", "done.*").select(
         "total", "uploaded", "quarantined",
         (F.col("total") - F.col("errors") - F.col("uploaded") - F.col("quarantined")).alias("skipped"), "errors")
 

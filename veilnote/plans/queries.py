@@ -127,8 +127,8 @@ def _(spark, sf_dir):
 @query("optional_source", with_sql("SELECT note_id, note, CAST(0 AS BIGINT) AS surfaces FROM fx_notes", "notes"))
 def _(spark, sf_dir):
     gone = pii_dictionary.scan_pii_dictionary(spark, scratch_path(spark, "absent"))
-    count = gone.agg(F.count("*").alias("surfaces"))
-    return b.notes(spark, sf_dir).select("note_id", "note").join(F.broadcast(count))     # one row
+    count = gone.agg(F.count("*")).scalar()
+    return b.notes(spark, sf_dir).select("note_id", "note", count.alias("surfaces"))
 
 
 def registry_rows(spark, sf_dir) -> DataFrame:
@@ -181,12 +181,12 @@ def landed_pages(spark, sf_dir, entity: str, id_column: str) -> DataFrame:
     e = b.table(spark, sf_dir, "events")
     item = F.struct(F.col(id_column).alias("id"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
                     F.col("event_type").alias("kind"), "value")
-    total = e.agg(F.count("*").alias("total"))
+    total = e.agg(F.count("*")).scalar()
     pages = e.groupBy(F.floor(F.col("event_id") / 100).alias("page")).agg(
         F.array_sort(F.collect_list(F.struct("event_id", item.alias("item")))).alias("items"))
-    meta = F.struct(F.col("total").alias("total_count"), F.lit(100).alias("per_page"), (F.col("page") + 1).alias("current_page"))
+    meta = F.struct(total.alias("total_count"), F.lit(100).alias("per_page"), (F.col("page") + 1).alias("current_page"))
     payload = F.struct(F.transform("items", lambda x: x["item"]).alias(entity), meta.alias("meta"))
-    return pages.join(F.broadcast(total)).select(       # one-row total
+    return pages.select(
         F.lit(entity).alias("entity"), "page", F.to_json(payload).alias("payload"))
 
 

@@ -9,7 +9,8 @@ from ..functions.text import py_strip
 
 def scan_note_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``*.txt`` file: name and whole text."""
-    return spark.read.option("wholetext", "true").option("pathGlobFilter", "*.txt").text(path).select(
+    reader = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
+    return reader.text(path).select(
         F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
 
@@ -25,9 +26,9 @@ def notes_from_files(files: DataFrame) -> DataFrame:
 
 def skipped_files(files: DataFrame) -> DataFrame:
     """How many files are usable and how many are left out."""
-    usable = notes_from_files(files).agg(F.count("*").alias("usable"))
-    total = files.agg(F.count("*").alias("total"))
-    return total.join(F.broadcast(usable)).select("total", "usable", (F.col("total") - F.col("usable")).alias("skipped"))
+    usable = notes_from_files(files).agg(F.count("*")).scalar()
+    total = files.agg(F.count("*").alias("total"), usable.alias("usable"))
+    return total.withColumn("skipped", F.col("total") - F.col("usable"))
 
 
 def join_document_pages(pages: DataFrame, doc: str, page: str, text: str) -> DataFrame:
@@ -49,7 +50,7 @@ def choose_source_mode(documents: DataFrame, exports: DataFrame) -> tuple[str, D
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Files of a folder without reading their content."""
-    return spark.read.format("binaryFile").load(path).select(
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "modificationTime", "length")
 
 
