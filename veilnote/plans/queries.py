@@ -527,13 +527,13 @@ def _(spark, sf_dir):
         F.array_sort(F.collect_list(F.struct((-F.length("form")).alias("n"), "form"))), lambda x: x["form"]), "|").alias("forms"))
 
 
-def span_work(spark, sf_dir) -> DataFrame:
-    return b.corpus(spark, sf_dir).select(
-        "note_id", "note", spans.find_spans(F.col("note"), det.detect_locations(F.col("note"))).alias("spans"))
+def all_spans() -> Column:
+    return spans.find_spans(F.col("note"), det.detect_locations(F.col("note")))
 
 
-def span_rows(frame: DataFrame, column: str) -> DataFrame:
-    return frame.select("note_id", F.posexplode(column).alias("pos", "s")).select(
+def span_rows(spark, sf_dir, column: Column) -> DataFrame:
+    """One row per span; exploded in place, so the spans are found only once."""
+    return b.corpus(spark, sf_dir).select("note_id", F.posexplode(column).alias("pos", "s")).select(
         "note_id", F.col("pos").cast("bigint").alias("pos"), F.col("s.start").cast("bigint").alias("start_at"),
         (-F.col("s.neg_end")).cast("bigint").alias("end_at"), F.col("s.label").alias("label"))
 
@@ -543,26 +543,26 @@ _SPANS = f"WITH {o.start_cte()}, {o.spans('w0', 'sp').strip()}"
 
 @query("find_spans", with_sql(f"{_SPANS} SELECT note_id, st AS start_at, en AS end_at, label FROM sp", "corpus"))
 def _(spark, sf_dir):
-    return span_rows(span_work(spark, sf_dir), "spans").drop("pos")
+    return span_rows(spark, sf_dir, all_spans()).drop("pos")
 
 
 @query("span_order", with_sql(f"""{_SPANS} SELECT note_id, row_number() OVER (PARTITION BY note_id
     ORDER BY st, pri, en DESC, rank) - 1 AS pos, st AS start_at, en AS end_at, label FROM sp""", "corpus"))
 def _(spark, sf_dir):
-    return span_rows(span_work(spark, sf_dir).withColumn("spans", F.sort_array("spans")), "spans")
+    return span_rows(spark, sf_dir, F.sort_array(all_spans()))
 
 
 @query("merge_spans", with_sql(f"""{_SPANS}, {o.merged("sp", "mg").strip()}
     SELECT note_id, m.st AS start_at, m.en AS end_at, m.label AS label FROM (SELECT note_id, unnest(ms) AS m FROM mg)""", "corpus"))
 def _(spark, sf_dir):
-    return span_rows(span_work(spark, sf_dir).withColumn("spans", spans.merge_spans(F.col("spans"))), "spans").drop("pos")
+    return span_rows(spark, sf_dir, spans.merge_spans(all_spans())).drop("pos")
 
 
 @query("splice_spans", with_sql(f"""{_SPANS}, {o.merged("sp", "mg").strip()}, {o.spliced("w0", "mg", "w1").strip()}
     SELECT note_id, text FROM w1""", "corpus"))
 def _(spark, sf_dir):
-    merged = span_work(spark, sf_dir).withColumn("spans", spans.merge_spans(F.col("spans")))
-    return merged.select("note_id", spans.splice_spans(F.col("note"), F.col("spans")).alias("text"))
+    return b.corpus(spark, sf_dir).select(
+        "note_id", spans.splice_spans(F.col("note"), spans.merge_spans(all_spans())).alias("text"))
 
 
 @query("file_order", with_sql("""
