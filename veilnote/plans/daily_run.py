@@ -47,9 +47,9 @@ def process(spark: SparkSession, notes: DataFrame, run: Run, staff: DataFrame |
     checked = isolate_errors(notes)
     usable = checked.where(F.col("error").isNull()).drop("error")
     fresh = dedup_notes(skip_processed(drop_blank_notes(usable), log))
-    work = fresh.select("note_id", "ref_code", "created_at", "note")
-    outputs = rendered(deidentify(work, roster, staff, surfaces, cut=True), run.target_date)
-    if not fresh.isEmpty():
+    work = cut_lineage(fresh.select("note_id", "ref_code", "created_at", "note"))
+    if not work.isEmpty():
+        outputs = rendered(deidentify(work, roster, staff, surfaces, cut=True), run.target_date)
         route_outputs(outputs, run.base, run.run_id)
         written = spark.read.parquet(f"{run.base}/outputs/run_id={run.run_id}")
         append_state(written.select(
@@ -81,8 +81,8 @@ def daily_run(spark: SparkSession, input_path: str, run: Run, surfaces: DataFram
     if mode == "none":
         return None
     if mode == "documents":
-        notes = notes_from_files(source).select(
-            "*", F.col("note_id").alias("src_file"), F.lit(0).cast("long").alias("src_row"))
+        notes = cut_lineage(notes_from_files(source).select(
+            "*", F.col("note_id").alias("src_file"), F.lit(0).cast("long").alias("src_row")))
         return process(spark, notes, run, None, surfaces)
-    notes = notes_from_rows(source, run.target_date)
+    notes = cut_lineage(notes_from_rows(source, run.target_date))     # the day's notes are parsed once
     return process(spark, code_notes(spark, notes, run), run, staff_roster(notes), surfaces)

@@ -6,6 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rosters import staff_roster
 from ..plans.daily_run import Run, code_notes, process
+from ..session import cut_lineage
 from ..sources.state import init_state
 
 
@@ -32,6 +33,7 @@ def incremental_run(notes: DataFrame, base: str, checkpoint: str, target_date: s
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
+        rows = cut_lineage(rows)        # the files of a batch are read once
         run = Run(base, f"{name}-{batch_id}", target_date, f"batch {batch_id}")
         process(spark, code_notes(spark, rows, run), run, staff_roster(rows), surfaces)
 
