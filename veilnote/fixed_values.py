@@ -110,6 +110,7 @@ LEDGER_COLUMNS = (
     "Run Date", "Run At (ISO)", "Notes Exported", "Notes Processed",
     "Notes Quarantined", "Notes Skipped", "Errors", "CSV File",
 )
+LEDGER_ERROR_SUFFIX = " note(s) errored — check pipeline.log"
 REPORT_METRICS = (
     ("Total notes fetched", "total"),
     ("Uploaded to Pending", "uploaded"),

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..fixed_values import LEDGER_COLUMNS, REPORT_METRICS
+from ..fixed_values import LEDGER_COLUMNS, LEDGER_ERROR_SUFFIX, REPORT_METRICS
 
 
 def run_stats(routed: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def run_stats(routed: DataFrame) -> DataFrame:
 def run_ledger_row(stats: DataFrame, run_date: str, run_at: str, inputs: str) -> DataFrame:
     """Stats as one ledger row; an error count becomes a message."""
     message = F.when(F.col("errors") > 0, F.concat(
-        F.col("errors").cast("string"), F.lit(" note(s) errored — check pipeline.log"))).otherwise("")
+        F.col("errors").cast("string"), F.lit(LEDGER_ERROR_SUFFIX))).otherwise("")
     values = (F.lit(run_date), F.lit(run_at), F.col("total"), F.col("uploaded"), F.col("quarantined"),
               F.col("skipped"), message, F.lit(inputs))
     return stats.select(*[v.alias(n) for v, n in zip(values, LEDGER_COLUMNS)])

@@ -1,7 +1,6 @@
 """Registered queries: every operator on whole tables, with comparison SQL."""
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -891,6 +890,3 @@ def _(spark, sf_dir):
             "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/taken").awaitTermination()
     return spark.read.parquet(f"{base}/taken")
 
-
-def manifest() -> str:
-    return json.dumps({"queries": len(QUERIES), "with_sql": len(SQL)})
