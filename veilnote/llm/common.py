@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch that carries whole texts, so that a batch stays small.
 TEXT_ROWS = 500
@@ -38,7 +39,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def map_batches(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """mapInArrow, batch by batch, with batches of few rows since texts may be long."""
     spark = frame.sparkSession
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
@@ -54,3 +55,9 @@ def map_batches(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.Record
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table that `written` made, once nothing reads it any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -5,10 +5,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veilnote.llm import mixing, sharding
 from veilnote.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_sharding": sharding.SQL, "op8_mixing": mixing.SQL}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,3 +23,39 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilnote.llm.chosen_path import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), n=4, least=80)
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that lie in 10-word windows of benchmark items."""
+    from veilnote.llm.decontamination import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10).drop("items", "spans")
+
+
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents in strings of 200 bytes that occur elsewhere too."""
+    from veilnote.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), size=200).drop("kept")
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of each document, by a model trained from the labels that aren't held out."""
+    from veilnote.llm.toxicity import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents takes of each."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of each document."""
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id", "n_chars"))
