@@ -1,15 +1,17 @@
 """MinHash near-duplicates by a chosen-path set similarity join.
 
-Each distinct shingle set gets T minwise tokens (one for each of T permutations). A tree branches all sets at once: at a
-node one position is drawn, a second one in a quarter of the nodes, so 1.25 = 1 / 0.8 on average, and the sets go to a
+Each distinct shingle set gets minwise tokens, one for each of TOKENS permutations. A tree branches all sets at once: at
+a node one position is drawn, a second one in a quarter of the nodes, so 1.25 = 1 / 0.8 on average, and the sets go to a
 child for each drawn position and token. A pair of similarity s meets in s of the drawn children. Unlike sets part at
-once. Nodes of few sets are compared exhaustively, larger ones branch on. Independent trees are repeated; the chance
-that TREES trees all miss a pair of similarity 0.8 is about 1e-8 at depth one and 3e-5 at depth three, less for a closer
-pair, and a group is only lost if all its links to the rest are.
+once. Nodes of few sets are compared exhaustively, larger ones branch on. Independent trees are repeated to reach the
+recall: the chance that TREES trees all miss a pair of similarity 0.8 is about 1e-8 at depth one and 3e-5 at depth
+three, less for a closer pair, and a set is only lost if all its links are.
 
 Links are found in two passes, so that a group of n near copies needs some n comparisons, not n * n. The first compares
-every set with its best node leader. The second looks only at nodes that still hold several components: pairs within
-one component need no comparison, as only the components are returned. Every link is confirmed on the full sets.
+every set with two leaders of each of its nodes, the smallest id and one drawn by hash. The second looks only at nodes
+that still hold several components: pairs within one component need no comparison, as only the components are returned.
+Below BRANCHING levels such a node has one child for each token of three positions, so that even a node of many sets
+that are almost alike comes down to LEAF. Every link is confirmed on the full sets.
 """
 from __future__ import annotations
 
@@ -22,13 +24,10 @@ from veilnote.llm.common import map_batches, written
 from veilnote.llm.components import components
 from veilnote.llm.shingles import each_set, shingle_sets
 
-#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively, and tree depth from which
-#: nodes of any size are compared.
-TOKENS, TREES, LEAF, DEPTH = 64, 10, 32, 8
-#: Pairs with fewer equal tokens aren't confirmed: a pair of similarity 0.8 has fewer with a chance of 1e-8.
-LEAST_EQUAL = 32
-#: Pairs up to this number are broadcast as a filter of the texts to be moved (about 3 MB).
-FEW = 100_000
+#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively, levels with 1.25 children.
+TOKENS, TREES, LEAF, BRANCHING = 128, 10, 32, 3
+#: Pairs with fewer equal tokens aren't confirmed: a pair of similarity 0.8 has fewer with a chance of 3e-5.
+LEAST_EQUAL = 84
 
 _seeds = np.random.default_rng(20250115)
 _FLIP = _seeds.integers(0, 2**63, TOKENS, dtype=np.uint64)
@@ -36,7 +35,8 @@ _TURN = _seeds.integers(0, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.u
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, fp1, fp2, tokens): size, 128-bit fingerprint and minwise tokens of each text's set."""
+    """(doc_id, n_shingles, fp1, fp2, tokens, sketch): size, 128-bit fingerprint and minwise tokens of each text's set;
+    sketch has the lowest byte of each token, eight in a number."""
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = batch.num_rows
@@ -54,33 +54,43 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 least = np.minimum.reduceat((grams ^ _FLIP[k]) * _TURN[k], at)
                 tokens[filled, k] = (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * TOKENS), pa.array(tokens.ravel()))
+        low = np.ascontiguousarray(tokens.view(np.uint32).astype(np.uint8)).view(np.int64)
+        sketch = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * (TOKENS // 8)), pa.array(low.ravel()))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), *(pa.array(p.view(np.int64)) for p in prints), lists],
-            ["doc_id", "n_shingles", "fp1", "fp2", "tokens"])
+            [batch.column(0), pa.array(sizes), *(pa.array(p.view(np.int64)) for p in prints), lists, sketch],
+            ["doc_id", "n_shingles", "fp1", "fp2", "tokens", "sketch"])
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), sign,
-                       "doc_id long, n_shingles long, fp1 long, fp2 long, tokens array<int>")
+                       "doc_id long, n_shingles long, fp1 long, fp2 long, tokens array<int>, sketch array<long>")
 
 
 def children(parent: Column, tokens: Column) -> Column:
     """The nodes that a set goes to from a node: one for a drawn position, or two."""
-    def child(position: Column) -> Column:
-        return F.xxhash64(parent, position, F.element_at(tokens, (position + 1).cast("int")))
+    one, two, _ = positions(parent)
+    return F.when(F.pmod(F.xxhash64(parent, F.lit(0)), F.lit(4)) == 0, F.array(child(parent, tokens, one), child(parent, tokens, two))).otherwise(
+        F.array(child(parent, tokens, one)))
 
-    one = F.pmod(F.xxhash64(parent, F.lit(1)), F.lit(TOKENS))
-    step = F.pmod(F.xxhash64(parent, F.lit(2)), F.lit(TOKENS - 1)) + 1
-    two = F.pmod(one + step, F.lit(TOKENS))
-    return F.when(F.pmod(F.xxhash64(parent, F.lit(3)), F.lit(4)) == 0, F.array(child(one), child(two))).otherwise(
-        F.array(child(one)))
+
+def narrow_child(parent: Column, tokens: Column) -> Column:
+    """The node that a set goes to by its tokens at three positions."""
+    return F.array(child(parent, tokens, *positions(parent)))
+
+
+def positions(parent: Column) -> list[Column]:
+    """Three positions of a node, each in another part of the tokens."""
+    third = TOKENS // 3
+    turn = F.xxhash64(parent, F.lit(9))
+    return [F.pmod(F.pmod(F.xxhash64(parent, F.lit(k)), F.lit(third)) + third * k + turn, F.lit(TOKENS)) for k in range(3)]
+
+
+def child(parent: Column, tokens: Column, *at: Column) -> Column:
+    return F.xxhash64(parent, *at, *(F.element_at(tokens, (p + 1).cast("int")) for p in at))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, least: int) -> DataFrame:
     """The pairs (a, b) of document ids whose full sets have 100 * intersection >= least * union."""
     pairs = written(pairs.select("a", "b"), "pairs")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    if pairs.count() <= FEW:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = texts.join(F.broadcast(ends), "doc_id", "left_semi")
     texts = texts.where("doc_id is not null")
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -108,15 +118,16 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
     alike = ["fp1", "fp2", "n_shingles"]
     classes = written(sets.groupBy(*alike).agg(F.min("doc_id").alias("rep")), "classes")
     reps = written(sets.join(classes, [F.col("doc_id") == F.col("rep"), *(sets[c] == classes[c] for c in alike)], "left_semi")
-                   .select(F.col("doc_id").alias("rep"), "tokens").distinct(), "reps")
+                   .select(F.col("doc_id").alias("rep"), "tokens", "sketch").distinct(), "reps")
     roots = F.array(*(F.lit(f"tree {k}") for k in range(TREES)))
     nodes = written(reps.select("rep", F.explode(F.flatten(F.transform(roots, lambda t: children(t, F.col("tokens"))))).alias("node")), "nodes")
 
-    leaders = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
-    met = nodes.join(leaders, "node").where("rep <> leader").select("rep", "leader").distinct()
-    best = agreeing(met.select(F.col("rep").alias("a"), F.col("leader").alias("b")), reps).groupBy("a").agg(
-        F.max_by("b", F.struct("equal", "b")).alias("b"))
-    links = confirmed(best, docs, n, least)
+    drawn = F.struct(F.xxhash64("node", "rep"), "rep")
+    leaders = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("x"), F.min(drawn)["rep"].alias("y")).where("n > 1")
+    met = nodes.join(leaders, "node").select("rep", F.explode(F.array("x", "y")).alias("leader")).where("rep <> leader").select(
+        F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+    first = written(agreeing(met, reps), "pairs")
+    links = confirmed(first, docs, n, least)
     roots_of = written(components(links), "components")
 
     pairs, depth = None, 1
@@ -125,19 +136,17 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
             "node", "rep", F.coalesce("root", "rep").alias("root")), "known")
         mixed = known.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node", "n")
         open_ = written(known.join(mixed, "node"), "mixed")
-        small = open_ if depth >= DEPTH else open_.where(F.col("n") <= LEAF)
-        a, b = (small.select("node", F.col("rep").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-        found = a.join(b, "node").where("a < b and root_a <> root_b").select("a", "b").distinct()
-        found = written(agreeing(found, reps).select("a", "b"), "found")
+        a, b = (open_.where(F.col("n") <= LEAF).select("node", F.col("rep").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+        found = written(agreeing(a.join(b, "node").where("a < b and root_a <> root_b").select("a", "b").distinct(), reps), "found")
         pairs = found if pairs is None else pairs.union(found)
         large = open_.where(F.col("n") > LEAF)
-        if depth >= DEPTH or large.isEmpty():
+        if large.isEmpty():
             break
-        nodes = written(large.join(reps, "rep").select("rep", F.explode(children(F.col("node"), F.col("tokens"))).alias("node")), "nodes")
+        branch = children if depth < BRANCHING else narrow_child
+        nodes = written(large.join(reps, "rep").select("rep", F.explode(branch(F.col("node"), F.col("tokens"))).alias("node")), "nodes")
         depth += 1
-    pairs = pairs.distinct().join(best, ["a", "b"], "left_anti")
-    if not pairs.isEmpty():
-        roots_of = written(components(links.union(confirmed(pairs, docs, n, least))), "components")
+    pairs = pairs.distinct().join(first, ["a", "b"], "left_anti")
+    roots_of = written(components(links.union(confirmed(pairs, docs, n, least))), "components")
 
     member = classes.join(roots_of.withColumnRenamed("node", "rep"), "rep", "left").select(
         *alike, F.coalesce("root", "rep").alias("root"))
@@ -148,9 +157,16 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
 
 
 def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(a, b, equal): the pairs with enough equal minwise tokens."""
+    """The pairs (a, b) with enough equal minwise tokens, by the sketches."""
     for x in "ab":
-        pairs = pairs.join(reps.select(F.col("rep").alias(x), F.col("tokens").alias(f"tokens_{x}")), x)
-    same = F.zip_with("tokens_a", "tokens_b", lambda x, y: F.when(x == y, 1).otherwise(0))
-    return pairs.select("a", "b", F.aggregate(same, F.lit(0), lambda s, x: s + x).alias("equal")).where(
-        F.col("equal") >= LEAST_EQUAL)
+        pairs = pairs.join(reps.select(F.col("rep").alias(x), F.col("sketch").alias(f"sketch_{x}")), x)
+
+    def unlike(x: Column, y: Column) -> Column:
+        """Number of bytes that differ: the lowest bit of each byte takes up all its bits."""
+        bits = x.bitwiseXOR(y)
+        for by in (4, 2, 1):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, by))
+        return F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
+
+    differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", unlike), F.lit(0), lambda s, x: s + x)
+    return pairs.where(differ <= TOKENS - LEAST_EQUAL).select("a", "b")
