@@ -5,11 +5,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilnote.llm import mixing, sharding
+from veilnote.llm import mixing, sharding, warc
 from veilnote.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op2_sharding": sharding.SQL, "op8_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op2_sharding": sharding.SQL, "op3_warc": warc.SQL, "op8_mixing": mixing.SQL}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -59,3 +59,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of each document."""
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id", "n_chars"))
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, written to archives and read back."""
+    return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of the URL of each page."""
+    from veilnote.llm.url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"))
