@@ -73,3 +73,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilnote.llm.url_filter import judge
 
     return judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of each query vector."""
+    from veilnote.llm.stable_search import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
