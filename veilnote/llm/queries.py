@@ -81,3 +81,11 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilnote.llm.stable_search import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+@query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    from veilnote.llm.main_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
