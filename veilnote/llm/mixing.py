@@ -59,9 +59,10 @@ def mix(docs: DataFrame) -> DataFrame:
     among = W.partitionBy("pool_", "size").orderBy("group_").rowsBetween(W.unboundedPreceding, -1)
     goals = targets(counts.groupBy(F.col("pool_").alias("pool")).agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
     start = F.conv(F.substring(F.md5(F.concat(F.lit("offset "), "pool_").cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    places = counts.withColumn("among", F.coalesce(F.sum("n").over(among), F.lit(0))).join(smaller, ["pool_", "size"]).join(
+    # Written, as the joins above leave it dealt by source and size, and a hot size must be dealt by its hash groups.
+    places = written(counts.withColumn("among", F.coalesce(F.sum("n").over(among), F.lit(0))).join(smaller, ["pool_", "size"]).join(
         goals.withColumnRenamed("pool", "pool_"), "pool_").select(
-        "pool_", "size", "group_", (F.col("smaller") + F.col("among")).alias("rank_"), "source_size", "target", start.alias("start_"))
+        "pool_", "size", "group_", (F.col("smaller") + F.col("among")).alias("rank_"), "source_size", "target", start.alias("start_")), "places")
 
     own = W.partitionBy("pool_", "size", "group_").orderBy("code_", "tie_")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
