@@ -10,7 +10,7 @@ three, less for a closer pair, and a set is only lost if all its links are.
 Links are found in two passes, so that a group of n near copies needs some n comparisons, not n * n. The first compares
 every set with two leaders of each of its nodes, the smallest id and one drawn by hash. The second looks only at nodes
 that still hold several components: pairs within one component need no comparison, as only the components are returned.
-Below BRANCHING levels such a node has one child for each token of three positions, so that even a node of many sets
+Below BRANCHING levels such a node has one child for each tuple of tokens at NARROW positions, so that even a node of many sets
 that are almost alike comes down to LEAF. Every link is confirmed on the full sets.
 """
 from __future__ import annotations
@@ -24,8 +24,9 @@ from veilnote.llm.common import map_batches, written
 from veilnote.llm.components import components
 from veilnote.llm.shingles import each_set, shingle_sets
 
-#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively, levels with 1.25 children.
-TOKENS, TREES, LEAF, BRANCHING = 128, 10, 32, 3
+#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively, levels with 1.25 children,
+#: and positions that are drawn at once below them.
+TOKENS, TREES, LEAF, BRANCHING, NARROW = 128, 12, 32, 2, 3
 #: Pairs with fewer equal tokens aren't confirmed: a pair of similarity 0.8 has fewer with a chance of 3e-5.
 LEAST_EQUAL = 84
 
@@ -66,21 +67,21 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
 
 def children(parent: Column, tokens: Column) -> Column:
     """The nodes that a set goes to from a node: one for a drawn position, or two."""
-    one, two, _ = positions(parent)
+    one, two = positions(parent, 2)
     return F.when(F.pmod(F.xxhash64(parent, F.lit(0)), F.lit(4)) == 0, F.array(child(parent, tokens, one), child(parent, tokens, two))).otherwise(
         F.array(child(parent, tokens, one)))
 
 
 def narrow_child(parent: Column, tokens: Column) -> Column:
-    """The node that a set goes to by its tokens at three positions."""
-    return F.array(child(parent, tokens, *positions(parent)))
+    """The node that a set goes to by its tokens at NARROW positions."""
+    return F.array(child(parent, tokens, *positions(parent, NARROW)))
 
 
-def positions(parent: Column) -> list[Column]:
-    """Three positions of a node, each in another part of the tokens."""
-    third = TOKENS // 3
+def positions(parent: Column, count: int) -> list[Column]:
+    """Positions of a node, each in another part of the tokens."""
+    part = TOKENS // count
     turn = F.xxhash64(parent, F.lit(9))
-    return [F.pmod(F.pmod(F.xxhash64(parent, F.lit(k)), F.lit(third)) + third * k + turn, F.lit(TOKENS)) for k in range(3)]
+    return [F.pmod(F.pmod(F.xxhash64(parent, F.lit(k)), F.lit(part)) + part * k + turn, F.lit(TOKENS)) for k in range(count)]
 
 
 def child(parent: Column, tokens: Column, *at: Column) -> Column:
@@ -118,14 +119,15 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
     alike = ["fp1", "fp2", "n_shingles"]
     classes = written(sets.groupBy(*alike).agg(F.min("doc_id").alias("rep")), "classes")
     reps = written(sets.join(classes, [F.col("doc_id") == F.col("rep"), *(sets[c] == classes[c] for c in alike)], "left_semi")
-                   .select(F.col("doc_id").alias("rep"), "tokens", "sketch").distinct(), "reps")
+                   .select(F.col("doc_id").alias("rep"), "n_shingles", "tokens", "sketch").distinct(), "reps")
     roots = F.array(*(F.lit(f"tree {k}") for k in range(TREES)))
-    nodes = written(reps.select("rep", F.explode(F.flatten(F.transform(roots, lambda t: children(t, F.col("tokens"))))).alias("node")), "nodes")
+    nodes = written(reps.select("rep", "n_shingles", F.explode(F.flatten(F.transform(roots, lambda t: children(t, F.col("tokens"))))).alias("node")), "nodes")
 
-    drawn = F.struct(F.xxhash64("node", "rep"), "rep")
-    leaders = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("x"), F.min(drawn)["rep"].alias("y")).where("n > 1")
-    met = nodes.join(leaders, "node").select("rep", F.explode(F.array("x", "y")).alias("leader")).where("rep <> leader").select(
-        F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+    smallest, drawn = F.struct("rep", "n_shingles"), F.struct(F.xxhash64("node", "rep"), "rep", "n_shingles")
+    leaders = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min(smallest).alias("x"), F.min(drawn).alias("y")).where("n > 1")
+    met = nodes.join(leaders, "node").select("rep", "n_shingles", F.explode(F.array("x", F.struct("y.rep", "y.n_shingles"))).alias("leader")).where(
+        (F.col("rep") != F.col("leader.rep")) & near_sizes(F.col("n_shingles"), F.col("leader.n_shingles"), least)).select(
+        F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")).distinct()
     first = written(agreeing(met, reps), "pairs")
     links = confirmed(first, docs, n, least)
     roots_of = written(components(links), "components")
@@ -133,17 +135,18 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
     pairs, depth = None, 1
     while True:
         known = written(nodes.join(roots_of.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "node", "rep", F.coalesce("root", "rep").alias("root")), "known")
+            "node", "rep", "n_shingles", F.coalesce("root", "rep").alias("root")), "known")
         mixed = known.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node", "n")
         open_ = written(known.join(mixed, "node"), "mixed")
-        a, b = (open_.where(F.col("n") <= LEAF).select("node", F.col("rep").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-        found = written(agreeing(a.join(b, "node").where("a < b and root_a <> root_b").select("a", "b").distinct(), reps), "found")
+        a, b = (open_.where(F.col("n") <= LEAF).select("node", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n_shingles"))) for x in "ab")
+        close = a.join(b, "node").where("rep_a < rep_b and root_a <> root_b").where(near_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), least))
+        found = written(agreeing(close.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), reps), "found")
         pairs = found if pairs is None else pairs.union(found)
         large = open_.where(F.col("n") > LEAF)
         if large.isEmpty():
             break
         branch = children if depth < BRANCHING else narrow_child
-        nodes = written(large.join(reps, "rep").select("rep", F.explode(branch(F.col("node"), F.col("tokens"))).alias("node")), "nodes")
+        nodes = written(large.join(reps.select("rep", "tokens"), "rep").select("rep", "n_shingles", F.explode(branch(F.col("node"), F.col("tokens"))).alias("node")), "nodes")
         depth += 1
     pairs = pairs.distinct().join(first, ["a", "b"], "left_anti")
     roots_of = written(components(links.union(confirmed(pairs, docs, n, least))), "components")
@@ -156,6 +159,11 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def near_sizes(x: Column, y: Column, least: int) -> Column:
+    """Sets of other sizes can't be similar enough."""
+    return F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
+
+
 def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) with enough equal minwise tokens, by the sketches."""
     for x in "ab":
