@@ -53,7 +53,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: flo
         least: float = 1.0) -> Boosted:
     """Newton steps on the logistic loss over binned features. Equal input gives equal trees."""
     rows, width = x.shape
-    limits = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for f in range(width)]
+    limits = [x[:0, 0] if not rows else np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for f in range(width)]
     binned = np.stack([np.searchsorted(limits[f], x[:, f], "left") for f in range(width)], 1) if rows else np.zeros((0, width), np.int64)
     share = np.clip(y.mean() if rows else 0.5, 1e-3, 1 - 1e-3)
     model = Boosted(float(np.log(share / (1 - share))), [])

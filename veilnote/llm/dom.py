@@ -5,7 +5,7 @@ import html
 import re
 from dataclasses import dataclass, field
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>)|[^>]*+)>", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 # Kinds of elements by name, as HTML has them.
@@ -32,14 +32,14 @@ class Page:
 def parse(source: str) -> Page:
     """The tree of a page. Missing end tags are supplied, end tags without a start are left out, character references
     are decoded, comments and declarations dropped. Nothing is too long or too deep, and nothing makes it fail."""
-    page, stack, at = Page(), [0], 0
+    page, stack, at, last = Page(), [0], 0, source.rfind(">") + 1
     tags, texts, lower = page.tags, page.texts, None
     open_count: dict[str, int] = {}
 
     def pop() -> None:
         open_count[tags[stack.pop()]] -= 1
 
-    while (found := _TOKEN.search(source, at)) is not None:
+    while (found := _TOKEN.search(source, at, last)) is not None:
         if found.start() > at:
             texts.append((stack[-1], html.unescape(source[at:found.start()])))
         at = found.end()
