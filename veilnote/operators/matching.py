@@ -234,7 +234,9 @@ def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text"
     a later phase on the result finds them already in place.
     """
     steps = candidate_steps(notes, keys_of(F.col(text), forms), forms)
-    joined = with_context(notes.join(steps.hint("shuffle_hash"), "note_id", "left"), text)
+    # Null-safe: notes without an id share the candidates of all of them, more than each needs, and none is passed over.
+    steps = steps.withColumnRenamed("note_id", "steps_of")
+    joined = with_context(notes.join(steps, F.col("note_id").eqNullSafe(F.col("steps_of")), "left").drop("steps_of"), text)
     folded = joined.withColumn(
         "folded", fold_steps(F.col(text), F.coalesce(F.col("steps"), F.array().cast(STEPS_TYPE))))
     return folded.withColumn(text, F.col("folded.text")).withColumn(

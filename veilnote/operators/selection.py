@@ -41,7 +41,7 @@ def dedup_notes(notes: DataFrame) -> DataFrame:
     hot = firsts.where(F.col("copies") > HOT_COPIES).select("note_id", F.col("first").alias("hot_first"))
     thinned = notes.join(broadcast_if_small(hot), "note_id", "left").where(
         F.col("hot_first").isNull() | (F.col("hot_first") == position())).drop("hot_first")
-    return thinned.join(firsts.select("note_id", "first").hint("shuffle_hash"), "note_id").where(
+    return thinned.join(firsts.select("note_id", "first"), "note_id").where(
         F.col("first") == position()).drop("first")
 
 

@@ -35,7 +35,7 @@ def report_quarantined(results: DataFrame, masked: bool = True) -> DataFrame:
     """Quarantined notes; the raw values in the reason are masked by default."""
     reason = F.col("quarantine_reason")
     if masked:
-        reason = F.regexp_replace(reason, r"\[.*\]$", "[masked]")
+        reason = F.regexp_replace(reason, r"(?s)\[.*\]\z", "[masked]")
     return results.where("is_quarantined").select("note_id", "ref_code", reason.alias("reason"))
 
 

@@ -50,8 +50,7 @@ def process(spark: SparkSession, notes: DataFrame, run: Run, staff: DataFrame |
     work = cut_lineage(fresh.select("note_id", "ref_code", "created_at", "note"))
     if not work.isEmpty():
         outputs = rendered(deidentify(work, roster, staff, surfaces, cut=True), run.target_date)
-        route_outputs(outputs, run.base, run.run_id)
-        written = spark.read.parquet(f"{run.base}/outputs/run_id={run.run_id}")
+        written = spark.read.parquet(route_outputs(outputs, run.base, run.run_id))
         append_state(written.select(
             "note_id", F.current_timestamp().alias("processed_at"), "output_path",
             F.when(F.col("disposition") == "pending", "success").otherwise("quarantine").alias("status"),

@@ -30,10 +30,12 @@ _OWN_FOLDER: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set."""
+    """The shared folder of the cluster; a temporary one only on a local master where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_FOLDER:
         _OWN_FOLDER[app] = tempfile.mkdtemp(prefix="veilnote-")

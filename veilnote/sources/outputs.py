@@ -1,6 +1,8 @@
 """Output tables of a run."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.keys import output_name
@@ -18,6 +20,11 @@ def rendered(results: DataFrame, target_date) -> DataFrame:
         F.when(F.col("is_quarantined"), held).otherwise(clean).alias("body"))
 
 
-def route_outputs(outputs: DataFrame, base: str, run_id: str) -> None:
-    """Write pending and quarantined notes to separate folders of the run."""
-    outputs.write.mode("overwrite").partitionBy("disposition").parquet(f"{base}/outputs/run_id={run_id}")
+def route_outputs(outputs: DataFrame, base: str, run_id: str) -> str:
+    """Write pending and quarantined notes to separate folders of a new attempt of the run; gives the attempt's path.
+
+    A second call with the same run id (a late file, a new checkpoint of a stream) never touches earlier outputs.
+    """
+    path = f"{base}/outputs/run_id={run_id}/attempt={uuid.uuid4().hex}"
+    outputs.write.partitionBy("disposition").parquet(path)
+    return path

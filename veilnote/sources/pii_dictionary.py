@@ -29,12 +29,14 @@ def empty_surfaces(spark: SparkSession) -> DataFrame:
 
 
 def scan_pii_dictionary(spark: SparkSession, path: str | None) -> DataFrame:
-    """(type, surface) set; a missing, unreadable or mis-headed file gives none."""
+    """(type, surface) set; a missing or mis-headed file gives none, an unreadable one is an error."""
     if not path:
         return empty_surfaces(spark)
     try:
         rows = dictionary_rows(spark.read.options(**CSV_OPTIONS).option("header", "true").csv(path))
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         rows = None
     return empty_surfaces(spark) if rows is None else dictionary_surfaces(rows)
 

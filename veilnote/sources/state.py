@@ -30,10 +30,12 @@ def init_state(spark: SparkSession, base: str) -> None:
 
 
 def read_state(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A state table; an absent one is empty."""
+    """A state table; an absent one is empty. Any other failure is raised: an unreadable registry must not restart codes."""
     try:
         return spark.read.schema(SCHEMAS[name] + ", run_id string").parquet(f"{base}/{name}").drop("run_id")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], SCHEMAS[name])
 
 
