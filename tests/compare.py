@@ -18,7 +18,7 @@ def connect(sf):
 
 def canonical(df):
     cols = sorted(df.columns)
-    out = pd.DataFrame({c: [repr(None) if v is None or v != v else repr(v.item() if hasattr(v, "item") else v) for v in df[c]] for c in cols})
+    out = pd.DataFrame({c: [repr(None) if v is None or v is pd.NA or v != v else repr(v.item() if hasattr(v, "item") else v) for v in df[c]] for c in cols})
     return out.sort_values(cols).reset_index(drop=True)
 
 
