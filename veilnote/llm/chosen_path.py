@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilnote.llm.common import map_batches, written
+from veilnote.llm.common import Scratch, map_batches, written
 from veilnote.llm.components import components
 from veilnote.llm.shingles import each_set, shingle_sets
 
@@ -90,9 +90,11 @@ def child(parent: Column, tokens: Column, *at: Column) -> Column:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, least: int) -> DataFrame:
     """The pairs (a, b) of document ids whose full sets have 100 * intersection >= least * union."""
-    pairs = written(pairs.select("a", "b"), "pairs")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = texts.where("doc_id is not null")
+    scratch = Scratch(docs.sparkSession)
+    pairs = scratch.put(pairs.select("a", "b"), "pairs")
+    ids = scratch.put(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    # Few documents are in a pair; the texts of the others needn't be shuffled.
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -103,7 +105,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, least: int) -> DataFram
             keep.append(common > 0 and 100 * common >= least * (len(x) + len(y) - common))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
-    return written(map_batches(both.select("a", "b", "text_a", "text_b"), confirm, "a long, b long"), "links").distinct()
+    links = written(map_batches(both.select("a", "b", "text_a", "text_b"), confirm, "a long, b long").distinct(), "links")
+    scratch.drop("pairs", "ids")
+    return links
 
 
 def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
@@ -114,42 +118,50 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
     A row without doc_id takes no part: component_id null, kept. Rows that repeat a doc_id should repeat the text too:
     if not, a link of any of its texts links the id. Extra columns are ignored.
     """
-    everything = written(signatures(docs, n), "signatures")
-    sets = everything.where("n_shingles > 0 and doc_id is not null")
+    scratch = Scratch(docs.sparkSession)
+    signed = scratch.put(signatures(docs, n).withColumn("row", F.monotonically_increasing_id()), "signatures")
     alike = ["fp1", "fp2", "n_shingles"]
-    classes = written(sets.groupBy(*alike).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = written(sets.join(classes, [F.col("doc_id") == F.col("rep"), *(sets[c] == classes[c] for c in alike)], "left_semi")
-                   .select(F.col("doc_id").alias("rep"), "n_shingles", "tokens", "sketch").distinct(), "reps")
+    everything = written(signed.select("doc_id", "row", *alike), "sets")
+    classes = written(everything.where("n_shingles > 0 and doc_id is not null").groupBy(*alike).agg(
+        F.min(F.struct("doc_id", "row")).alias("first")).select(*alike, F.col("first.doc_id").alias("rep"), "first.row"), "classes")
+    reps = scratch.put(signed.join(classes.select("row", "rep"), "row").select("rep", "n_shingles", "tokens", "sketch"), "reps")
+    scratch.drop("signatures")
+
+    # Most nodes hold one set. They are found by a narrow count and left out before anything else moves.
     roots = F.array(*(F.lit(f"tree {k}") for k in range(TREES)))
-    nodes = written(reps.select("rep", "n_shingles", F.explode(F.flatten(F.transform(roots, lambda t: children(t, F.col("tokens"))))).alias("node")), "nodes")
+    nodes = reps.select("rep", "n_shingles", F.explode(F.flatten(F.transform(roots, lambda t: children(t, F.col("tokens"))))).alias("node"))
+    shared = scratch.put(nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "shared")
+    nodes = scratch.put(nodes.join(shared, "node", "left_semi").select("rep", "n_shingles", "node"), "nodes")
 
     smallest, drawn = F.struct("rep", "n_shingles"), F.struct(F.xxhash64("node", "rep"), "rep", "n_shingles")
-    leaders = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min(smallest).alias("x"), F.min(drawn).alias("y")).where("n > 1")
+    leaders = nodes.groupBy("node").agg(F.min(smallest).alias("x"), F.min(drawn).alias("y"))
     met = nodes.join(leaders, "node").select("rep", "n_shingles", F.explode(F.array("x", F.struct("y.rep", "y.n_shingles"))).alias("leader")).where(
         (F.col("rep") != F.col("leader.rep")) & near_sizes(F.col("n_shingles"), F.col("leader.n_shingles"), least)).select(
         F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")).distinct()
-    first = written(agreeing(met, reps), "pairs")
+    first = scratch.put(agreeing(met, reps), "met")
     links = confirmed(first, docs, n, least)
-    roots_of = written(components(links), "components")
+    roots_of = components(links)
 
     pairs, depth = None, 1
     while True:
-        known = written(nodes.join(roots_of.withColumnRenamed("node", "rep"), "rep", "left").select(
+        known = scratch.put(nodes.join(roots_of.withColumnRenamed("node", "rep"), "rep", "left").select(
             "node", "rep", "n_shingles", F.coalesce("root", "rep").alias("root")), "known")
         mixed = known.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node", "n")
-        open_ = written(known.join(mixed, "node"), "mixed")
+        open_ = scratch.put(known.join(mixed, "node"), "mixed")
         a, b = (open_.where(F.col("n") <= LEAF).select("node", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n_shingles"))) for x in "ab")
         close = a.join(b, "node").where("rep_a < rep_b and root_a <> root_b").where(near_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), least))
-        found = written(agreeing(close.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), reps), "found")
+        found = scratch.put(agreeing(close.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), reps), f"found {depth}")
         pairs = found if pairs is None else pairs.union(found)
         large = open_.where(F.col("n") > LEAF)
         if large.isEmpty():
             break
         branch = children if depth < BRANCHING else narrow_child
-        nodes = written(large.join(reps.select("rep", "tokens"), "rep").select("rep", "n_shingles", F.explode(branch(F.col("node"), F.col("tokens"))).alias("node")), "nodes")
+        nodes = scratch.put(large.join(reps.select("rep", "tokens"), "rep").select("rep", "n_shingles", F.explode(branch(F.col("node"), F.col("tokens"))).alias("node")), "nodes")
         depth += 1
+    scratch.drop("reps", "nodes", "shared", "known", "mixed")
     pairs = pairs.distinct().join(first, ["a", "b"], "left_anti")
-    roots_of = written(components(links.union(confirmed(pairs, docs, n, least))), "components")
+    roots_of = components(links.union(confirmed(pairs, docs, n, least)))
+    scratch.drop("met", *(f"found {k}" for k in range(1, depth + 1)))
 
     member = classes.join(roots_of.withColumnRenamed("node", "rep"), "rep", "left").select(
         *alike, F.coalesce("root", "rep").alias("root"))

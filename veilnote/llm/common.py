@@ -39,6 +39,27 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run by name, removed once nothing reads them any more, so that they don't add up on the disk."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def put(self, frame: DataFrame, name: str) -> DataFrame:
+        """As `written`. An earlier table of the name, which the frame may read, is removed afterwards."""
+        path = new_path(self.spark, name)
+        frame.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                remove(self.spark, self.paths.pop(name))
+
+
 def map_batches(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """mapInArrow, batch by batch, with batches of few rows since texts may be long."""
     spark = frame.sparkSession

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilnote.llm.common import written
+from veilnote.llm.common import Scratch, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,8 +13,9 @@ def components(edges: DataFrame) -> DataFrame:
     Each round reads and writes narrow pairs. The smallest neighbour is found by an aggregate with map-side combine and
     joined back, so a node with very many links doesn't meet in one task.
     """
-    state = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m"))
-                    .where("v <> m").distinct(), "edges")
+    scratch = Scratch(edges.sparkSession)
+    state = scratch.put(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m"))
+                        .where("v <> m").distinct(), "stars")
     before = None
     while True:
         both = state.select(F.col("v").alias("u"), F.col("m").alias("w")).union(
@@ -25,9 +26,11 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "v").select(
             F.explode(F.array(F.struct("v", F.col("least").alias("m")),
                               F.struct(F.col("m").alias("v"), F.col("least").alias("m")))).alias("e"))
-        state = written(small.select("e.v", "e.m").where("v <> m").distinct(), "stars")
+        state = scratch.put(small.select("e.v", "e.m").where("v <> m").distinct(), "stars")
         now = state.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
         if now == before:
-            return state.select(F.col("v").alias("node"), F.col("m").alias("root")).union(
-                state.select(F.col("m").alias("node"), F.col("m").alias("root")).distinct())
+            roots = written(state.select(F.col("v").alias("node"), F.col("m").alias("root")).union(
+                state.select(F.col("m").alias("node"), F.col("m").alias("root")).distinct()), "components")
+            scratch.drop("stars")
+            return roots
         before = now
