@@ -26,9 +26,9 @@ def usable(form, generic=True):
     return len(form) > 2 and not (generic and form.lower() in GENERIC_TERMS)
 
 
-def ordered(pairs):
-    """Longest first; equal lengths by form, then replacement."""
-    return sorted(pairs, key=lambda p: (-len(p[0]), p[0], p[1]))
+def ordered(pairs, first=None):
+    """Longest first; equal lengths by first holder, then form, then replacement."""
+    return sorted(pairs, key=lambda p: (-len(p[0]), first[p[0]] if first else 0, p[0], p[1]))
 
 
 class Note:
@@ -95,12 +95,14 @@ def dob_forms(dob):
 
 def deidentify(text, people, staff=(), surfaces=()):
     note = Note(text)
-    codes = {}
-    for p in people:
+    codes, first = {}, {}
+    for at, p in enumerate(people):
         full = f"{p['first_name']} {p['last_name']}".strip()
         if full and p["ref_code"]:
-            codes.update({f: p["ref_code"] for f in forms_of(full) if usable(f)})
-    for form, code in ordered(codes.items()):
+            for f in filter(usable, forms_of(full)):
+                codes[f] = p["ref_code"]
+                first.setdefault(f, at)
+    for form, code in ordered(codes.items(), first):
         note.word(form, code, "NAME→" + code)
     names = {f for s in staff for f in forms_of(f"{s['first_name']} {s['last_name']}".strip()) if usable(f)}
     for form, tag in ordered((f, "[STAFF_NAME]") for f in names):

@@ -109,6 +109,47 @@ def test_random_notes_equal_brute_force(spark, seed):
         assert g == w, note
 
 
+def shared(seed):
+    """Id numbers with three to six holders, glued to short phones and dates that are replaced in between."""
+    rnd = random.Random(seed)
+    ids = ["430123456", "N/A", "77-1", "A1"]
+    people = [(f"PART-{i + 1:03d}", "Fn" + chr(97 + i), "Ln" + chr(97 + i), ids[0] if i in (0, 9) else rnd.choice([*ids, ""]),
+               rnd.choice(["", "2001-02-03"]), rnd.choice(["", "12 Reed Street, Kew"]),
+               rnd.choice(["", "XA", "3012", "7", "0412"]), rnd.choice(["", "q@r.s"])) for i in range(14)]
+    bits = [*ids, "XA", "3012", "7", "0412", "03/02/2001", "q@r.s", "12 Reed Street", "X", "_", "-", " ", "a"]
+    return ["".join(rnd.choice(bits) for _ in range(7)) for _ in range(250)], people
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_shared_ids_equal_brute_force(spark, seed):
+    notes, people = shared(seed)
+    for note, g, w in zip(notes, run(spark, notes, people), expect(notes, people)):
+        assert g == w, note
+
+
+def test_third_holder_of_an_id(spark):
+    people = [(f"PART-00{i}", "", "", "430123456" if i % 2 else "", "", "", {2: "XA", 4: "3012"}.get(i, ""), "") for i in range(1, 6)]
+    (text, counts, _), = run(spark, ["430123456 XA430123456"], people)
+    assert text == "[NDIS_REDACTED] [PHONE][NDIS_REDACTED]" and counts == {"NDIS": 2, "PHONE": 1}
+
+
+def test_next_holders_over_blocks(spark):
+    rnd = random.Random(3)
+    held = {p: sorted(rnd.sample(range(60_000), n)) for p, n in (("x", 3), ("y", 400))}
+    asked = [(p, rnd.choice([rnd.randrange(70_000), rnd.choice(held[p])])) for p in "xy" for _ in range(200)]
+    turns = matching.next_holders(
+        spark.createDataFrame(asked, "pattern string, after long").distinct(),
+        spark.createDataFrame([(p, h) for p in held for h in held[p]], "pattern string, major long")).collect()
+    want = {(p, a): next((h for h in held[p] if h > a), None) for p, a in asked}
+    assert {(r.pattern, r.after): r.turn for r in turns} == {k: v for k, v in want.items() if v is not None}
+
+
+def test_equal_length_names_follow_the_first_holder(spark):
+    people = [("PART-001", "Ina", "Smith") + ("",) * 5, ("PART-002", "Bob", "SMITH") + ("",) * 5]
+    got = run(spark, ["Mr Smith came."], people)
+    assert got == expect(["Mr Smith came."], people) and got[0][0] == "Mr PART-001 came."
+
+
 def test_shuffle_path_equals_broadcast_path(spark, monkeypatch):
     notes, people, staff, surfaces = world(4)
     monkeypatch.setattr(matching, "fits_broadcast", lambda *a: False)

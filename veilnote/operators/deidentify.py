@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.spans import find_spans, merge_spans, span_hits, splice_spans
 from ..functions.verify import quarantine_reason, total_hits
 from ..session import cut_lineage
-from .known_values import KINDS, known_value_steps
+from .known_values import KINDS, known_value_steps, shared_ids
 from .matching import apply_forms, value_forms, value_keys, with_context, word_forms, word_keys
 from .surfaces import dictionary_steps, word_steps
 
@@ -24,7 +24,10 @@ def redact_words(work: DataFrame, roster: DataFrame | None = None, staff: DataFr
 
 def redact_known_values(work: DataFrame, roster: DataFrame, kinds=tuple(KINDS), normalise_dob: bool = False) -> DataFrame:
     """Known id numbers, birth dates, phones, e-mails and streets to tags."""
-    return apply_forms(work, value_forms(known_value_steps(roster, kinds, normalise_dob)), value_keys)
+    forms = value_forms(known_value_steps(roster, kinds, normalise_dob))
+    if "ndis" in kinds and len(kinds) > 1:
+        forms.shared = shared_ids(roster)
+    return apply_forms(work, forms, value_keys)
 
 
 def redact_dictionary(work: DataFrame, surfaces: DataFrame) -> DataFrame:

@@ -26,6 +26,10 @@ def known_value_steps(roster: DataFrame, kinds=tuple(KINDS), normalise_dob: bool
     dates and phones match anywhere and count once per written form; e-mails
     and streets match anywhere in any case and count every occurrence.
     """
+    return _first_of_equal(_value_rows(roster, kinds, normalise_dob))
+
+
+def _value_rows(roster: DataFrame, kinds, normalise_dob: bool) -> DataFrame:
     ndis, dob, phone, email, address = (blank_to_empty(F.col(c)) for c in (
         "ndis_number", "date_of_birth", "phone", "email", "address"))
     zero = F.lit(0)
@@ -40,29 +44,44 @@ def known_value_steps(roster: DataFrame, kinds=tuple(KINDS), normalise_dob: bool
         "address": F.transform(F.array(street_part(address)), lambda v: _entry(
             ADDRESS, zero, v, "[ADDRESS]", "ADDRESS", any_case_pattern(v), False)),
     }
-    rows = roster.select(
+    return roster.select(
         roster_position(roster).alias("major"),
         F.explode(F.concat(*[entries[k] for k in KINDS if k in kinds])).alias("e"),
     ).where(F.col("e.form") != "").select(F.lit(PASS_KNOWN).alias("pass_no"), "major", "e.*")
-    return _first_of_equal(rows)
+
+
+def shared_ids(roster: DataFrame) -> DataFrame | None:
+    """(pattern, major) of the id numbers that several participants hold, at each later holder; None if there are none.
+
+    Such a number must stand alone, and edits for other participants may set
+    one free after its first holder's turn.
+    """
+    rows = _value_rows(roster, ("ndis",), False).where(~_in_tag(F.col("form")))
+    firsts = rows.groupBy("pattern").agg(F.min("major").alias("first"), F.max("major").alias("last")).where(
+        "first < last").select("pattern", "first")
+    if firsts.isEmpty():
+        return None
+    return rows.join(firsts, "pattern").where(F.col("major") > F.col("first")).select("pattern", "major").distinct()
+
+
+def _in_tag(form: Column) -> Column:
+    """Whether a value may occur in what another step puts in."""
+    low = F.lower(form)
+    found = low.contains("[") | low.contains("]")
+    for tag in _TAGS:
+        found = found | F.contains(F.lit(tag), low)
+    return found
 
 
 def _first_of_equal(rows: DataFrame) -> DataFrame:
-    """Keep the first step of each pattern, for id numbers also the last.
+    """Keep the first step of each pattern.
 
     Once a value was replaced nothing is left for a second participant with the
-    same value (a shared phone, ``N/A``), unless the value can occur in a tag.
-    An id number must stand alone, and edits for others in between may set one
-    free, so it is searched again at its last holder.  Aggregated on the map
-    side, so a value shared by a third of the roster costs one row per task.
+    same value (a shared phone, ``N/A``), unless it can occur in a tag, or is an
+    id number that an edit in between sets free (see ``shared_ids``).
+    Aggregated on the map side, so a value shared by a third of the roster
+    costs one row per task.
     """
-    low = F.lower("form")
-    in_tag = low.contains("[") | low.contains("]")
-    for tag in _TAGS:
-        in_tag = in_tag | F.contains(F.lit(tag), low)
-    keep_apart = F.when(in_tag, F.struct("major", "kind", "variant"))
+    keep_apart = F.when(_in_tag(F.col("form")), F.struct("major", "kind", "variant"))
     entry = F.struct("pass_no", "major", "kind", "variant", "form", "tag", "label", "once")
-    grouped = rows.groupBy("pattern", keep_apart.alias("apart")).agg(
-        F.min(entry).alias("first"), F.max(entry).alias("last"))
-    kept = F.when(F.col("first.kind") == NDIS, F.array_distinct(F.array("first", "last"))).otherwise(F.array("first"))
-    return grouped.select("pattern", F.explode(kept).alias("f")).select("f.*", "pattern")
+    return rows.groupBy("pattern", keep_apart.alias("apart")).agg(F.min(entry).alias("f")).select("f.*", "pattern")

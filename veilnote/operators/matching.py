@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.detectors import detect_locations
 from ..functions.text import (
@@ -30,15 +30,16 @@ from ..functions.text import (
     word_pattern, word_tokens,
 )
 from ..functions.verify import HITS_TYPE, no_hits
-from ..session import fits_broadcast
+from ..session import cut_lineage, fits_broadcast
 
 MAX_RUN = 3            # longer forms are keyed by their first MAX_RUN words
 GRAMS = (5, 8, 10, 12, 16)
 AT_CONTEXT = 64
 EVERY_NOTE = ""        # key of forms that are candidates of every note
+_BLOCK = 4096          # positions of a window over the holders of one value
 _SALTS = 32            # hot 'every note' key is spread over this many tasks
 
-STEP_TYPE = ("struct<pass_no:int,major:bigint,kind:int,variant:int,form:string,tag:string,"
+STEP_TYPE = ("struct<pass_no:int,major:bigint,kind:bigint,variant:int,form:string,tag:string,"
              "label:string,pattern:string,once:boolean>")
 STEPS_TYPE = f"array<{STEP_TYPE}>"
 
@@ -51,6 +52,7 @@ class KeyedForms:
     every_note: bool            # some forms have no key
     emails: bool                # some forms are keyed around '@'
     broadcast: bool
+    shared: DataFrame | None = None     # later holders of values that several participants have: pattern, major
 
 
 def _step(**parts: Column) -> Column:
@@ -87,9 +89,10 @@ def _reentrant(tokens: Column, form: Column, tag_words: Column, codes: bool, edg
 
 
 def word_forms(steps: DataFrame, codes: bool) -> KeyedForms:
-    """Key (pass_no, form, tag, label) rows by their folded words.
+    """Key (pass_no, form, tag, label, first_pos) rows by their folded words.
 
-    Forms equal but for case are one step of a pass unless re-entrant: after
+    Longest first, equal lengths by the position of their first holder, then by
+    form.  Forms equal but for case are one step of a pass unless re-entrant: after
     the first one ran nothing is left for the others.
     """
     table = _keyed_words(steps, codes, edges=False)
@@ -109,10 +112,10 @@ def _keyed_words(steps: DataFrame, codes: bool, edges: bool) -> DataFrame:
         F.col("tokens"), F.col("form"), lit_words(tags), codes, edges))
     rows = rows.withColumn("fold", F.when(F.col("reentrant"), F.col("form")).otherwise(fold_case(F.col("form"))))
     first = rows.groupBy("pass_no", "fold").agg(
-        F.min_by(F.struct("form", "tag", "label", "tokens", "reentrant"),
-                 F.struct(-F.length("form"), F.col("form"), F.col("tag"))).alias("r"))
+        F.min_by(F.struct("form", "tag", "label", "first_pos", "tokens", "reentrant"),
+                 F.struct(-F.length("form"), F.col("first_pos"), F.col("form"), F.col("tag"))).alias("r"))
     step = _step(
-        pass_no=F.col("pass_no"), major=-F.length("r.form"), kind=F.lit(0), variant=F.lit(0),
+        pass_no=F.col("pass_no"), major=-F.length("r.form"), kind=F.col("r.first_pos"), variant=F.lit(0),
         form=F.col("r.form"), tag=F.col("r.tag"), label=F.col("r.label"),
         pattern=word_pattern(F.col("r.form")), once=F.lit(False))
     plain = F.filter("r.tokens", lambda t: ~t.rlike(r"part$|^\d") & ~F.array_contains(lit_words(tags), t))
@@ -195,6 +198,9 @@ def candidate_steps(notes: DataFrame, keys: Column, forms: KeyedForms, note_id:
     list is bounded by the distinct word runs or grams of the note itself.
     """
     found = candidates(notes, keys, forms, note_id)
+    if forms.shared is not None:
+        found = cut_lineage(found)
+        found = found.unionByName(searched_again(found, forms.shared, note_id))
     grouped = found.groupBy(note_id).agg(
         F.collect_set(F.when(~F.col("reentrant"), F.col("step"))).alias("direct"),
         F.collect_set(F.when(F.col("reentrant"), F.col("step"))).alias("again"))
@@ -203,6 +209,43 @@ def candidate_steps(notes: DataFrame, keys: Column, forms: KeyedForms, note_id:
     return grouped.select(note_id, steps.alias("steps"))
 
 
+def searched_again(found: DataFrame, shared: DataFrame, note_id: str = "note_id") -> DataFrame:
+    """Further steps of the shared values of a note: after each step of another kind, the next holder's turn.
+
+    Between two such steps a value that was searched once can't match again,
+    since only they put in something new.  So the first holder after each of
+    them stands for all, and a note gets no more steps than its own steps ask for.
+    """
+    step = F.col("step")
+    mine = found.withColumn("pattern", step["pattern"]).join(shared.select("pattern"), "pattern", "left_semi")
+    edits = found.select(note_id, step["kind"].alias("edit"), step["major"].alias("after"))
+    asked = mine.join(edits, note_id).where(
+        (F.col("edit") != step["kind"]) & (F.col("after") >= step["major"])).select(
+        note_id, "reentrant", "step", "pattern", "after").distinct()
+    turn = next_holders(asked.select("pattern", "after").distinct(), shared)
+    return asked.join(turn, ["pattern", "after"]).select(
+        note_id, "reentrant", step.withField("major", F.col("turn")).cast(STEP_TYPE).alias("step")).distinct()
+
+
+def next_holders(asked: DataFrame, shared: DataFrame) -> DataFrame:
+    """(pattern, after, turn): the first position above ``after`` in shared(pattern, major).
+
+    Positions are cut into blocks, so a value held by a third of the roster is
+    spread over many windows of at most two rows per position; a second window
+    over one row per block finds holders in later blocks.
+    """
+    block = F.floor(F.col("at") / _BLOCK).alias("block")
+    marks = asked.select("pattern", F.col("after").alias("at"), F.lit(None).cast("long").alias("holder")).unionByName(
+        shared.select("pattern", F.col("major").alias("at"), F.col("major").alias("holder"))).select("*", block)
+    later = Window.partitionBy("pattern").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = marks.groupBy("pattern", "block").agg(F.min("holder").alias("least")).select(
+        "pattern", "block", F.min("least").over(later).alias("beyond"))
+    above = Window.partitionBy("pattern", "block").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1)
+    return marks.withColumn("near", F.min("holder").over(above)).where("holder is null").join(
+        blocks, ["pattern", "block"]).select(
+        "pattern", F.col("at").alias("after"), F.coalesce("near", "beyond").alias("turn")).where("turn is not null")
+
+
 def fold_steps(text: Column, steps: Column) -> Column:
     """Apply ordered steps; gives ``struct(text, hits)``."""
     def apply(acc: Column, s: Column) -> Column:

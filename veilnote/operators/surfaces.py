@@ -36,19 +36,23 @@ def participant_forms(roster: DataFrame) -> DataFrame:
 def name_dictionary(roster: DataFrame) -> DataFrame:
     """One row per surface form; on shared forms the last participant wins.
 
-    ``max_by`` aggregates on the map side first, so a surname held by a third
+    ``first_pos`` is the position of the form's first holder, by which forms of
+    equal length are ordered.  ``max_by`` aggregates on the map side first, so a surname held by a third
     of the roster shuffles one row per task.
     """
     return participant_forms(roster).groupBy("form").agg(
         F.max_by("ref_code", F.struct("pos", "ref_code")).alias("ref_code"),
         (F.min("ref_code") != F.max("ref_code")).alias("ambiguous"),
+        F.min("pos").alias("first_pos"),
     )
 
 
 def staff_forms(staff: DataFrame) -> DataFrame:
+    """(form, first_pos); without a ``pos`` column all staff hold the same position."""
     name = full_name(F.col("first_name"), F.col("last_name"))
-    return staff.select(F.explode(name_variations(name)).alias("form")).where(
-        surface_ok(F.col("form"))).distinct()
+    pos = F.col("pos").cast("long") if "pos" in staff.columns else F.lit(0).cast("long")
+    return staff.select(F.explode(name_variations(name)).alias("form"), pos.alias("pos")).where(
+        surface_ok(F.col("form"))).groupBy("form").agg(F.min("pos").alias("first_pos"))
 
 
 def dictionary_surfaces(rows: DataFrame) -> DataFrame:
@@ -75,11 +79,11 @@ def word_steps(roster: DataFrame | None, staff: DataFrame | None) -> DataFrame |
         parts.append(name_dictionary(roster).select(
             F.lit(PASS_PARTICIPANT).alias("pass_no"), "form",
             F.col("ref_code").alias("tag"),
-            F.concat(F.lit(NAME_LABEL_PREFIX), "ref_code").alias("label")))
+            F.concat(F.lit(NAME_LABEL_PREFIX), "ref_code").alias("label"), "first_pos"))
     if staff is not None:
         parts.append(staff_forms(staff).select(
             F.lit(PASS_STAFF).alias("pass_no"), "form",
-            F.lit(STAFF_TAG).alias("tag"), F.lit(STAFF_LABEL).alias("label")))
+            F.lit(STAFF_TAG).alias("tag"), F.lit(STAFF_LABEL).alias("label"), "first_pos"))
     return _union(parts)
 
 
@@ -91,7 +95,7 @@ def dictionary_steps(surfaces: DataFrame) -> DataFrame:
     spec = {n: F.element_at(lit_map(table), F.col("type")) for n, table in columns.items()}
     return dictionary_forms(surfaces).select(
         spec["pass_no"].cast("int").alias("pass_no"), F.col("surface").alias("form"),
-        spec["tag"].alias("tag"), spec["label"].alias("label"))
+        spec["tag"].alias("tag"), spec["label"].alias("label"), F.lit(0).cast("long").alias("first_pos"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame | None:

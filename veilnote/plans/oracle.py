@@ -88,7 +88,7 @@ FORMS = f"""
 pforms AS (SELECT form, ref_code, k FROM (
     SELECT unnest({variants("fn")}) AS form, ref_code, k
     FROM (SELECT first_name || ' ' || last_name AS fn, ref_code, k FROM fx_roster)) WHERE {usable("form")}),
-dict1 AS (SELECT form, arg_max(ref_code, k) AS ref_code, min(ref_code) <> max(ref_code) AS ambiguous
+dict1 AS (SELECT form, arg_max(ref_code, k) AS ref_code, min(ref_code) <> max(ref_code) AS ambiguous, min(k) + 1 AS first_pos
           FROM pforms GROUP BY form),
 sforms AS (SELECT DISTINCT form FROM (
     SELECT unnest({variants("fn")}) AS form
@@ -104,9 +104,9 @@ _TAG = "CASE type " + " ".join(f"WHEN '{t}' THEN '{v[0]}'" for t, v in DICTIONAR
 _LABEL = "CASE type " + " ".join(f"WHEN '{t}' THEN '{v[1]}'" for t, v in DICTIONARY_TYPES.items()) + " END"
 
 WORD_STEPS = {
-    "participants": "SELECT 1 AS p, form, ref_code AS tag, 'NAME→' || ref_code AS label FROM dict1",
-    "staff": "SELECT 2 AS p, form, '[STAFF_NAME]' AS tag, 'STAFF_NAME' AS label FROM sforms",
-    "dictionary": f"""SELECT {_PASS} AS p, surface AS form, {_TAG} AS tag, {_LABEL} AS label FROM surf
+    "participants": "SELECT 1 AS p, form, ref_code AS tag, 'NAME→' || ref_code AS label, first_pos FROM dict1",
+    "staff": "SELECT 2 AS p, form, '[STAFF_NAME]' AS tag, 'STAFF_NAME' AS label, 0 AS first_pos FROM sforms",
+    "dictionary": f"""SELECT {_PASS} AS p, surface AS form, {_TAG} AS tag, {_LABEL} AS label, 0 AS first_pos FROM surf
         WHERE length(surface) > 2 AND (type = 'Organization' OR lower(surface) NOT IN {_GENERIC})""",
 }
 
@@ -135,13 +135,13 @@ def word_fold(src: str, steps: str, out: str) -> str:
     """Word forms: first-word join, then substring test, then the fold."""
     sel = " UNION ALL ".join(WORD_STEPS[k] for k in steps.split(","))
     return f"""
-{out}_f AS MATERIALIZED (SELECT p, arg_min(form, (form, tag)) AS form, arg_min(tag, (form, tag)) AS tag,
-      arg_min(label, (form, tag)) AS label FROM ({sel}) GROUP BY p, lower(form)),
+{out}_f AS MATERIALIZED (SELECT p, arg_min(form, (first_pos, form, tag)) AS form, arg_min(tag, (first_pos, form, tag)) AS tag,
+      arg_min(label, (first_pos, form, tag)) AS label, min(first_pos) AS first_pos FROM ({sel}) GROUP BY p, lower(form)),
 {out}_k AS MATERIALIZED (SELECT *, list_filter(string_split_regex(lower(form), '\\W+'), lambda t: t <> '')[1] AS k FROM {out}_f),
 {out}_t AS MATERIALIZED (SELECT DISTINCT note_id, k FROM (
       SELECT note_id, unnest(string_split_regex(lower(text), '\\W+')) AS k FROM {src})
       WHERE k IN (SELECT k FROM {out}_k)),
-{_fold(src, f'''SELECT note_id, p AS o1, -length(form) AS o2, 0 AS o3, 0 AS o4, form, tag, label,
+{_fold(src, f'''SELECT note_id, p AS o1, -length(form) AS o2, first_pos AS o3, 0 AS o4, form, tag, label,
         '(?i)\\b' || regexp_escape(form) || '\\b' AS pat, false AS once
       FROM {out}_t JOIN {out}_k USING (k) JOIN {src} USING (note_id) WHERE contains(lower(text), lower(form))''', out).strip()}"""
 

@@ -514,16 +514,16 @@ def _(spark, sf_dir):
     return sel.dedup_notes(keyed_notes(spark, sf_dir)).select("note_id", "src_file", "src_row")
 
 
-@query("name_dictionary", with_sql(f"WITH {o.FORMS} SELECT form, ref_code, ambiguous FROM dict1", "roster", "staff"))
+@query("name_dictionary", with_sql(f"WITH {o.FORMS} SELECT form, ref_code, ambiguous, first_pos FROM dict1", "roster", "staff"))
 def _(spark, sf_dir):
     return sf.name_dictionary(b.roster(spark, sf_dir))
 
 
 @query("longest_first", with_sql(f"""WITH {o.FORMS} SELECT ref_code,
-    string_agg(form, '|' ORDER BY -length(form), form) AS forms FROM dict1 GROUP BY ref_code""", "roster", "staff"))
+    string_agg(form, '|' ORDER BY -length(form), first_pos, form) AS forms FROM dict1 GROUP BY ref_code""", "roster", "staff"))
 def _(spark, sf_dir):
     return sf.name_dictionary(b.roster(spark, sf_dir)).groupBy("ref_code").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.length("form")).alias("n"), "form"))), lambda x: x["form"]), "|").alias("forms"))
+        F.array_sort(F.collect_list(F.struct((-F.length("form")).alias("n"), "first_pos", "form"))), lambda x: x["form"]), "|").alias("forms"))
 
 
 def all_spans() -> Column:
