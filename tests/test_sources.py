@@ -104,6 +104,16 @@ def test_scan_mixed_layouts(spark, tmp_path):
     assert {r.src_file: r.alert for r in no_match_alert(scanned, "2030-01-01").collect()} == {"a.csv": False, "b.csv": False}
 
 
+def test_folders_inside_are_not_read(spark, tmp_path):
+    os.mkdir(tmp_path / "archive")
+    for folder in (tmp_path, tmp_path / "archive"):
+        write(folder, "a.csv", "client name,progress note\nTom Brown,Walked.\n")
+        write(folder, "2025-01-15-PART-001.txt", "Walked.")
+    assert scan_notes_csv(spark, str(tmp_path)).count() == 1
+    assert scan_note_files(spark, str(tmp_path)).count() == 1
+    assert sorted(r.file_name for r in file_inventory(spark, str(tmp_path)).collect()) == ["2025-01-15-PART-001.txt", "a.csv"]
+
+
 def test_pipeline_run_twice(spark, tmp_path):
     os.mkdir(tmp_path / "in")
     write(tmp_path / "in", "notes.csv", CSV + "15/01/2025,Tom,Brown,Ref +61412345678901234567 with Jane,,,\n"

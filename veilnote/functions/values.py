@@ -19,7 +19,7 @@ def dob_variants(dob: Column, normalise: bool = False) -> Column:
         dob = F.coalesce(F.date_format(parse_note_date(dob), "yyyy-MM-dd"), dob)
     parts = F.split(dob, "-")
     y, m, d = (F.get(parts, F.lit(i)) for i in range(3))
-    yy = F.substring(y, 3, 1_000_000)
+    yy = F.substring(y, F.lit(3), F.length(y))
     forms = F.flatten(F.array(*[
         F.array(F.concat_ws(sep, d, m, y), F.concat_ws(sep, d, m, yy), F.concat_ws(sep, m, d, y))
         for sep in ("/", "-", ".")]))

@@ -63,7 +63,7 @@ def exports(spark: SparkSession, sf_dir: str) -> str:
         rows.where(F.col("src_file") == name).select(*[F.col(c).alias(h) for c, h in columns]).write.options(
             header="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false",
             ignoreTrailingWhiteSpace="false").csv(f"{path}/{name}")
-    return path
+    return f"{path}/*"
 
 
 @query("scan_notes_csv", with_sql("""

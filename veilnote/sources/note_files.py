@@ -8,8 +8,8 @@ from ..functions.text import py_strip
 
 
 def scan_note_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``*.txt`` file: name and whole text."""
-    reader = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
+    """One row per ``*.txt`` file of a folder, not of the folders in it: name and whole text."""
+    reader = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.txt")
     return reader.text(path).select(
         F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
@@ -50,7 +50,7 @@ def choose_source_mode(documents: DataFrame, exports: DataFrame) -> tuple[str, D
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Files of a folder without reading their content."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+    return spark.read.format("binaryFile").load(path).select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "modificationTime", "length")
 
 

@@ -43,12 +43,12 @@ def logical_rows(df: DataFrame, headers, aliases=None) -> DataFrame:
 
 
 def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files of a folder grouped by header line.
+    """Files of a folder, not of the folders in it, grouped by header line.
 
     One distributed pass takes the first line of every file; only those lines
     and the file names reach the driver.
     """
-    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").text(path)
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
     firsts = (
         lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
                      F.monotonically_increasing_id().alias("row"), "value")
