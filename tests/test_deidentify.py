@@ -10,13 +10,13 @@ from veilnote.operators.surfaces import dictionary_surfaces
 from veilnote.plans import bindings as B
 
 COLS = ["ref_code", "first_name", "last_name", "ndis_number", "date_of_birth", "address", "phone", "email"]
-P1 = ("PART-001", "Petra", "Holt", "431287650", "1985-03-15", "17 Harbour Street, Melbourne VIC 3000",
-      "0412345678", "petra.holt@example.com")
-P2 = ("PART-002", "Tom", "Brown", "987654321", "1990-07-22", "", "", "")
+P1 = ("PART-001", "Petra", "Holt", "431287650", "1968-10-24", "17 Harbour Street, Melbourne VIC 3000",
+      "0437218906", "petra.holt@example.com")
+P2 = ("PART-002", "Ivo", "Lund", "562198437", "1979-11-30", "", "", "")
 STAFF = [("Mara", "Quill")]
-WHOLE = ("Petra Holt (NDIS: 431287650, DOB: 15/03/1985) came to the group at "
+WHOLE = ("Petra Holt (NDIS: 431287650, DOB: 24/10/1968) came to the group at "
          "17 Harbour Street, Melbourne VIC 3000. Helper Mara Quill was there. "
-         "Petra's sister rang from 0412 345 678. Tom Brown looked in later. "
+         "Petra's sister rang from 0437 218 906. Ivo Lund looked in later. "
          "Forms went to petra.holt@example.com.")
 WHOLE_OUT = ("PART-001 (NDIS: [NDIS_REDACTED], DOB: [DOB]) came to the group at [ADDRESS], "
              "Melbourne [LOCATION] 3000. Helper [STAFF_NAME] was there. PART-001 sister "
@@ -47,9 +47,9 @@ def test_whole_note(spark):
 
 
 def test_single_passes(spark):
-    got = run(spark, ["Number 431287650 is on file.", "Ring 0412 345 678.",
-                      "Email: petra.holt@example.com", "DOB: 15/03/1985",
-                      "Petra planned a walk with Tom Brown.",
+    got = run(spark, ["Number 431287650 is on file.", "Ring 0437 218 906.",
+                      "Email: petra.holt@example.com", "DOB: 24/10/1968",
+                      "Petra planned a walk with Ivo Lund.",
                       "Helper Mara Quill cooked lunch.",
                       "+61412345678901234567"], [P1, P2], STAFF)
     assert [g[0] for g in got] == [
@@ -61,9 +61,9 @@ def test_single_passes(spark):
 
 
 def test_clean_text_is_stable(spark):
-    clean = "Participant attended the scheduled session."
+    clean = "A calm afternoon with cards and tea."
     assert run(spark, [clean], [P1, P2]) == [(clean, {}, None)]
-    assert run(spark, ["Ref: 111222333"], [P1]) == [("Ref: [NDIS_REDACTED]", {"NDIS": 1}, None)]
+    assert run(spark, ["Ref: 640017259"], [P1]) == [("Ref: [NDIS_REDACTED]", {"NDIS": 1}, None)]
 
 
 FIRST = ["Petra", "Tom", "Part", "Michael", "Anne Marie", "Al", "May", "Liz", "Zoë", "JANE"]
@@ -76,7 +76,7 @@ def world(seed):
     for i in range(25):
         first, last = rnd.choice(FIRST), rnd.choice(LAST)
         people.append((f"PART-{i + 1:03d}", first, last, "N/A" if i in (3, 17) else rnd.choice(["", str(430000000 + i)]),
-                       rnd.choice(["", f"19{60 + i}-0{i % 9 + 1}-1{i % 10}", "15/03/1985", "--"]),
+                       rnd.choice(["", f"19{60 + i}-0{i % 9 + 1}-1{i % 10}", "24/10/1968", "--"]),
                        rnd.choice(["", f"{i} Andrew Street, Box Hill", "42 Forest Road", "short"]),
                        rnd.choice(["", f"04{i:08d}", f"(03) 9123 40{i:02d}", "04" + "1" * 8, "-"]),
                        rnd.choice(["", f"{first}.{i}@example.com".lower().replace(" ", ""), "a@localhost"])))
@@ -162,9 +162,9 @@ def test_cut_lineage_gives_the_same(spark):
 
 
 def test_normalise_dob_is_opt_in(spark):
-    person = ("PART-009", "Zed", "Quux", "", "15/03/1985", "", "", "")
-    assert run(spark, ["on 15/03/1985"], [person])[0][0] == "on 15/03/1985"
-    assert run(spark, ["on 15/03/1985"], [person], normalise_dob=True)[0][0] == "on [DOB]"
+    person = ("PART-009", "Zed", "Quux", "", "24/10/1968", "", "", "")
+    assert run(spark, ["on 24/10/1968"], [person])[0][0] == "on 24/10/1968"
+    assert run(spark, ["on 24/10/1968"], [person], normalise_dob=True)[0][0] == "on [DOB]"
 
 
 def test_table_notes_equal_brute_force(spark, sf):

@@ -26,8 +26,8 @@ def test_unreadable_state_is_an_error(spark, tmp_path):
 
 
 def test_mask_spans_line_ends(spark):
-    rows = spark.createDataFrame([("n", "c", True, "phone ['04\u2028123']")], "note_id string, ref_code string, is_quarantined boolean, quarantine_reason string")
-    assert report_quarantined(rows).select("reason").first()[0] == "phone [masked]"
+    rows = spark.createDataFrame([("n", "c", True, "Residual phone numbers in output: ['04\u2028123']")], "note_id string, ref_code string, is_quarantined boolean, quarantine_reason string")
+    assert report_quarantined(rows).select("reason").first()[0] == "Residual phone numbers in output: [masked]"
 
 
 def test_notes_without_id_are_redacted(spark):

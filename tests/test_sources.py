@@ -25,13 +25,13 @@ def one(spark, value, column):
 
 
 @pytest.mark.parametrize("column,text,expected", [
-    (detect_ndis, "NDIS: 430123456", ["430123456"]), (detect_ndis, "ref 4301234567", []),
-    (detect_phones, "call 0412 345 678", ["0412 345 678"]), (detect_phones, "phone: (03) 9123 4567", ["03) 9123 4567"]),
-    (detect_emails, "jane.smith@ndis.gov.au", ["jane.smith@ndis.gov.au"]),
-    (detect_addresses, "42 Example Street and 9 Main Strand", ["42 Example Street", "9 Main St"]),
+    (detect_ndis, "number 518340276 given", ["518340276"]), (detect_ndis, "order 5183402761", []),
+    (detect_phones, "rang 0437 218 906 twice", ["0437 218 906"]), (detect_phones, "desk (07) 3811 2065", ["07) 3811 2065"]),
+    (detect_emails, "to petra.holt@example.org now", ["petra.holt@example.org"]),
+    (detect_addresses, "17 Harbour Street and 9 Main Strand", ["17 Harbour Street", "9 Main St"]),
     (detect_suburb_postcode, "Box Hill, VIC 3128", ["Box Hill", "3128"]), (detect_suburb_postcode, "City, 3000", ["3000"]),
     (detect_suburb_postcode, "Box Hill, 2024", []), (detect_suburb_postcode, "Melbourne VIC 3000", []),
-    (name_variations, "Madonna", ["Madonna", "Madonna's"]), (name_variations, "  ", []), (name_variations, "Dr Al", []),
+    (name_variations, "Petronella", ["Petronella", "Petronella's"]), (name_variations, "  ", []), (name_variations, "Dr Al", []),
     (strip_title, "Dr Mr X", "Mr X"), (strip_title, "Drew Smith", "Drew Smith"), (client_key, "Jane Smith", "csv_ef6efb88"),
     (street_part, "42 Forest Road", "42 Forest"), (street_part, "42 Andrew Street", "42 Andr"),
     (street_part, "42 Stanley Road", "42 Stanley Road"), (dob_variants, "15/03/1985", []), (dob_variants, "", []),
@@ -44,10 +44,10 @@ def test_column_functions(spark, column, text, expected):
 
 
 def test_name_variations_contents(spark):
-    assert {"Jane Smith", "Jane", "Smith"} <= set(one(spark, "Jane Smith", name_variations))
-    titled = one(spark, "Dr. Sarah Connor", name_variations)
-    assert "Sarah Connor" in titled and "Dr." not in titled
-    assert "Mike" in one(spark, "Michael Jones", name_variations)
+    assert {"Petra Holt", "Petra", "Holt"} <= set(one(spark, "Petra Holt", name_variations))
+    titled = one(spark, "Dr. Ivo Lund", name_variations)
+    assert "Ivo Lund" in titled and "Dr." not in titled
+    assert "Mike" in one(spark, "Michael Quill", name_variations)
     assert "Elizabeth" in one(spark, "Liz Ng", name_variations)
 
 
@@ -87,18 +87,18 @@ def write(path, name, text):
 
 
 CSV = ("Date,First Name,Last Name,Note,Support Worker,NDIS Number,Date of Birth\n"
-       "15/01/2025,Jane,Smith,Jane attended the session and engaged well with activities.,Alex Worker,430123456,15/03/1985\n")
+       "15/01/2025,Petra,Holt,Petra planted beans and watered the herbs.,Mara Quill,518340276,24/10/1968\n")
 
 
 def test_scan_mixed_layouts(spark, tmp_path):
-    write(tmp_path, "a.csv", "﻿" + CSV + '14/01/2025,Tom,Brown,"said ""hi"",\nthen left",,,\n,Al\n')
-    write(tmp_path, "b.csv", "client name,progress note\nJane Smith,Met Tom.\n,Alone.\n")
+    write(tmp_path, "a.csv", "﻿" + CSV + '14/01/2025,Ivo,Lund,"said ""hi"",\nthen left",,,\n,Al\n')
+    write(tmp_path, "b.csv", "client name,progress note\nPetra Holt,Met Ivo.\n,Alone.\n")
     rows = scan_notes_csv(spark, str(tmp_path)).orderBy("src_file", "src_row").collect()
-    assert [r.note for r in rows] == ["Jane attended the session and engaged well with activities.",
-                                      'said "hi",\nthen left', "", "Met Tom.", "Alone."]
+    assert [r.note for r in rows] == ["Petra planted beans and watered the herbs.",
+                                      'said "hi",\nthen left', "", "Met Ivo.", "Alone."]
     assert [r.src_file for r in rows] == ["a.csv"] * 3 + ["b.csv"] * 2
     notes = notes_from_rows(scan_notes_csv(spark, str(tmp_path)), "2025-01-15").orderBy("src_file", "src_row").collect()
-    assert [(n.first_name, n.last_name) for n in notes] == [("Jane", "Smith"), ("Jane", "Smith"), ("", "")]
+    assert [(n.first_name, n.last_name) for n in notes] == [("Petra", "Holt"), ("Petra", "Holt"), ("", "")]
     scanned = scan_notes_csv(spark, str(tmp_path))
     assert {r.src_file: r.note_rows for r in count_note_rows(scanned).collect()} == {"a.csv": 2, "b.csv": 2}
     assert {r.src_file: r.alert for r in no_match_alert(scanned, "2030-01-01").collect()} == {"a.csv": False, "b.csv": False}
@@ -107,7 +107,7 @@ def test_scan_mixed_layouts(spark, tmp_path):
 def test_folders_inside_are_not_read(spark, tmp_path):
     os.mkdir(tmp_path / "archive")
     for folder in (tmp_path, tmp_path / "archive"):
-        write(folder, "a.csv", "client name,progress note\nTom Brown,Walked.\n")
+        write(folder, "a.csv", "client name,progress note\nIvo Lund,Walked.\n")
         write(folder, "2025-01-15-PART-001.txt", "Walked.")
     assert scan_notes_csv(spark, str(tmp_path)).count() == 1
     assert scan_note_files(spark, str(tmp_path)).count() == 1
@@ -116,15 +116,15 @@ def test_folders_inside_are_not_read(spark, tmp_path):
 
 def test_pipeline_run_twice(spark, tmp_path):
     os.mkdir(tmp_path / "in")
-    write(tmp_path / "in", "notes.csv", CSV + "15/01/2025,Tom,Brown,Ref +61412345678901234567 with Jane,,,\n"
-          + "15/01/2025,Tom,Brown,Ref +61412345678901234567 with Jane,,,\n")
+    write(tmp_path / "in", "notes.csv", CSV + "15/01/2025,Ivo,Lund,Ref +61412345678901234567 with Petra,,,\n"
+          + "15/01/2025,Ivo,Lund,Ref +61412345678901234567 with Petra,,,\n")
     base = str(tmp_path / "state")
     first = daily_run(spark, str(tmp_path / "in"), Run(base, "r1", "2025-01-15", "notes.csv")).first().asDict()
     assert first == {"total": 3, "uploaded": 1, "quarantined": 1, "skipped": 1, "errors": 0}
     second = daily_run(spark, str(tmp_path / "in"), Run(base, "r2", "2025-01-15")).first().asDict()
     assert second == {"total": 3, "uploaded": 0, "quarantined": 0, "skipped": 3, "errors": 0}
     codes = {r.full_name: r.ref_code for r in read_state(spark, base, "registry").collect()}
-    assert codes == {"Jane Smith": "PART-001", "Tom Brown": "PART-002"}
+    assert codes == {"Petra Holt": "PART-001", "Ivo Lund": "PART-002"}
     assert read_state(spark, base, "processed_log").count() == 2
     assert read_state(spark, base, "run_ledger").count() == 2
     out = spark.read.parquet(f"{base}/outputs/run_id=r1").orderBy("disposition").collect()
@@ -133,14 +133,14 @@ def test_pipeline_run_twice(spark, tmp_path):
 
 
 def test_documents_come_first(spark, tmp_path):
-    write(tmp_path, "2025-01-15-part-7.txt", "Call 0412 345 678.")
+    write(tmp_path, "2025-01-15-part-7.txt", "Call 0437 218 906.")
     write(tmp_path, "2025-02-31-PART-8.txt", "bad day")
     write(tmp_path, "2025-01-15-PART-9.txt", " \n")
     write(tmp_path, "other.txt", "x")
     write(tmp_path, "notes.csv", CSV)
     files = scan_note_files(spark, str(tmp_path))
     assert [(r.ref_code, r.created_at, r.note) for r in notes_from_files(files).collect()] == [
-        ("PART-7", "2025-01-15", "Call 0412 345 678.")]
+        ("PART-7", "2025-01-15", "Call 0437 218 906.")]
     assert skipped_files(files).first().asDict() == {"total": 4, "usable": 1, "skipped": 3}
     assert choose_source_mode(files, files)[0] == "documents"
     assert file_inventory(spark, str(tmp_path)).count() == 5
@@ -155,9 +155,9 @@ def test_empty_folder(spark, tmp_path):
 
 
 def test_dictionary_is_optional(spark, tmp_path):
-    write(tmp_path, "d.csv", " Type ,Name\nCarer,Margaret Smith\nCarer,\nOther,X\nLocation, Box Hill \n")
+    write(tmp_path, "d.csv", " Type ,Name\nCarer,Beatrix Lund\nCarer,\nOther,X\nLocation, Box Hill \n")
     got = {(r.type, r.surface) for r in scan_pii_dictionary(spark, str(tmp_path / "d.csv")).collect()}
-    assert ("Location", "Box Hill") in got and ("Carer", "Margaret") in got and len(got) == 7
+    assert ("Location", "Box Hill") in got and ("Carer", "Beatrix") in got and len(got) == 7
     write(tmp_path, "bad.csv", "Kind,Name\nCarer,X\n")
     for path in (None, str(tmp_path / "absent.csv"), str(tmp_path / "bad.csv")):
         assert scan_pii_dictionary(spark, path).count() == 0

@@ -109,12 +109,18 @@ def ngrams(tokens: Column, sizes) -> Column:
     return bind(tokens, all_runs) if sizes else empty_strings()
 
 
+#: White space other than the plain blank, and how a quoted list writes it.
+_ESCAPES = [(c, repr(c)[1:-1]) for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+
+
+def _escaped(value: Column) -> Column:
+    for plain, shown in _ESCAPES:
+        value = F.replace(value, F.lit(plain), F.lit(shown))
+    return value
+
+
 def py_quoted_list(values: Column) -> Column:
     """Sorted distinct strings, written as ``['a', 'b']``."""
     shown = F.transform(F.array_sort(F.array_distinct(values)), lambda v: F.concat(
-        F.lit("'"),
-        F.replace(F.replace(F.replace(F.replace(
-            v, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")),
-            F.lit("\t"), F.lit("\\t")), F.lit(" "), F.lit("\\xa0")),
-        F.lit("'")))
+        F.lit("'"), F.when(v.rlike(r"(?U)[\s&&[^ ]]|[\x1c-\x1f]"), _escaped(v)).otherwise(v), F.lit("'")))
     return F.concat(F.lit("["), F.array_join(shown, ", "), F.lit("]"))

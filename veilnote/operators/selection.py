@@ -19,11 +19,11 @@ def drop_blank_notes(notes: DataFrame) -> DataFrame:
 
 def skip_processed(notes: DataFrame, log: DataFrame) -> DataFrame:
     """Notes whose id is not in the processed log; run before any text work."""
-    return notes.join(broadcast_if_small(log.select("note_id").distinct()), "note_id", "left_anti")
+    return notes.join(broadcast_if_small(log.select("note_id")), "note_id", "left_anti")
 
 
 def already_processed(notes: DataFrame, log: DataFrame) -> DataFrame:
-    return notes.join(broadcast_if_small(log.select("note_id").distinct()), "note_id", "left_semi")
+    return notes.join(broadcast_if_small(log.select("note_id")), "note_id", "left_semi")
 
 
 def first_positions(notes: DataFrame) -> DataFrame:
@@ -65,9 +65,9 @@ def isolate_errors(notes: DataFrame) -> DataFrame:
 
 def already_ran(requested: DataFrame, archived: DataFrame) -> DataFrame:
     """Requested dates without archived input."""
-    return requested.join(broadcast_if_small(archived.select("run_date").distinct()), "run_date", "left_anti")
+    return requested.join(broadcast_if_small(archived.select("run_date")), "run_date", "left_anti")
 
 
 def export_worklist(participants: DataFrame, inventory: DataFrame) -> DataFrame:
     """(ref_code, run_date) still to be exported."""
-    return participants.join(inventory.select("ref_code", "run_date").distinct(), ["ref_code", "run_date"], "left_anti")
+    return participants.join(inventory.select("ref_code", "run_date"), ["ref_code", "run_date"], "left_anti")

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..fixed_values import LEDGER_COLUMNS, LEDGER_ERROR_SUFFIX, REPORT_METRICS
+from ..fixed_values import LEDGER_COLUMNS, LEDGER_ERROR_SUFFIX, REPORT_METRICS, RESIDUAL_REASONS
 
 
 def run_stats(routed: DataFrame) -> DataFrame:
@@ -35,7 +35,9 @@ def report_quarantined(results: DataFrame, masked: bool = True) -> DataFrame:
     """Quarantined notes; the raw values in the reason are masked by default."""
     reason = F.col("quarantine_reason")
     if masked:
-        reason = F.regexp_replace(reason, r"(?s)\[.*\]\z", "[masked]")
+        # The kind is looked up rather than cut out of the text, so no raw value can slip through.
+        kinds = [F.when(reason.startswith(kind), F.lit(kind + "[masked]")) for kind in RESIDUAL_REASONS]
+        reason = F.coalesce(*kinds, F.lit("[masked]"))
     return results.where("is_quarantined").select("note_id", "ref_code", reason.alias("reason"))
 
 

@@ -113,7 +113,7 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Called (03) 9123 4567 and +61 412 345 "), _pad(o % 1000, 3), F.lit(" from "),
                  "place", F.lit(" with carer "), "carer", F.lit(".")),
         F.concat(F.lit("Ref +61412345678"), (900000000 + o).cast("string"), F.lit(" noted.")),
-        F.lit("Participant engaged well with activities."),
+        F.lit("Quiet morning, painted two boards and had soup."),
     )
     note = F.when(F.col("n") == 0, texts[0])
     for n, text in enumerate(texts[1:], start=1):
@@ -224,7 +224,7 @@ SQL = {
                  || ' from ' || ({_sql_entry_name(_M5 + ' + 2)')}) || ' with carer '
                  || ({_sql_entry_name(_M5 + ')')}) || '.'
                WHEN 5 THEN 'Ref +61412345678' || (900000000 + o_orderkey) || ' noted.'
-               WHEN 6 THEN 'Participant engaged well with activities.'
+               WHEN 6 THEN 'Quiet morning, painted two boards and had soup.'
                ELSE '  ' END AS note
       FROM orders JOIN fx_roster ON o_custkey = k""",
     "rows": """

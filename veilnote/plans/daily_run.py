@@ -9,22 +9,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.codes import assign_codes, registry_entries, with_codes
 from ..operators.deidentify import deidentify
 from ..operators.rosters import client_roster, staff_roster
-from ..operators.selection import dedup_notes, drop_blank_notes, isolate_errors, skip_processed
-from ..operators.stats import run_ledger_row, run_stats
-from ..session import cut_lineage
-from ..sources.notes_csv import notes_from_rows, scan_notes_csv
+from ..operators.selection import already_ran, dedup_notes, drop_blank_notes, isolate_errors, skip_processed
+from ..operators.stats import report_errors, report_metrics, report_quarantined, run_ledger_row, run_stats
+from ..session import cut_lineage, folder_of, move
+from ..sources.notes_csv import csv_files, no_match_alert, notes_from_rows, scan_notes_csv
 from ..sources.note_files import choose_source_mode, notes_from_files, scan_note_files
 from ..sources.outputs import rendered, route_outputs
-from ..sources.state import append_state, init_state, read_state
+from ..sources.state import append_state, init_state, publish_ledger, read_state
 
 
 @dataclass
 class Run:
-    """Where a run keeps its state, and what it is called."""
+    """Where a run keeps its state, and what it is called.
+
+    ``archive``: consumed inputs move to its folder of the run's date, and a date
+    that is there isn't run again.  ``published``: where a copy of the ledger goes.
+    """
     base: str
     run_id: str
     target_date: str
     inputs: str = ""
+    archive: str = ""
+    published: str = ""
+
+
+def write_report(table: DataFrame, run: Run, name: str) -> None:
+    """A report table of the run; a repeated run replaces it."""
+    table.write.mode("overwrite").parquet(f"{run.base}/reports/{name}/run_id={run.run_id}")
 
 
 def code_notes(spark: SparkSession, notes: DataFrame, run: Run) -> DataFrame:
@@ -55,17 +66,26 @@ def process(spark: SparkSession, notes: DataFrame, run: Run, staff: DataFrame |
             "note_id", F.current_timestamp().alias("processed_at"), "output_path",
             F.when(F.col("disposition") == "pending", "success").otherwise("quarantine").alias("status"),
             "ref_code"), run.base, "processed_log", run.run_id)
-        finished = written.select("disposition")
-    else:
-        finished = spark.createDataFrame([], "disposition string")
-    stats = cut_lineage(counters(checked, finished))
+        write_report(report_quarantined(written.withColumn("is_quarantined", F.col("disposition") == "quarantine")),
+                     run, "quarantined")
+    stats = cut_lineage(counters(checked, read_state(spark, run.base, "processed_log", run.run_id)))
+    write_report(report_metrics(stats), run, "metrics")
+    write_report(report_errors(checked), run, "errors")
     append_state(run_ledger_row(stats, run.target_date, dt.datetime.now(dt.timezone.utc).isoformat(), run.inputs),
                  run.base, "run_ledger", run.run_id)
+    if run.published:
+        publish_ledger(spark, run.base, run.published)
     return stats
 
 
-def counters(checked: DataFrame, finished: DataFrame) -> DataFrame:
-    """Run counters; everything neither finished nor failed was skipped."""
+def counters(checked: DataFrame, logged: DataFrame) -> DataFrame:
+    """Run counters; everything neither finished nor failed was skipped.
+
+    What was finished is taken from the run's log rows for its input, so a run
+    that is repeated after it was cut short counts the same.
+    """
+    finished = logged.join(checked.select("note_id"), "note_id", "left_semi").select(
+        F.when(F.col("status") == "success", "pending").otherwise("quarantine").alias("disposition"))
     done = run_stats(finished).select(F.struct("uploaded", "quarantined")).scalar()
     seen = checked.agg(F.count("*").alias("total"), F.count("error").alias("errors"), done.alias("done"))
     return seen.select("total", "errors", "done.*").select(
@@ -73,15 +93,49 @@ def counters(checked: DataFrame, finished: DataFrame) -> DataFrame:
         (F.col("total") - F.col("errors") - F.col("uploaded") - F.col("quarantined")).alias("skipped"), "errors")
 
 
+def archived_dates(spark: SparkSession, archive: str) -> DataFrame:
+    """(run_date) of the dates whose inputs were archived, by folder names."""
+    system, path = folder_of(spark, archive)
+    days = [f.getPath().getName() for f in system.listStatus(path) if f.isDirectory()] if system.exists(path) else []
+    return spark.createDataFrame([(d,) for d in days], "run_date string")
+
+
+def input_files(spark: SparkSession, input_path: str) -> list[str]:
+    """Names of the files of a folder, without those of folders in it."""
+    system, path = folder_of(spark, input_path)
+    return sorted(f.getPath().getName() for f in system.listStatus(path) if f.isFile()) if system.exists(path) else []
+
+
+def archive_files(spark: SparkSession, input_path: str, names: list[str], run: Run) -> None:
+    """Move consumed inputs to the archive folder of the run's date; only names pass the driver."""
+    for name in names:
+        move(spark, f"{input_path.rstrip('/')}/{name}", f"{run.archive.rstrip('/')}/{run.target_date}/{name}")
+
+
 def daily_run(spark: SparkSession, input_path: str, run: Run, surfaces: DataFrame | None = None) -> DataFrame | None:
-    """One run over a folder: documents if there are any, else note exports."""
+    """One run over a folder: documents if there are any, else note exports.
+
+    Gives the counters; none if there is no input, or if the date was archived
+    already.  Outputs, log, reports, alerts, ledger and its copy are written
+    before inputs are archived, so a lost run is repeated as a whole.
+    """
     init_state(spark, run.base)
-    mode, source = choose_source_mode(scan_note_files(spark, input_path), scan_notes_csv(spark, input_path))
+    wanted = spark.createDataFrame([(run.target_date,)], "run_date string")
+    if run.archive and already_ran(wanted, archived_dates(spark, run.archive)).isEmpty():
+        return None
+    there = input_files(spark, input_path) if run.archive else []     # files that land later stay for the next run
+    mode, source = choose_source_mode(scan_note_files(spark, input_path), lambda: scan_notes_csv(spark, input_path))
     if mode == "none":
         return None
     if mode == "documents":
         notes = cut_lineage(notes_from_files(source).select(
             "*", F.col("note_id").alias("src_file"), F.lit(0).cast("long").alias("src_row")))
-        return process(spark, notes, run, None, surfaces)
-    notes = cut_lineage(notes_from_rows(source, run.target_date))     # the day's notes are parsed once
-    return process(spark, code_notes(spark, notes, run), run, staff_roster(notes), surfaces)
+        stats = process(spark, notes, run, None, surfaces)
+    else:
+        notes = cut_lineage(notes_from_rows(source, run.target_date))     # the day's notes are parsed once
+        alerts = no_match_alert(source.select("src_file", "date"), run.target_date, csv_files(spark, input_path))
+        write_report(alerts.where("alert"), run, "alerts")
+        stats = process(spark, code_notes(spark, notes, run), run, staff_roster(notes), surfaces)
+    suffix = ".txt" if mode == "documents" else ".csv"
+    archive_files(spark, input_path, [name for name in there if name.endswith(suffix)], run)
+    return stats

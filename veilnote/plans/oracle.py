@@ -269,6 +269,13 @@ def deidentify_chain() -> tuple[str, ...]:
             value_fold("w1", "ndis,dob,phone,email,address", "w2"), word_fold("w2", "dictionary", "w3"), patterns("w3", "w4"))
 
 
+def notes_ctes(where: str) -> str:
+    """All passes over notes, ending in w4."""
+    start = (f"w0 AS (SELECT note_id, note AS text, {locations()} AS locs, []::VARCHAR[] AS hits "
+             f"FROM fx_notes WHERE {where})")
+    return ",\n".join([start, *[c.strip() for c in deidentify_chain()]])
+
+
 def deidentify_sql(select: str) -> str:
     body = ",\n".join([start_cte(), *[c.strip() for c in deidentify_chain()], counted("w4").strip(),
                        f"done AS (SELECT note_id, text, coalesce(counts, '') AS counts, {reason()} AS reason "

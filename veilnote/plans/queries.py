@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import detectors as det, keys, names, render, spans, text as tx, values, verify
 from ..operators import codes, deidentify as d, matching as m, rosters, selection as sel, stats as st, surfaces as sf
 from ..operators.known_values import known_value_steps
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..streaming import incremental
 from ..sources import api_pages, note_files, notes_csv, outputs, pii_dictionary, state
+from ..fixed_values import CLEAN_MARKER, LEDGER_ERROR_SUFFIX, QUARANTINE_BANNER, QUARANTINE_MARKER
 from . import bindings as b, oracle as o
 from .bindings import TARGET_DATE, with_sql
 
@@ -51,7 +52,7 @@ def surfaces_of(spark, sf_dir) -> DataFrame:
 def exports(spark: SparkSession, sf_dir: str) -> str:
     """Write the export rows as CSV files in three layouts to the shared folder."""
     path = scratch_path(spark, "exports")
-    rows = b.rows(spark, sf_dir).withColumn("note", F.replace("note", F.lit("engaged well"), F.lit('engaged "well",\nand more')))
+    rows = b.rows(spark, sf_dir).withColumn("note", F.replace("note", F.lit("two boards"), F.lit('two "boards",\nand more')))
     layouts = {
         "f0": [("date", "Date"), ("first_name", "First Name"), ("last_name", "Last Name"), ("note", "Note"),
                ("staff", "Support Worker"), ("ndis", "NDIS Number"), ("dob", "Date of Birth")],
@@ -68,7 +69,7 @@ def exports(spark: SparkSession, sf_dir: str) -> str:
 
 @query("scan_notes_csv", with_sql("""
     SELECT date, first_name, last_name, full_name, staff, ndis, dob, src_file <> 'f0' AS has_full_name,
-           replace(note, 'engaged well', 'engaged "well",' || chr(10) || 'and more') AS note FROM fx_rows""", "rows"))
+           replace(note, 'two boards', 'two "boards",' || chr(10) || 'and more') AS note FROM fx_rows""", "rows"))
 def _(spark, sf_dir):
     return notes_csv.scan_notes_csv(spark, exports(spark, sf_dir)).drop("src_file", "src_row", "has_note")
 
@@ -448,43 +449,76 @@ def _(spark, sf_dir):
     return st.label_totals(result(spark, sf_dir))
 
 
-def routed(spark, sf_dir) -> DataFrame:
-    """Every note with its disposition: blank, processed, or checked by the pattern pass."""
-    all_notes = b.notes(spark, sf_dir).select("note_id", "ref_code", "created_at", "note")
-    fresh = sel.skip_processed(sel.drop_blank_notes(all_notes), state.scan_processed_log(log_of(spark, sf_dir)))
-    done = d.finish(d.redact_patterns(d.start(fresh))).select(
-        "note_id", F.when(F.col("is_quarantined"), "quarantine").otherwise("pending").alias("done"))
-    return all_notes.select("note_id").join(done, "note_id", "left").select(
-        "note_id", F.coalesce("done", F.lit("skipped")).alias("disposition"))
+BROKEN = 13     # every 13th note has text that isn't UTF-8, so that errors are counted too
 
 
-_ROUTED = f"""WITH w0 AS (SELECT note_id, note AS text, {o.locations()} AS locs, []::VARCHAR[] AS hits FROM fx_notes
-      WHERE trim(note) <> '' AND status <> 'F'), {o.patterns("w0", "w1")},
-    checked AS (SELECT note_id, {o.reason()} AS reason FROM w1),
-    routed AS (SELECT note_id, CASE WHEN c.note_id IS NULL THEN 'skipped' WHEN reason IS NULL THEN 'pending'
-                 ELSE 'quarantine' END AS disposition, reason FROM fx_notes LEFT JOIN checked c USING (note_id)),
+def run_of_notes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """All notes with their error, and the results of those that are new, by all passes."""
+    broken = F.col("note_id").cast("bigint") % BROKEN == 0
+    bad = F.concat("note", F.unhex(F.lit("C328")).cast("string"))
+    every = sel.isolate_errors(b.notes(spark, sf_dir).select(
+        "note_id", "ref_code", "created_at", F.when(broken, bad).otherwise(F.col("note")).alias("note")))
+    usable = every.where(F.col("error").isNull()).drop("error")
+    fresh = sel.skip_processed(sel.drop_blank_notes(usable), state.scan_processed_log(log_of(spark, sf_dir)))
+    done = d.deidentify(fresh, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True)
+    return every, cut_lineage(done.select("note_id", "ref_code", "is_quarantined", "quarantine_reason"))
+
+
+def disposed(every: DataFrame, done: DataFrame) -> DataFrame:
+    """Every note with its disposition: failed, finished or skipped."""
+    ends = done.select("note_id", F.when(F.col("is_quarantined"), "quarantine").otherwise("pending").alias("done"))
+    return every.select("note_id", "error").join(ends, "note_id", "left").select(
+        "note_id", F.when(F.col("error").isNotNull(), "error").otherwise(F.coalesce("done", F.lit("skipped"))).alias("disposition"))
+
+
+def stats_of_notes(spark, sf_dir) -> DataFrame:
+    return st.run_stats(disposed(*run_of_notes(spark, sf_dir)))
+
+
+_ROUTED = f"""WITH {o.notes_ctes(f"trim(note) <> '' AND status <> 'F' AND CAST(note_id AS BIGINT) % {BROKEN} <> 0")},
+    checked AS (SELECT note_id, {o.reason()} AS reason FROM w4),
+    routed AS (SELECT note_id, CASE WHEN CAST(note_id AS BIGINT) % {BROKEN} = 0 THEN 'error' WHEN c.note_id IS NULL THEN 'skipped'
+                 WHEN reason IS NULL THEN 'pending' ELSE 'quarantine' END AS disposition, ref_code, reason
+               FROM fx_notes LEFT JOIN checked c USING (note_id)),
     stats AS (SELECT count(*) AS total, count(*) FILTER (disposition = 'pending') AS uploaded,
                 count(*) FILTER (disposition = 'quarantine') AS quarantined,
-                count(*) FILTER (disposition = 'skipped') AS skipped, CAST(0 AS BIGINT) AS errors FROM routed)"""
+                count(*) FILTER (disposition = 'skipped') AS skipped, count(*) FILTER (disposition = 'error') AS errors FROM routed)"""
+_LEDGER = with_sql(f"""{_ROUTED} SELECT '{TARGET_DATE}' AS "Run Date", '1998-06-16T08:00:00' AS "Run At (ISO)",
+    total AS "Notes Exported", uploaded AS "Notes Processed", quarantined AS "Notes Quarantined", skipped AS "Notes Skipped",
+    errors || '{LEDGER_ERROR_SUFFIX}' AS "Errors", 'orders' AS "CSV File" FROM stats""", "notes", "staff", "dictionary")
 
 
-@query("run_stats", with_sql(f"{_ROUTED} SELECT * FROM stats", "notes"))
+def ledger_of_notes(spark, sf_dir) -> DataFrame:
+    return st.run_ledger_row(stats_of_notes(spark, sf_dir), TARGET_DATE, "1998-06-16T08:00:00", "orders")
+
+
+@query("run_stats", with_sql(f"{_ROUTED} SELECT * FROM stats", "notes", "staff", "dictionary"))
 def _(spark, sf_dir):
-    return st.run_stats(routed(spark, sf_dir))
+    return stats_of_notes(spark, sf_dir)
 
 
-@query("run_ledger_row", with_sql(f"""{_ROUTED} SELECT '{TARGET_DATE}' AS "Run Date", '1998-06-16T08:00:00' AS "Run At (ISO)",
-    total AS "Notes Exported", uploaded AS "Notes Processed", quarantined AS "Notes Quarantined", skipped AS "Notes Skipped",
-    '' AS "Errors", 'orders' AS "CSV File" FROM stats""", "notes"))
+@query("run_ledger_row", _LEDGER)
 def _(spark, sf_dir):
-    return st.run_ledger_row(st.run_stats(routed(spark, sf_dir)), TARGET_DATE, "1998-06-16T08:00:00", "orders")
+    return ledger_of_notes(spark, sf_dir)
 
 
-@query("run_report", with_sql(f"""{_ROUTED} SELECT unnest(['Total notes fetched', 'Uploaded to Pending', 'Quarantined',
-    'Skipped (already processed)', 'Errors']) AS metric, unnest([total, uploaded, quarantined, skipped, errors]) AS n
-    FROM stats""", "notes"))
+@query("run_report", with_sql(f"""{_ROUTED}
+    SELECT 'metrics' AS part, unnest(['Total notes fetched', 'Uploaded to Pending', 'Quarantined', 'Skipped (already processed)',
+      'Errors']) AS item, '' AS detail, unnest([total, uploaded, quarantined, skipped, errors]) AS n FROM stats
+    UNION ALL SELECT 'quarantined', note_id, ref_code || ' ' || split_part(reason, '[', 1) || '[masked]', 0 FROM routed
+      WHERE disposition = 'quarantine'
+    UNION ALL SELECT 'errors', note_id, 'text is not valid UTF-8', 0 FROM routed WHERE disposition = 'error'""",
+    "notes", "staff", "dictionary"))
 def _(spark, sf_dir):
-    return st.report_metrics(st.run_stats(routed(spark, sf_dir)))
+    """The three tables of a report, one under the other."""
+    every, done = run_of_notes(spark, sf_dir)
+    none = F.lit(0).cast("long")
+    metrics = st.report_metrics(st.run_stats(disposed(every, done))).select(
+        F.lit("metrics").alias("part"), F.col("metric").alias("item"), F.lit("").alias("detail"), F.col("n").cast("long").alias("n"))
+    held = st.report_quarantined(done).select(
+        F.lit("quarantined"), "note_id", F.concat_ws(" ", "ref_code", "reason"), none)
+    failed = st.report_errors(every).select(F.lit("errors"), "note_id", "error", none)
+    return metrics.union(held).union(failed)
 
 
 @query("assign_codes", with_sql(f"""WITH known AS (SELECT client_id, ref_code FROM fx_roster JOIN customer ON k = c_custkey
@@ -732,44 +766,46 @@ def _(spark, sf_dir):
 
 # --- outputs and state -------------------------------------------------------
 
-def patterned(spark, sf_dir) -> DataFrame:
+def whole(spark, sf_dir) -> DataFrame:
+    """Every note with a body, by all passes."""
     kept = sel.drop_blank_notes(b.notes(spark, sf_dir)).select("note_id", "ref_code", "created_at", "note")
-    return d.finish(d.redact_patterns(d.start(kept)))
+    return d.deidentify(kept, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True)
 
 
+_WHOLE = f"""WITH {o.notes_ctes("trim(note) <> ''")},
+    lab AS (SELECT note_id, split_part(h, '#', 1) AS label, min(i) AS i, sum(CAST(split_part(h, '#', 2) AS BIGINT)) AS n FROM (
+      SELECT note_id, unnest(hits) AS h, unnest(range(len(hits))) AS i FROM w4) GROUP BY ALL),
+    shown AS (SELECT note_id, string_agg('''' || label || ''': ' || n, ', ' ORDER BY i) AS c FROM lab GROUP BY note_id),
+    done AS (SELECT w4.note_id, ref_code, created_at, text, '{{' || coalesce(c, '') || '}}' AS counts, {o.reason()} AS reason
+      FROM w4 JOIN fx_notes USING (note_id) LEFT JOIN shown USING (note_id))"""
 _PATTERNED = f"""WITH w0 AS (SELECT note_id, note AS text, {o.locations()} AS locs, []::VARCHAR[] AS hits FROM fx_notes
       WHERE trim(note) <> ''), {o.patterns("w0", "w1")},
-    lab AS (SELECT note_id, label, min(i) AS i, count(*) AS n FROM (
-      SELECT note_id, unnest(list_transform(hits, lambda h: split_part(h, '#', 1))) AS label,
-             unnest(range(len(hits))) AS i FROM w1) GROUP BY ALL),
-    shown AS (SELECT note_id, string_agg('''' || label || ''': ' || n, ', ' ORDER BY i) AS c FROM lab GROUP BY note_id),
-    done AS (SELECT w1.note_id, ref_code, created_at, text, '{{' || coalesce(c, '') || '}}' AS counts, {o.reason()} AS reason
-      FROM w1 JOIN fx_notes USING (note_id) LEFT JOIN shown USING (note_id))"""
+    done AS (SELECT note_id, {o.reason()} AS reason FROM w1)"""
 _CLEAN = f"""'Reference: ' || ref_code || chr(10) || 'Date: {TARGET_DATE}' || chr(10) || 'Substitutions: ' || counts || chr(10)
-    || chr(10) || '--- DE-IDENTIFIED NOTE ---' || chr(10) || chr(10) || text"""
-_HELD = """'*** QUARANTINED — DO NOT DISTRIBUTE ***' || chr(10) || 'Note ID: ' || note_id || chr(10) || 'Reference: ' || ref_code
-    || chr(10) || 'Quarantine reason: ' || reason || chr(10) || chr(10) || '--- DE-IDENTIFIED TEXT (INCOMPLETE) ---' || chr(10)
+    || chr(10) || '{CLEAN_MARKER}' || chr(10) || chr(10) || text"""
+_HELD = f"""'{QUARANTINE_BANNER}' || chr(10) || 'Note ID: ' || note_id || chr(10) || 'Reference: ' || ref_code
+    || chr(10) || 'Quarantine reason: ' || reason || chr(10) || chr(10) || '{QUARANTINE_MARKER}' || chr(10)
     || chr(10) || text"""
 
 
-@query("render_clean_note", with_sql(f"{_PATTERNED} SELECT note_id, {_CLEAN} AS body FROM done WHERE reason IS NULL", "notes"))
+@query("render_clean_note", with_sql(f"{_WHOLE} SELECT note_id, {_CLEAN} AS body FROM done WHERE reason IS NULL", "notes", "staff", "dictionary"))
 def _(spark, sf_dir):
-    return patterned(spark, sf_dir).where(~F.col("is_quarantined")).select("note_id", render.render_clean_note(
+    return whole(spark, sf_dir).where(~F.col("is_quarantined")).select("note_id", render.render_clean_note(
         F.lit(TARGET_DATE), F.col("ref_code"), F.col("counts"), F.col("deidentified_text")).alias("body"))
 
 
-@query("render_quarantine_note", with_sql(f"{_PATTERNED} SELECT note_id, {_HELD} AS body FROM done WHERE reason IS NOT NULL", "notes"))
+@query("render_quarantine_note", with_sql(f"{_WHOLE} SELECT note_id, {_HELD} AS body FROM done WHERE reason IS NOT NULL", "notes", "staff", "dictionary"))
 def _(spark, sf_dir):
-    return patterned(spark, sf_dir).where("is_quarantined").select("note_id", render.render_quarantine_note(
+    return whole(spark, sf_dir).where("is_quarantined").select("note_id", render.render_quarantine_note(
         F.col("note_id"), F.col("ref_code"), F.col("quarantine_reason"), F.col("deidentified_text")).alias("body"))
 
 
-@query("route_outputs", with_sql(f"""{_PATTERNED} SELECT note_id, CASE WHEN reason IS NULL THEN 'pending' ELSE 'quarantine' END
+@query("route_outputs", with_sql(f"""{_WHOLE} SELECT note_id, CASE WHEN reason IS NULL THEN 'pending' ELSE 'quarantine' END
     AS disposition, created_at || '_' || ref_code || '_note_' || note_id || CASE WHEN reason IS NULL THEN '.txt'
-    ELSE '_QUARANTINE.txt' END AS output_path, CASE WHEN reason IS NULL THEN {_CLEAN} ELSE {_HELD} END AS body FROM done""", "notes"))
+    ELSE '_QUARANTINE.txt' END AS output_path, CASE WHEN reason IS NULL THEN {_CLEAN} ELSE {_HELD} END AS body FROM done""", "notes", "staff", "dictionary"))
 def _(spark, sf_dir):
     base = scratch_path(spark, "routed")
-    outputs.route_outputs(outputs.rendered(patterned(spark, sf_dir), TARGET_DATE), base, "r1")
+    outputs.route_outputs(outputs.rendered(whole(spark, sf_dir), TARGET_DATE), base, "r1")
     return spark.read.parquet(f"{base}/outputs/run_id=r1").select(
         "note_id", F.col("disposition").cast("string").alias("disposition"), "output_path", "body")
 
@@ -805,21 +841,15 @@ def _(spark, sf_dir):
 
 def ledger(spark, sf_dir) -> str:
     base = fresh_state(spark, "ledger")
-    per_day = b.notes(spark, sf_dir).select(
-        "created_at", F.when(F.trim("note") == "", "skipped").otherwise("pending").alias("disposition"))
-    row = st.run_ledger_row(st.run_stats(per_day), TARGET_DATE, "1998-06-16T08:00:00", "orders")
-    state.append_state(row, base, "run_ledger", "r1")
+    row = cut_lineage(ledger_of_notes(spark, sf_dir))
+    for _ in range(2):              # a repeated run replaces its row
+        state.append_state(row, base, "run_ledger", "r1")
     return base
 
 
-_LEDGER = with_sql(f"""SELECT '{TARGET_DATE}' AS "Run Date", count(*) AS "Notes Exported",
-    count(*) FILTER (trim(note) <> '') AS "Notes Processed", count(*) FILTER (trim(note) = '') AS "Notes Skipped" FROM fx_notes""", "notes")
-_LEDGER_COLUMNS = ["Run Date", "Notes Exported", "Notes Processed", "Notes Skipped"]
-
-
 @query("append_run_ledger", _LEDGER)
 def _(spark, sf_dir):
-    return state.read_state(spark, ledger(spark, sf_dir), "run_ledger").select(*_LEDGER_COLUMNS)
+    return state.read_state(spark, ledger(spark, sf_dir), "run_ledger")
 
 
 @query("publish_ledger", _LEDGER)
@@ -827,7 +857,7 @@ def _(spark, sf_dir):
     base, target = ledger(spark, sf_dir), scratch_path(spark, "published")
     for _ in range(2):              # the copy is replaced, not doubled
         state.publish_ledger(spark, base, target)
-    return spark.read.option("header", "true").schema(state.LEDGER_SCHEMA).csv(target).select(*_LEDGER_COLUMNS)
+    return spark.read.option("header", "true").schema(state.LEDGER_SCHEMA).csv(target)
 
 
 @query("init_state", with_sql("SELECT note_id, false AS known FROM fx_notes", "notes"))
@@ -865,17 +895,23 @@ def land_rest(spark, sf_dir, base: str, columns) -> None:
         "append").parquet(f"{base}/in")
 
 
-@query("incremental_run", with_sql(f"""{_PATTERNED} SELECT note_id, CASE WHEN reason IS NULL THEN 'success'
-    ELSE 'quarantine' END AS status FROM done""", "notes"))
+@query("incremental_run", with_sql(f"""{_PATTERNED},
+    seen AS (SELECT client_id, min(((src_file = 'f2')::INT, src_file, src_row)) AS first_at FROM fx_notes GROUP BY client_id),
+    coded AS (SELECT client_id, printf('PART-%03d', row_number() OVER (ORDER BY first_at)) AS ref_code FROM seen)
+    SELECT note_id, CASE WHEN reason IS NULL THEN 'success' ELSE 'quarantine' END AS status, c.ref_code, CAST(1 AS BIGINT) AS outputs,
+      CASE WHEN reason IS NULL THEN 'Reference: ' || c.ref_code ELSE '{QUARANTINE_BANNER}' END AS first_line
+    FROM done JOIN fx_notes USING (note_id) JOIN coded c USING (client_id)""", "notes"))
 def _(spark, sf_dir):
-    """Three runs over a landing folder: two drops, then nothing new."""
+    """Three runs over a landing folder (two drops, then nothing new): log rows with the number and head of their outputs."""
     base, columns = landed(spark, sf_dir)
     for run in range(3):
         if run == 1:
             land_rest(spark, sf_dir, base, columns)
         stream = incremental.note_stream(spark, f"{base}/in", NOTE_ROW)
         incremental.incremental_run(stream, f"{base}/state", f"{base}/checkpoint", TARGET_DATE).awaitTermination()
-    return state.read_state(spark, f"{base}/state", "processed_log").select("note_id", "status")
+    written = spark.read.parquet(f"{base}/state/outputs").groupBy(F.col("note_id").cast("string").alias("note_id")).agg(
+        F.count("*").alias("outputs"), F.max(F.substring_index("body", "\n", 1)).alias("first_line"))
+    return state.read_state(spark, f"{base}/state", "processed_log").select("note_id", "status", "ref_code").join(written, "note_id", "left")
 
 
 @query("archive_inputs", with_sql("SELECT note_id, note FROM fx_notes", "notes"))

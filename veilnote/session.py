@@ -62,10 +62,34 @@ def fits_broadcast(rows: int, text_bytes: int = 0) -> bool:
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Broadcast hint only after the side was measured to be small.
 
-    The count stops at the bound, so measuring a large side stays cheap; a
-    larger side is left to an ordinary shuffle join.
+    The rows measured stop at the bound, so a scan or a projection of one is
+    measured cheaply; give the side before any distinct or aggregate where the
+    join allows it.  A larger side is left to an ordinary shuffle join.
     """
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    sizes = [F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns]
+    seen = df.limit(BROADCAST_ROWS + 1).select(sum(sizes, F.lit(0)).alias("n")).agg(
+        F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return F.broadcast(df) if fits_broadcast(*seen) else df
+
+
+def folder_of(spark: SparkSession, path: str):
+    """File system of a path and the path, for metadata operations (rename, delete)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, target = folder_of(spark, path)
+    system.delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; a failed rename is an error."""
+    system, old = folder_of(spark, source)
+    new = folder_of(spark, target)[1]
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 _FEW_SPLITS: dict[tuple, bool] = {}

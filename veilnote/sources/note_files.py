@@ -1,6 +1,8 @@
 """Per-participant text documents and page text."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import NOTE_FILE_PATTERN
@@ -39,10 +41,11 @@ def join_document_pages(pages: DataFrame, doc: str, page: str, text: str) -> Dat
             lambda x: x["t"]), "\n").alias("text"))
 
 
-def choose_source_mode(documents: DataFrame, exports: DataFrame) -> tuple[str, DataFrame | None]:
-    """Documents if there are any, else exports, else nothing."""
+def choose_source_mode(documents: DataFrame, exports: DataFrame | Callable[[], DataFrame]) -> tuple[str, DataFrame | None]:
+    """Documents if there are any, else exports, else nothing.  Exports given as a function are only planned if needed."""
     if not documents.isEmpty():
         return "documents", documents
+    exports = exports() if callable(exports) else exports
     if not exports.isEmpty():
         return "exports", exports
     return "none", None

@@ -42,7 +42,7 @@ def logical_rows(df: DataFrame, headers, aliases=None) -> DataFrame:
         F.lit(spots["full_name"] is not None).alias("has_full_name"))
 
 
-def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+def file_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
     """Files of a folder, not of the folders in it, grouped by header line.
 
     One distributed pass takes the first line of every file; only those lines
@@ -59,8 +59,8 @@ def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return groups
 
 
-def scan_notes_csv(spark: SparkSession, path: str, aliases=None) -> DataFrame:
-    """All rows of all files under the logical fields, with file and row order.
+def scan_notes_csv(spark: SparkSession, path: str | list[str], aliases=None) -> DataFrame:
+    """All rows of all files (of a folder, or listed) under the logical fields, with file and row order.
 
     ``src_row`` orders rows within a file: a multi-line file is one split.
     """
@@ -113,13 +113,28 @@ def notes_from_rows(rows: DataFrame, target_date) -> DataFrame:
         F.col("dob").alias("date_of_birth"), "staff", "note", day.alias("created_at"))
 
 
-def no_match_alert(rows: DataFrame, target_date) -> DataFrame:
-    """Per file: rows that passed the date test, and whether none did."""
-    return rows.groupBy("src_file").agg(F.count_if(date_ok(target_date)).alias("matched_rows")).withColumn(
-        "alert", F.col("matched_rows") == 0)
+def csv_files(spark: SparkSession, path) -> DataFrame:
+    """(src_file) of every export, also of those with nothing but a header; contents are not read."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select(
+        F.col("_metadata.file_name").alias("src_file"))
 
 
-def count_note_rows(rows: DataFrame) -> DataFrame:
-    """Per file: rows with a body, all rows where there is no body column."""
-    return rows.groupBy("src_file").agg(
+def _of_every_file(counts: DataFrame, files: DataFrame | None, column: str) -> DataFrame:
+    """Counts with a zero for files without any row."""
+    if files is None:
+        return counts
+    none = files.select("src_file", F.lit(0).cast("long").alias(column))
+    return counts.unionByName(none).groupBy("src_file").agg(F.sum(column).alias(column))
+
+
+def no_match_alert(rows: DataFrame, target_date, files: DataFrame | None = None) -> DataFrame:
+    """Per file: rows that passed the date test, and whether none did.  ``files`` adds those without a row."""
+    counts = rows.groupBy("src_file").agg(F.count_if(date_ok(target_date)).alias("matched_rows"))
+    return _of_every_file(counts, files, "matched_rows").withColumn("alert", F.col("matched_rows") == 0)
+
+
+def count_note_rows(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per file: rows with a body, all rows where there is no body column.  ``files`` adds those without a row."""
+    counts = rows.groupBy("src_file").agg(
         F.count_if(~F.col("has_note") | (F.col("note") != "")).alias("note_rows"))
+    return _of_every_file(counts, files, "note_rows")

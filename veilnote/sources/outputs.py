@@ -17,7 +17,7 @@ def rendered(results: DataFrame, target_date) -> DataFrame:
         "note_id", "ref_code", "created_at",
         F.when(F.col("is_quarantined"), "quarantine").otherwise("pending").alias("disposition"),
         output_name(F.col("created_at"), F.col("ref_code"), F.col("note_id"), F.col("is_quarantined")).alias("output_path"),
-        F.when(F.col("is_quarantined"), held).otherwise(clean).alias("body"))
+        F.when(F.col("is_quarantined"), held).otherwise(clean).alias("body"), "quarantine_reason")
 
 
 def route_outputs(outputs: DataFrame, base: str, run_id: str) -> str:

@@ -5,12 +5,15 @@ processed notes are never selected again, so a repeated run adds nothing.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from ..fixed_values import LEDGER_COLUMNS
 from ..functions.names import full_name
 from ..functions.text import blank_to_empty, py_strip, py_words
+from ..session import folder_of, move, remove
 
 REGISTRY_SCHEMA = (
     "ref_code string, client_id string, full_name string, ndis_number string, date_of_birth string, "
@@ -29,24 +32,42 @@ def init_state(spark: SparkSession, base: str) -> None:
         empty.write.mode("ignore").parquet(f"{base}/{name}/run_id=init")
 
 
-def read_state(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A state table; an absent one is empty. Any other failure is raised: an unreadable registry must not restart codes."""
+def read_state(spark: SparkSession, base: str, name: str, run_id: str | None = None) -> DataFrame:
+    """A state table, or what one run wrote to it; an absent one is empty.
+
+    Any other failure is raised: an unreadable registry must not restart codes.
+    """
     try:
-        return spark.read.schema(SCHEMAS[name] + ", run_id string").parquet(f"{base}/{name}").drop("run_id")
+        rows = spark.read.schema(SCHEMAS[name] + ", run_id string").parquet(f"{base}/{name}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], SCHEMAS[name])
+    return (rows if run_id is None else rows.where(F.col("run_id") == run_id)).drop("run_id")
 
 
 def append_state(rows: DataFrame, base: str, name: str, run_id: str) -> None:
+    """Add rows under the folder of the run.  The ledger has one row per run: a repeated run replaces its own."""
     columns = [f.name for f in rows.sparkSession.createDataFrame([], SCHEMAS[name]).schema]
-    rows.select(*[F.col(f"`{c}`") for c in columns]).write.mode("append").parquet(f"{base}/{name}/run_id={run_id}")
+    mode = "overwrite" if name == "run_ledger" else "append"
+    rows.select(*[F.col(f"`{c}`") for c in columns]).write.mode(mode).parquet(f"{base}/{name}/run_id={run_id}")
 
 
 def publish_ledger(spark: SparkSession, base: str, target: str) -> None:
-    """Replace the published copy of the run ledger."""
-    read_state(spark, base, "run_ledger").coalesce(1).write.mode("overwrite").option("header", "true").csv(target)
+    """Replace the published copy of the run ledger, one CSV file of a row per run.
+
+    The copy is written aside and swapped in, so readers never see a part of it
+    and a failed write leaves the earlier copy.
+    """
+    target = target.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh, old = f"{target}.new-{mark}", f"{target}.old-{mark}"
+    read_state(spark, base, "run_ledger").coalesce(1).write.option("header", "true").csv(fresh)
+    system, path = folder_of(spark, target)
+    if system.exists(path):
+        move(spark, target, old)
+    move(spark, fresh, target)
+    remove(spark, old)
 
 
 def scan_registry(rows: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Incremental runs: a file stream that takes each input once."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rosters import staff_roster
 from ..plans.daily_run import Run, code_notes, process
 from ..session import cut_lineage
+from ..sources.note_files import notes_from_files
+from ..sources.notes_csv import notes_from_rows, scan_notes_csv
 from ..sources.state import init_state
 
 
@@ -22,6 +24,45 @@ def note_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet
     return reader.load(path)
 
 
+def stream_run(spark: SparkSession, base: str, name: str, batch_id: int, target_date: str) -> Run:
+    """The run of a batch: the same when the batch is replayed, another one under a new checkpoint."""
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    return Run(base, f"{name}-{stream}-{batch_id}", target_date, f"batch {batch_id}")
+
+
+def incremental_folder(spark: SparkSession, folder: str, base: str, checkpoint: str, target_date: str, kind: str = "csv",
+                       surfaces: DataFrame | None = None, max_files: int = 1000) -> StreamingQuery:
+    """Exports (``csv``) or documents (``txt``) that have landed in a folder since the last run, from raw files to outputs.
+
+    The stream is of file names; each batch scans its files as a daily run does:
+    headers resolved per layout, date filter, name split and keys.  At most
+    ``max_files`` names a batch pass the driver, the rest follow in further batches.
+    """
+    init_state(spark, base)
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    landed = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", f"*.{kind}")
+              .option("maxFilesPerTrigger", max_files).load(folder).select("path"))
+
+    def batch(files: DataFrame, batch_id: int) -> None:
+        session = files.sparkSession
+        paths = [r.path for r in files.toLocalIterator()]
+        if not paths:
+            return
+        run = stream_run(session, base, f"{kind}-files", batch_id, target_date)
+        if kind == "txt":
+            texts = session.read.option("wholetext", "true").text(paths).select(
+                F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+            notes = cut_lineage(notes_from_files(texts).select(
+                "*", F.col("note_id").alias("src_file"), F.lit(0).cast("long").alias("src_row")))
+            process(session, notes, run, None, surfaces)
+        else:
+            notes = cut_lineage(notes_from_rows(scan_notes_csv(session, paths), target_date))
+            process(session, code_notes(session, notes, run), run, staff_roster(notes), surfaces)
+
+    return (landed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def incremental_run(notes: DataFrame, base: str, checkpoint: str, target_date: str, name: str = "stream",
                     surfaces: DataFrame | None = None) -> StreamingQuery:
     """Process everything that has landed since the last run, then stop.
@@ -34,7 +75,7 @@ def incremental_run(notes: DataFrame, base: str, checkpoint: str, target_date: s
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         rows = cut_lineage(rows)        # the files of a batch are read once
-        run = Run(base, f"{name}-{batch_id}", target_date, f"batch {batch_id}")
+        run = stream_run(spark, base, name, batch_id, target_date)
         process(spark, code_notes(spark, rows, run), run, staff_roster(rows), surfaces)
 
     return (notes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
