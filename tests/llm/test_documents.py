@@ -77,6 +77,31 @@ def test_near_duplicates_large_group(frame):
     assert all(got[i][1] == i for i in lost) and len(lost) <= 0.01 * len(expected)
 
 
+def test_near_duplicates_in_large_mixed_nodes(frame):
+    """Pairs at 0.80 to 0.85 among thousands of texts that share most of their words: nodes stay large and mixed for
+    several narrow levels."""
+    draw, base = random.Random(11), [f"base{k}" for k in range(60)]
+    docs = []
+    for k in range(900):
+        own, apart = [f"p{k}w{j}" for j in range(13)], draw.choice((7, 8))
+        docs += [(2 * k + x, " ".join(base + own + [f"d{k}x{x}w{j}" for j in range(apart)])) for x in (0, 1)]
+    draw.shuffle(docs)
+    expected = plain_components(docs)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(docs, "doc_id long, text string")).collect()}
+    assert sum(expected[i][1] != i for i in expected) == 900
+    assert sum(got[i] != expected[i] for i in expected) <= 0.005 * 900
+
+
+def test_near_duplicates_of_strays(frame):
+    """Texts that are linked with a single text of a large component each."""
+    draw, base = random.Random(12), [f"base{k}" for k in range(60)]
+    docs = [(k, " ".join(base + [f"d{k}w{j}" for j in range(5)])) for k in range(1500)]
+    docs += [(5000 + k, " ".join(base[8:] + docs[37 * k][1].split()[60:] + [f"e{k}w{j}" for j in range(2)])) for k in range(20)]
+    expected = plain_components(docs)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(docs, "doc_id long, text string")).collect()}
+    assert got == expected
+
+
 def plain_repeats(docs, size):
     data = [(t or "").encode() for _, t in docs]
     seen = Counter(b[k:k + size] for b in data for k in range(len(b) - size + 1))

@@ -4,14 +4,17 @@ Each distinct shingle set gets minwise tokens, one for each of TOKENS permutatio
 a node one position is drawn, a second one in a quarter of the nodes, so 1.25 = 1 / 0.8 on average, and the sets go to a
 child for each drawn position and token. A pair of similarity s meets in s of the drawn children. Unlike sets part at
 once. Nodes of few sets are compared exhaustively, larger ones branch on. Independent trees are repeated to reach the
-recall: the chance that TREES trees all miss a pair of similarity 0.8 is about 1e-8 at depth one and 3e-5 at depth
-three, less for a closer pair, and a set is only lost if all its links are.
+recall. By the branching process of a pair's common nodes, the chance that TREES trees all miss a pair of similarity 0.8
+is 2e-7 at depth two, 6e-5 two narrow levels below that, 3e-4 after four and 9e-4 after eight; for 0.85 it stays below
+1e-6. A set is only lost if all its links are.
 
 Links are found in two passes, so that a group of n near copies needs some n comparisons, not n * n. The first compares
 every set with two leaders of each of its nodes, the smallest id and one drawn by hash. The second looks only at nodes
 that still hold several components: pairs within one component need no comparison, as only the components are returned.
-Below BRANCHING levels such a node has one child for each tuple of tokens at NARROW positions, so that even a node of many sets
-that are almost alike comes down to LEAF. Every link is confirmed on the full sets.
+A large one in which all but a few sets are one component is finished at once: those few are compared with all others.
+Below BRANCHING levels the other large ones have a child for each tuple of tokens at NARROW positions, of DRAWS independent
+draws of positions, so that a node of many sets that are almost alike comes down to LEAF in few levels and a pair of
+similarity 0.8 still meets in 3 * 0.8^4 = 1.23 children. Every link is confirmed on the full sets.
 """
 from __future__ import annotations
 
@@ -24,9 +27,11 @@ from veilnote.llm.common import Scratch, map_batches, written
 from veilnote.llm.components import components
 from veilnote.llm.shingles import each_set, shingle_sets
 
-#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively, levels with 1.25 children,
-#: and positions that are drawn at once below them.
-TOKENS, TREES, LEAF, BRANCHING, NARROW = 128, 12, 32, 2, 3
+#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively (or sets outside of its
+#: largest component), levels with 1.25 children, and below them positions that are drawn at once and draws of a node.
+TOKENS, TREES, LEAF, BRANCHING, NARROW, DRAWS = 128, 12, 32, 2, 4, 3
+#: Sets of a large node that one key has when it is finished.
+SPREAD = 1000
 #: Pairs with fewer equal tokens aren't confirmed: a pair of similarity 0.8 has fewer with a chance of 3e-5.
 LEAST_EQUAL = 84
 
@@ -72,9 +77,10 @@ def children(parent: Column, tokens: Column) -> Column:
         F.array(child(parent, tokens, one)))
 
 
-def narrow_child(parent: Column, tokens: Column) -> Column:
-    """The node that a set goes to by its tokens at NARROW positions."""
-    return F.array(child(parent, tokens, *positions(parent, NARROW)))
+def narrow_children(parent: Column, tokens: Column) -> Column:
+    """The nodes that a set goes to by its tokens at NARROW positions, one for each of DRAWS draws."""
+    draws = (positions(F.xxhash64(parent, F.lit(100 + k)), NARROW) for k in range(DRAWS))
+    return F.array_distinct(F.array(*(child(parent, tokens, *at) for at in draws)))
 
 
 def positions(parent: Column, count: int) -> list[Column]:
@@ -149,16 +155,25 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
         mixed = known.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node", "n")
         open_ = scratch.put(known.join(mixed, "node"), "mixed")
         a, b = (open_.where(F.col("n") <= LEAF).select("node", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n_shingles"))) for x in "ab")
-        close = a.join(b, "node").where("rep_a < rep_b and root_a <> root_b").where(near_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), least))
-        found = scratch.put(agreeing(close.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), reps), f"found {depth}")
-        pairs = found if pairs is None else pairs.union(found)
+        close = a.join(b, "node").where("rep_a < rep_b and root_a <> root_b")
         large = open_.where(F.col("n") > LEAF)
-        if large.isEmpty():
+        last = large.isEmpty()
+        if not last:
+            most = large.groupBy("node", "root").agg(F.count("*").alias("m")).groupBy("node").agg(F.max(F.struct("m", "root")).alias("most"))
+            large = scratch.put(large.join(most, "node"), "large")
+            close = close.unionByName(strays(large.where(few_strays())))
+            large = large.where(~few_strays())
+            last = large.isEmpty()
+        close = close.where(near_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), least)).select(
+            F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+        found = scratch.put(agreeing(close.distinct(), reps), f"found {depth}")
+        pairs = found if pairs is None else pairs.union(found)
+        if last:
             break
-        branch = children if depth < BRANCHING else narrow_child
+        branch = children if depth < BRANCHING else narrow_children
         nodes = scratch.put(large.join(reps.select("rep", "tokens"), "rep").select("rep", "n_shingles", F.explode(branch(F.col("node"), F.col("tokens"))).alias("node")), "nodes")
         depth += 1
-    scratch.drop("reps", "nodes", "shared", "known", "mixed")
+    scratch.drop("reps", "nodes", "shared", "known", "mixed", "large")
     pairs = pairs.distinct().join(first, ["a", "b"], "left_anti")
     roots_of = components(links.union(confirmed(pairs, docs, n, least)))
     scratch.drop("met", *(f"found {k}" for k in range(1, depth + 1)))
@@ -171,6 +186,20 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def few_strays() -> Column:
+    """Whether at most LEAF sets of a node are outside of its largest component."""
+    return F.col("n") - F.col("most.m") <= LEAF
+
+
+def strays(large: DataFrame) -> DataFrame:
+    """The pairs (rep_a, rep_b, ...) of a set outside of its node's largest component and any set of another component,
+    so at most LEAF * n of a node. The node's sets are dealt over several keys and the few go to each of them."""
+    spread = F.floor(F.col("n") / SPREAD).cast("long")
+    a, b = (large.select("node", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n_shingles")), part.alias("part"), F.col("most.root").alias(f"most_{x}"))
+            for x, part in (("a", F.explode(F.sequence(F.lit(0).cast("long"), spread))), ("b", F.pmod(F.xxhash64("rep"), spread + 1))))
+    return a.where("root_a <> most_a").drop("most_a").join(b.drop("most_b"), ["node", "part"]).where("root_a <> root_b").drop("part")
+
+
 def near_sizes(x: Column, y: Column, least: int) -> Column:
     """Sets of other sizes can't be similar enough."""
     return F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
