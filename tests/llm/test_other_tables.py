@@ -38,6 +38,31 @@ def test_chunks_are_the_payload(frame, spark, tmp_path, monkeypatch):
     assert [r.payload_digest is None for r in chunks] == [True] * (len(chunks) - 1) + [False]
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_archives_have_revisits(frame, tmp_path, monkeypatch, most):
+    """The archives themselves, read by a plain parser: copies are revisits that name the record they refer to."""
+    monkeypatch.setattr(warc, "BROADCAST", most)
+    pages = [(k, f"u{k}", "same " * 50, "") for k in range(3, 40)] + [(None, "n", "same " * 50, ""), (1, "u", "short", ""), (2, "u", "short", ""), (3, "v", "z" * 200, "")]
+    warc.write_archives(frame(pages, PAGES).repartition(3), str(tmp_path))
+    records = []
+    for path in tmp_path.glob("*.warc"):
+        data = path.read_bytes()
+        while data:
+            head, _, data = data.partition(b"\r\n\r\n")
+            fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line)
+            size = int(fields["Content-Length"])
+            records.append((fields, data[:size]))
+            data = data[size + 4:]
+    assert len(records) == len(pages)
+    responses = {f["WARC-Record-ID"]: p for f, p in records if f["WARC-Type"] == "response"}
+    revisits = [(f, p) for f, p in records if f["WARC-Type"] == "revisit"]
+    assert len(responses) == 4 and len(revisits) == 37
+    for fields, payload in revisits:
+        meant = responses[fields["WARC-Refers-To"]]
+        assert payload == b"" and meant == b"same " * 50
+        assert fields["WARC-Payload-Digest"] == f"sha256:{hashlib.sha256(meant).hexdigest()}"
+
+
 def plain_nearest(rows, every, k):
     fine = {i: np.array(v, float) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
     out = []
