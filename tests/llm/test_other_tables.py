@@ -156,3 +156,24 @@ def test_url_model_on_held_out_urls(spark):
     fitted = url_filter.train(split.where(part > 0))
     seen = fitted.measured(split.where(part == 0)).select("blocked", fitted.chance().alias("chance")).collect()
     assert sum((r.chance >= 0.5) == (r.blocked == 1) for r in seen) > 0.9 * len(seen)
+
+
+def test_no_sign_of_urls_decides(spark, frame):
+    """Each kind has hosts with and without hyphens; several features carry weight, and hosts are judged against the hyphen."""
+    from pyspark.sql import functions as F
+
+    split = url_filter.labelled_urls(spark).withColumns({"host": url_filter.host_of(F.col("url")), "path": url_filter.path_of(F.col("url"))})
+    hyphen = {(r.blocked, r.h): r["count"] for r in split.groupBy("blocked", F.col("host").contains("-").alias("h")).count().collect()}
+    assert len(hyphen) == 4 and min(hyphen.values()) > 0.1 * sum(hyphen.values()) / 2
+    part = F.pmod(F.xxhash64("url"), F.lit(4))
+    fitted = url_filter.train(split.where(part > 0))
+    used = {int(f) for tree in fitted.trees.trees for f in tree.feature if f >= 0}
+    assert len(used) >= 8 and {url_filter.FEATURES.index(f) for f in ("digit_ratio", "entropy", "parameters", "ending_share")} <= used
+    assert any("." in e for e in fitted.shares)
+    seen = fitted.measured(split.where(part == 0)).select("blocked", F.col("host").contains("-").alias("h"), fitted.chance().alias("chance")).collect()
+    for blocked, h in ((1, False), (0, True)):
+        mine = [(r.chance >= 0.5) == (r.blocked == 1) for r in seen if (r.blocked, r.h) == (blocked, h)]
+        assert len(mine) > 100 and sum(mine) > 0.8 * len(mine)
+    urls = ["http://zuvor3921.kelimo.x8d2q.info/a8fk2q9z/kimo/?page=3&ref=a&c=q8w2e1", "https://www.town-hall.org/news/2024.html"]
+    verdicts = {r.page_id: r.verdict for r in url_filter.judge(frame([(k, u, "", "") for k, u in enumerate(urls)], PAGES)).collect()}
+    assert verdicts == {0: "block", 1: "allow"}
