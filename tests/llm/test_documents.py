@@ -1,5 +1,6 @@
 """Operators on documents against brute force, on small data with nulls, empty and long texts, ties and repeated rows."""
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -92,6 +93,12 @@ def test_near_duplicates_in_large_mixed_nodes(frame):
     assert sum(got[i] != expected[i] for i in expected) <= 0.005 * 900
 
 
+def test_sketches_lose_no_pairs():
+    """Chance that a pair of similarity 0.8 has fewer than LEAST_EQUAL equal bytes; unequal tokens may have equal bytes."""
+    n, equal = chosen_path.TOKENS, 0.8 + 0.2 / 256
+    assert sum(math.comb(n, k) * equal**k * (1 - equal) ** (n - k) for k in range(chosen_path.LEAST_EQUAL)) < 2e-8
+
+
 def test_near_duplicates_of_strays(frame):
     """Texts that are linked with a single text of a large component each."""
     draw, base = random.Random(12), [f"base{k}" for k in range(60)]

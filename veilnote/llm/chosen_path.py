@@ -32,8 +32,8 @@ from veilnote.llm.shingles import each_set, shingle_sets
 TOKENS, TREES, LEAF, BRANCHING, NARROW, DRAWS = 128, 12, 32, 2, 4, 3
 #: Sets of a large node that one key has when it is finished.
 SPREAD = 1000
-#: Pairs with fewer equal tokens aren't confirmed: a pair of similarity 0.8 has fewer with a chance of 3e-5.
-LEAST_EQUAL = 84
+#: Pairs with fewer equal tokens aren't confirmed: a pair of similarity 0.8 has fewer with a chance of 8e-9.
+LEAST_EQUAL = 75
 
 _seeds = np.random.default_rng(20250115)
 _FLIP = _seeds.integers(0, 2**63, TOKENS, dtype=np.uint64)
