@@ -5,11 +5,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilnote.llm import mixing, sharding, warc
+from veilnote.llm import divergence, lexical_search, mixing, sharding, warc
 from veilnote.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op2_sharding": sharding.SQL, "op3_warc": warc.SQL, "op8_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op2_sharding": sharding.SQL, "op3_warc": warc.SQL, "op8_mixing": mixing.SQL,
+                      "op12_divergence": divergence.SQL, "op13_ranked_search": lexical_search.SQL}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -89,3 +90,15 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilnote.llm.main_text import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences between the sources of each language, and the terms that make them."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
