@@ -92,6 +92,14 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document under a class-based model of those that aren't held out."""
+    from veilnote.llm.class_model import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences between the sources of each language, and the terms that make them."""
