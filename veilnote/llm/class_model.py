@@ -16,8 +16,8 @@ Then, with h the class of the token before, c that of word w, and counts of trai
 
     P(w | h) = P(c | h) * (n(w) - d(c)) / N(c),    P(c | h) = (G(h, c) + WEIGHT * N(c) / N) / (G(h) + WEIGHT),
 
-and what the discounts d(c) leave goes to the unknown word, of which there is one kind, as in the base score. After an
-unknown word, h is the class that it most likely has there. A text ends with a token of a class of its own, which is also
+and what the discounts d(c) leave goes to the unknown word, of which there is one kind, as in the base score; it has at
+least its share there. After an unknown word, h is the class that it most likely has there. A text ends with a token of a class of its own, which is also
 what stands before its first word.
 """
 from __future__ import annotations
@@ -192,8 +192,9 @@ def best_classes(own: np.ndarray, old: np.ndarray, bigrams: np.ndarray) -> np.nd
         left[old[w]] -= n[w]
         np.maximum(rest, 0, out=rest)
         np.maximum(left, 0, out=left)
-        now = xlogx(rest)
-        gain[w] = (xlogx(rest + after[w]) - now).sum(1) + (xlogx(rest + before[w][:, None]) - now).sum(0) - 2 * (xlogx(left + n[w]) - xlogx(left))
+        now, row, column = xlogx(rest), xlogx(rest + after[w]), xlogx(rest + before[w][:, None])
+        both = xlogx(rest.diagonal() + after[w] + before[w]) + (now - row - column).diagonal()  # a pair within the class counts once
+        gain[w] = (row - now).sum(1) + (column - now).sum(0) + both - 2 * (xlogx(left + n[w]) - xlogx(left))
     gain[:, 0] = -np.inf
     return gain.argmax(1)
 
@@ -237,11 +238,10 @@ class Model:
         share = tokens / max(self.tokens, 1)
         follows = (bigrams + WEIGHT * share) / (bigrams.sum(1, keepdims=True) + WEIGHT)
         unknown = follows * np.where(tokens > 0, discount * words / np.maximum(tokens, 1), 0.0)
+        least = 0.5 / (self.tokens + 0.5 * (self.words + 1))
         with np.errstate(divide="ignore"):
-            self.follows, self.unknown = np.log10(follows), np.log10(unknown.sum(1))
+            self.follows, self.unknown = np.log10(follows * (1 - least)), np.log10(unknown.sum(1) * (1 - least) + least)
         self.likely, self.discount, self.sizes = unknown.argmax(1), discount, tokens
-        if not self.tokens:
-            self.unknown[:] = 0.0
 
     def scores(self, texts: pa.Table, replies: pa.Table) -> pa.Table:
         """Scores of a chunk's texts."""
@@ -301,7 +301,7 @@ def score(docs: DataFrame) -> DataFrame:
     scratch.drop("contexts")
     final = bigrams_of(texts.groupBy("chunk").cogroup(told().groupBy("chunk")).applyInArrow(contexts, _CONTEXT))
     model = Model(final, added_up(state.where("chunk < 0").select(F.col("sums").alias("x")), 4 * CLASSES), ends)
-    out = written(texts.groupBy("chunk").cogroup(told().groupBy("chunk")).applyInArrow(model.scores, _SCORE), "scores")
+    out = written(texts.groupBy("chunk").cogroup(told().groupBy("chunk")).applyInArrow(lambda own, replies: model.scores(own, replies), _SCORE), "scores")
     scratch.drop(*list(scratch.paths))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
