@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -46,8 +48,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+class Staging:
+    """Intermediate tables of a run: Parquet in a folder of its own, removed at the end, also after a failure.
+
+    While it is open, ``cut_lineage`` in the same thread puts its tables there.
+    """
+    _open = threading.local()
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.path = spark, scratch_path(spark, "staging")
+
+    def __enter__(self) -> Staging:
+        self._open.stack = [*self.current(), self]
+        return self
+
+    def __exit__(self, kind: type | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        self._open.stack = self.current()[:-1]
+        remove(self.spark, self.path)
+
+    @classmethod
+    def current(cls) -> list[Staging]:
+        return getattr(cls._open, "stack", [])
+
+    def put(self, df: DataFrame) -> DataFrame:
+        return written(df, f"{self.path}/{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The table, written and read again: lineage is cut and later reads take only the columns that they need."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives executor loss."""
+    """A table that is computed once and survives executor loss: staged if a run's staging is open, else a reliable
+    checkpoint in the shared folder."""
+    if Staging.current():
+        return Staging.current()[-1].put(df)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
@@ -78,6 +115,11 @@ def folder_of(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = folder_of(spark, path)
+    return system.exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, target = folder_of(spark, path)
     system.delete(target, True)
