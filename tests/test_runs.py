@@ -179,7 +179,7 @@ def test_files_through_a_stream(spark, tmp_path):
     write(inbox, "b.csv", "client name,progress note\nPetra Holt,Rang 0437 218 906.\n")
     assert take("c1") == 3 and take("c1") == 3
     assert take("c2") == 3                                  # a new checkpoint takes no note twice
-    write(inbox, "2025-01-15-PART-009.txt", "Quiet day.")
+    write(inbox, "2025-01-15-PART-009.txt", "Quiet day.\nAnd a long one.\n\nEnd")      # lines are one note
     assert take("c3", "txt") == 4
     outputs = spark.read.parquet(f"{base}/outputs").select("note_id", "body").collect()
     assert len(outputs) == 4 and len({r.note_id for r in outputs}) == 4

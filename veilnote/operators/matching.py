@@ -126,6 +126,12 @@ def _keyed_words(steps: DataFrame, codes: bool, edges: bool) -> DataFrame:
         "k.key", "k.reentrant", "step")
 
 
+def longest_first(forms: KeyedForms, by: str) -> DataFrame:
+    """(by, steps): the steps of each value of a step's field, in the order in which a note's fold takes them."""
+    steps = forms.table.select("step").distinct()
+    return steps.groupBy(F.col("step")[by].alias(by)).agg(F.sort_array(F.collect_list("step")).alias("steps"))
+
+
 def word_keys(text: Column, forms: KeyedForms) -> Column:
     keys = ngrams(word_tokens(text), forms.sizes)
     return F.concat(keys, F.array(F.lit(EVERY_NOTE))) if forms.every_note else keys

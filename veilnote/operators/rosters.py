@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import split_once
+from ..session import broadcast_if_small
 
 CLIENT_FIELDS = ("first_name", "last_name", "ndis_number", "date_of_birth")
 
@@ -31,3 +32,10 @@ def staff_roster(notes: DataFrame) -> DataFrame:
     key = F.lower(F.concat("first_name", F.lit(" "), "last_name"))
     return named.groupBy(key.alias("k")).agg(
         F.max_by(F.struct("first_name", "last_name"), F.struct("src_file", "src_row")).alias("r")).select("r.*")
+
+
+def with_clients(notes: DataFrame, clients: DataFrame, *columns: str) -> DataFrame:
+    """Notes with columns of their client, empty where the client is unknown; a small client table is broadcast."""
+    known = broadcast_if_small(clients.select("client_id", *columns))
+    return notes.join(known, "client_id", "left").select(
+        *[c for c in notes.columns], *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])

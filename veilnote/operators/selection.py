@@ -45,6 +45,15 @@ def dedup_notes(notes: DataFrame) -> DataFrame:
         F.col("first") == position()).drop("first")
 
 
+def file_order(notes: DataFrame, column: str) -> DataFrame:
+    """(src_file, first, last): a column at the first and last row of each file, in file order.
+
+    Rows are taken by position, with map-side combine, so no task sorts a file.
+    """
+    return notes.groupBy("src_file").agg(
+        F.min_by(column, "src_row").alias("first"), F.max_by(column, "src_row").alias("last")).orderBy("src_file")
+
+
 def id_collisions(notes: DataFrame) -> DataFrame:
     """Ids shared by different bodies."""
     return notes.groupBy("note_id").agg(

@@ -6,13 +6,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import detectors as det, keys, names, render, spans, text as tx, values, verify
-from ..operators import codes, deidentify as d, matching as m, rosters, selection as sel, stats as st, surfaces as sf
+from ..operators import (
+    codes, deidentify as d, manifest, matching as m, rosters, selection as sel, stats as st, surfaces as sf,
+)
 from ..operators.known_values import known_value_steps
-from ..session import cut_lineage, scratch_path
+from ..session import Staging, exists, folder_of, move, scratch_path, written
 from ..streaming import incremental
 from ..sources import api_pages, note_files, notes_csv, outputs, pii_dictionary, state
 from ..fixed_values import CLEAN_MARKER, LEDGER_ERROR_SUFFIX, QUARANTINE_BANNER, QUARANTINE_MARKER
-from . import bindings as b, oracle as o
+from . import bindings as b, daily_run as daily, oracle as o
 from .bindings import TARGET_DATE, with_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,13 +95,26 @@ def note_file_rows(spark, sf_dir) -> DataFrame:
         name.alias("file_name"), F.when(k % 10 == 7, " \n").otherwise(F.col("text")).alias("text"))
 
 
-@query("scan_note_files", """
+def note_folder(spark, sf_dir) -> str:
+    """One file for each document, under its name: a folder ``name=...`` each, as Spark names the file in it."""
+    path = scratch_path(spark, "documents")
+    note_file_rows(spark, sf_dir).select("text", F.col("file_name").alias("name")).write.partitionBy("name").text(path)
+    return path
+
+
+_NAME = """CASE WHEN doc_id % 10 = 9 THEN 'report-' || doc_id || '.txt' WHEN doc_id % 10 = 8 THEN '2025-02-31-PART-' || doc_id || '.txt'
+    ELSE '2025-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || '-part-' || printf('%03d', doc_id) || '.TXT' END"""
+_BODY = r"CASE WHEN doc_id % 10 = 7 THEN ' ' || chr(10) ELSE text END || chr(10)"
+
+
+@query("scan_note_files", f"""
     SELECT '2025-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || '-part-' || printf('%03d', doc_id) AS note_id,
-           'PART-' || printf('%03d', doc_id) AS ref_code, text AS note,
+           'PART-' || printf('%03d', doc_id) AS ref_code, {_BODY} AS note,
            '2025-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS created_at
     FROM documents WHERE doc_id % 10 < 7 AND trim(text) <> ''""")
 def _(spark, sf_dir):
-    return note_files.notes_from_files(note_file_rows(spark, sf_dir))
+    """Every document as a file of its own, scanned whole (Spark ends a text with a line break)."""
+    return note_files.notes_from_files(note_files.scan_note_files(spark, note_folder(spark, sf_dir), F.col("name")))
 
 
 @query("join_document_pages", """
@@ -227,11 +242,12 @@ def inventory(spark, sf_dir) -> DataFrame:
         F.concat("created_at", F.lit("-"), "ref_code", F.lit(".pdf")).alias("file_name"))
 
 
-@query("file_inventory", with_sql(f"""
-    SELECT created_at || '-' || ref_code || '.pdf' AS file_name FROM fx_notes
-    WHERE status = 'F' AND created_at = '{TARGET_DATE}'""", "notes"))
+@query("file_inventory", f"""
+    SELECT {_NAME} AS file_name, CAST(strlen({_BODY}) AS BIGINT) AS length, doc_id % 10 = 8 AS of_day FROM documents""")
 def _(spark, sf_dir):
-    return note_files.files_of_date(inventory(spark, sf_dir), F.lit(TARGET_DATE)).select("file_name")
+    files = note_files.file_inventory(spark, note_folder(spark, sf_dir), F.col("name"))
+    day = note_files.files_of_date(files, F.lit("2025-02-31"), "txt").select("file_name", F.lit(True).alias("of_day"))
+    return files.join(day, "file_name", "left").select("file_name", "length", F.coalesce("of_day", F.lit(False)).alias("of_day"))
 
 
 # --- projections and filters -------------------------------------------------
@@ -346,9 +362,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rich = b.table(spark, sf_dir, "customer").where("c_acctbal > 0")
     people = b.roster(spark, sf_dir).join(rich, F.col("k") == F.col("c_custkey"), "left_semi")
-    return b.notes(spark, sf_dir).select("note_id", "client_id").join(
-        people.select("client_id", "phone"), "client_id", "left").select(
-        "note_id", "client_id", F.coalesce("phone", F.lit("")).alias("phone"))
+    return rosters.with_clients(b.notes(spark, sf_dir).select("note_id", "client_id"), people, "phone")
 
 
 @query("note_code_join", with_sql("SELECT note_id, ref_code FROM fx_notes", "notes"))
@@ -437,9 +451,15 @@ def _(spark, sf_dir):
     return pii_dictionary.dictionary_counts(surfaces_of(spark, sf_dir))
 
 
+def staged(spark, make: Callable[[], DataFrame]) -> DataFrame:
+    """What a run gives, computed once; its intermediate tables are removed."""
+    with Staging(spark):
+        return written(make(), scratch_path(spark, "result"))
+
+
 def result(spark, sf_dir) -> DataFrame:
-    return d.deidentify(b.corpus(spark, sf_dir), b.roster(spark, sf_dir), b.staff(spark, sf_dir),
-                        surfaces_of(spark, sf_dir), cut=True)
+    return staged(spark, lambda: d.deidentify(b.corpus(spark, sf_dir), b.roster(spark, sf_dir), b.staff(spark, sf_dir),
+                                              surfaces_of(spark, sf_dir), cut=True))
 
 
 @query("substitution_counts", o.deidentify_sql("""
@@ -460,8 +480,9 @@ def run_of_notes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         "note_id", "ref_code", "created_at", F.when(broken, bad).otherwise(F.col("note")).alias("note")))
     usable = every.where(F.col("error").isNull()).drop("error")
     fresh = sel.skip_processed(sel.drop_blank_notes(usable), state.scan_processed_log(log_of(spark, sf_dir)))
-    done = d.deidentify(fresh, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True)
-    return every, cut_lineage(done.select("note_id", "ref_code", "is_quarantined", "quarantine_reason"))
+    columns = ("note_id", "ref_code", "is_quarantined", "quarantine_reason")
+    return every, staged(spark, lambda: d.deidentify(
+        fresh, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True).select(*columns))
 
 
 def disposed(every: DataFrame, done: DataFrame) -> DataFrame:
@@ -556,8 +577,9 @@ def _(spark, sf_dir):
 @query("longest_first", with_sql(f"""WITH {o.FORMS} SELECT ref_code,
     string_agg(form, '|' ORDER BY -length(form), first_pos, form) AS forms FROM dict1 GROUP BY ref_code""", "roster", "staff"))
 def _(spark, sf_dir):
-    return sf.name_dictionary(b.roster(spark, sf_dir)).groupBy("ref_code").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.length("form")).alias("n"), "first_pos", "form"))), lambda x: x["form"]), "|").alias("forms"))
+    steps = m.word_forms(sf.word_steps(b.roster(spark, sf_dir), None), codes=True)
+    return m.longest_first(steps, "tag").select(
+        F.col("tag").alias("ref_code"), F.array_join(F.transform("steps", lambda x: x["form"]), "|").alias("forms"))
 
 
 def all_spans() -> Column:
@@ -602,8 +624,8 @@ def _(spark, sf_dir):
     SELECT src_file, first(note_id ORDER BY src_row) AS first_note, last(note_id ORDER BY src_row) AS last_note
     FROM fx_notes GROUP BY src_file ORDER BY src_file""", "notes"))
 def _(spark, sf_dir):
-    return b.notes(spark, sf_dir).groupBy("src_file").agg(
-        F.min_by("note_id", "src_row").alias("first_note"), F.max_by("note_id", "src_row").alias("last_note")).orderBy("src_file")
+    return sel.file_order(b.notes(spark, sf_dir), "note_id").select(
+        "src_file", F.col("first").alias("first_note"), F.col("last").alias("last_note"))
 
 
 @query("residual_sort", with_sql(f"""
@@ -702,11 +724,12 @@ def _(spark, sf_dir):
     return b.roster(spark, sf_dir).select("k", values.street_part(F.col("address")).alias("part"))
 
 
-@query("escape_literal", with_sql("SELECT note_id, true AS matches_itself, length(note) AS n FROM fx_corpus", "corpus"))
+@query("escape_literal", with_sql("""
+    SELECT note_id, replace(note, substr(note, 1, 12), '#') AS replaced FROM fx_corpus WHERE note <> ''""", "corpus"))
 def _(spark, sf_dir):
-    pattern = F.concat(F.lit("(?s)^"), tx.quote_literal(F.col("note")), F.lit("$"))
-    return b.corpus(spark, sf_dir).select(
-        "note_id", F.rlike(F.col("note"), pattern).alias("matches_itself"), F.length("note").cast("bigint").alias("n"))
+    """The first 12 characters of each text as a pattern, whatever they are: plain replacement of them gives the same."""
+    literal = tx.quote_literal(F.substring("note", 1, 12))
+    return b.corpus(spark, sf_dir).where("note <> ''").select("note_id", F.regexp_replace(F.col("note"), literal, F.lit("#")).alias("replaced"))
 
 
 # --- passes ------------------------------------------------------------------
@@ -769,7 +792,7 @@ def _(spark, sf_dir):
 def whole(spark, sf_dir) -> DataFrame:
     """Every note with a body, by all passes."""
     kept = sel.drop_blank_notes(b.notes(spark, sf_dir)).select("note_id", "ref_code", "created_at", "note")
-    return d.deidentify(kept, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True)
+    return staged(spark, lambda: d.deidentify(kept, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True))
 
 
 _WHOLE = f"""WITH {o.notes_ctes("trim(note) <> ''")},
@@ -841,7 +864,7 @@ def _(spark, sf_dir):
 
 def ledger(spark, sf_dir) -> str:
     base = fresh_state(spark, "ledger")
-    row = cut_lineage(ledger_of_notes(spark, sf_dir))
+    row = written(ledger_of_notes(spark, sf_dir), scratch_path(spark, "row"))
     for _ in range(2):              # a repeated run replaces its row
         state.append_state(row, base, "run_ledger", "r1")
     return base
@@ -868,13 +891,24 @@ def _(spark, sf_dir):
 
 
 @query("isolate_errors", with_sql("""
-    SELECT note_id, CASE WHEN CAST(substr(note_id, 2) AS BIGINT) % 13 = 0 THEN 'text is not valid UTF-8' END AS error
-    FROM fx_corpus""", "corpus"))
-def _(spark, sf_dir):
-    broken = F.col("note_id").substr(F.lit(2), F.lit(20)).cast("bigint") % 13 == 0
-    bad = F.concat("note", F.unhex(F.lit("C328")).cast("string"))
-    return sel.isolate_errors(b.corpus(spark, sf_dir).withColumn(
-        "note", F.when(broken, bad).otherwise(F.col("note")))).select("note_id", "error")
+    SELECT note_id, CASE WHEN src_row % 13 = 0 AND src_row % 2 = 0 THEN 'text is not valid UTF-8' END AS error,
+           CAST(CASE WHEN src_row % 13 <> 0 THEN 0 WHEN src_row % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS attempts
+    FROM fx_notes WHERE src_row % 13 = 0 OR src_file <> 'f0'""", "notes"))
+def _(spark, sf_dir):
+    """Two runs: failed notes of the first are input of the second, which gets half of them mended; the others fail again."""
+    base = scratch_path(spark, "letters")
+    broken = F.col("src_row") % BROKEN == 0
+    bad = lambda when: F.when(when, F.concat("note", F.unhex(F.lit("C328")).cast("string"))).otherwise(F.col("note"))
+    n = b.notes(spark, sf_dir).select("src_file", "src_row", "note_id", "ref_code", "created_at", "note")
+    none = state.read_letters(spark, base)
+    state.replace_letters(manifest.failed_again(sel.isolate_errors(manifest.with_letters(n.withColumn("note", bad(broken)), none)), none), base)
+    letters = state.read_letters(spark, base)
+    mended = broken & (F.col("src_row") % 2 == 1)
+    again = n.where(mended | ~broken & (F.col("src_file") != "f0"))
+    checked = written(sel.isolate_errors(manifest.with_letters(again, letters)), scratch_path(spark, "checked"))
+    state.replace_letters(manifest.failed_again(checked, letters), base)
+    left = state.read_letters(spark, base).select("note_id", F.col("attempt").alias("after"))
+    return checked.join(left, "note_id", "left").select("note_id", "error", F.coalesce("after", "attempt").alias("attempts"))
 
 
 NOTE_ROW = ("note_id string, src_file string, src_row long, client_id string, first_name string, last_name string, "
@@ -895,34 +929,55 @@ def land_rest(spark, sf_dir, base: str, columns) -> None:
         "append").parquet(f"{base}/in")
 
 
-@query("incremental_run", with_sql(f"""{_PATTERNED},
-    seen AS (SELECT client_id, min(((src_file = 'f2')::INT, src_file, src_row)) AS first_at FROM fx_notes GROUP BY client_id),
-    coded AS (SELECT client_id, printf('PART-%03d', row_number() OVER (ORDER BY first_at)) AS ref_code FROM seen)
-    SELECT note_id, CASE WHEN reason IS NULL THEN 'success' ELSE 'quarantine' END AS status, c.ref_code, CAST(1 AS BIGINT) AS outputs,
-      CASE WHEN reason IS NULL THEN 'Reference: ' || c.ref_code ELSE '{QUARANTINE_BANNER}' END AS first_line
-    FROM done JOIN fx_notes USING (note_id) JOIN coded c USING (client_id)""", "notes"))
+@query("incremental_run", with_sql(f"""{_WHOLE} SELECT note_id, CASE WHEN reason IS NULL THEN 'success' ELSE 'quarantine' END AS status, ref_code,
+    CAST(1 AS BIGINT) AS outputs, CASE WHEN reason IS NULL THEN {_CLEAN} ELSE {_HELD} END AS body FROM done""", "notes", "staff", "dictionary"))
 def _(spark, sf_dir):
-    """Three runs over a landing folder (two drops, then nothing new): log rows with the number and head of their outputs."""
+    """Three runs over a landing folder (two drops, then nothing new), all clients known: log rows and whole outputs."""
     base, columns = landed(spark, sf_dir)
+    state.init_state(spark, f"{base}/state")
+    known = b.roster(spark, sf_dir).select("*", F.lit(None).cast("timestamp").alias("date_first_assigned"), F.col("k").alias("pos"),
+                                           F.concat_ws(" ", "first_name", "last_name").alias("full_name"))
+    state.append_state(known, f"{base}/state", "registry", "known")
     for run in range(3):
         if run == 1:
             land_rest(spark, sf_dir, base, columns)
         stream = incremental.note_stream(spark, f"{base}/in", NOTE_ROW)
-        incremental.incremental_run(stream, f"{base}/state", f"{base}/checkpoint", TARGET_DATE).awaitTermination()
-    written = spark.read.parquet(f"{base}/state/outputs").groupBy(F.col("note_id").cast("string").alias("note_id")).agg(
-        F.count("*").alias("outputs"), F.max(F.substring_index("body", "\n", 1)).alias("first_line"))
-    return state.read_state(spark, f"{base}/state", "processed_log").select("note_id", "status", "ref_code").join(written, "note_id", "left")
-
-
-@query("archive_inputs", with_sql("SELECT note_id, note FROM fx_notes", "notes"))
-def _(spark, sf_dir):
-    """Consumed inputs move to the archive after a later batch; no row is lost on the way."""
-    base, columns = landed(spark, sf_dir)
-    for run in range(2):
-        if run == 1:
-            land_rest(spark, sf_dir, base, columns)
-        stream = incremental.note_stream(spark, f"{base}/in", NOTE_ROW, archive=f"{base}/archive")
-        stream.select("note_id", "note").writeStream.format("parquet").option(
-            "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/taken").awaitTermination()
-    return spark.read.parquet(f"{base}/taken")
-
+        incremental.incremental_run(stream, f"{base}/state", f"{base}/checkpoint", TARGET_DATE, staff=b.staff(spark, sf_dir),
+                                    surfaces=surfaces_of(spark, sf_dir)).awaitTermination()
+    bodies = spark.read.parquet(f"{base}/state/outputs").groupBy(F.col("note_id").cast("string").alias("note_id")).agg(
+        F.count("*").alias("outputs"), F.max("body").alias("body"))
+    return state.read_state(spark, f"{base}/state", "processed_log").select("note_id", "status", "ref_code").join(bodies, "note_id", "left")
+
+
+_FILES, _LOGGED = 40, 30        # files of the archive query, and how many of them have all their rows of other dates logged
+
+
+@query("archive_inputs", with_sql(f"""WITH {_NAMED},
+    keyed AS (SELECT src_row // 8 % {_FILES} AS k, note <> '' AND date <> 'junk' AS counts, coalesce({o.PASSES}, false) AS due,
+      (lower(client_name), CASE WHEN {o.PASSES} THEN '{TARGET_DATE}' ELSE strftime({o.date_sql('date')}, '%Y-%m-%d') END, note[1:100]) AS id
+      FROM named),
+    kept AS (SELECT k, counts, id IN (SELECT id FROM keyed WHERE counts AND (k < {_LOGGED} OR due)) AS logged FROM keyed)
+    SELECT 'n' || k || '.csv' AS src_file, count(*) AS rows, count(*) FILTER (counts AND logged) AS logged,
+           count(*) FILTER (counts AND NOT logged) AS waiting, count(*) FILTER (counts AND NOT logged) = 0 AS archived
+    FROM kept GROUP BY k""", "rows"))
+def _(spark, sf_dir):
+    """Exports in named files, of which some have rows that aren't logged: only the others move, seen by listing both folders."""
+    base = scratch_path(spark, "consumed")
+    rows = b.rows(spark, sf_dir).withColumn("k", F.expr(f"src_row div 8 % {_FILES}"))
+    heads = [("date", "Date"), ("first_name", "First Name"), ("last_name", "Last Name"), ("full_name", "Client Name"), ("note", "Note")]
+    rows.select(*[F.col(c).alias(h) for c, h in heads], "k").repartition("k").write.partitionBy("k").options(
+        header="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(f"{base}/parts")
+    for folder in folder_of(spark, base)[0].listStatus(folder_of(spark, f"{base}/parts")[1]):       # as many as files, so _FILES at most
+        if folder.isDirectory():
+            part = next(p for p in folder_of(spark, base)[0].listStatus(folder.getPath()) if p.getPath().getName().endswith(".csv"))
+            move(spark, part.getPath().toString(), f"{base}/in/n{folder.getPath().getName()[2:]}.csv")
+    source = notes_csv.scan_notes_csv(spark, f"{base}/in")
+    states = manifest.row_states(source, TARGET_DATE)
+    k = F.regexp_extract("src_file", r"\d+", 0).cast("int")
+    log = states.where((k < _LOGGED) | F.col("due")).select("note_id")
+    table = written(manifest.consumed_files(states, log, notes_csv.csv_files(spark, f"{base}/in")), f"{base}/manifest")
+    run = daily.Run(base, "r", TARGET_DATE, archive=f"{base}/archive")
+    daily.archive_files(spark, f"{base}/in", [r.src_file for r in table.where("complete").collect()], run)
+    moved = [f for f in daily.input_files(spark, f"{base}/archive/{TARGET_DATE}") if not exists(spark, f"{base}/in/{f}")]
+    there = spark.createDataFrame([(f,) for f in moved], "src_file string").withColumn("archived", F.lit(True))
+    return table.join(there, "src_file", "left").select("src_file", "rows", "logged", "waiting", F.coalesce("archived", F.lit(False)).alias("archived"))

@@ -9,11 +9,13 @@ from ..fixed_values import NOTE_FILE_PATTERN
 from ..functions.text import py_strip
 
 
-def scan_note_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``*.txt`` file of a folder, not of the folders in it: name and whole text."""
-    reader = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.txt")
-    return reader.text(path).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+def scan_note_files(spark: SparkSession, path: str | list[str], name: Column | None = None) -> DataFrame:
+    """One row per ``*.txt`` file of a folder, not of the folders in it: name and whole text.
+
+    ``name`` is the partition column that holds the file's name where each file has a folder of its own.
+    """
+    return spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(
+        (F.col("_metadata.file_name") if name is None else name.cast("string")).alias("file_name"), F.col("value").alias("text"))
 
 
 def notes_from_files(files: DataFrame) -> DataFrame:
@@ -51,10 +53,10 @@ def choose_source_mode(documents: DataFrame, exports: DataFrame | Callable[[], D
     return "none", None
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a folder without reading their content."""
-    return spark.read.format("binaryFile").load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "modificationTime", "length")
+def file_inventory(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:
+    """Files of a folder without reading their content; ``name`` as for ``scan_note_files``."""
+    own = F.element_at(F.split("path", "/"), -1) if name is None else name.cast("string")
+    return spark.read.format("binaryFile").load(path).select(own.alias("file_name"), "path", "modificationTime", "length")
 
 
 def files_of_date(files: DataFrame, day: Column, suffix: str = "pdf") -> DataFrame:

@@ -3,12 +3,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rosters import staff_roster
 from ..plans.daily_run import Run, archive_files, code_notes, process, run_documents, run_exports
 from ..session import Staging, cut_lineage, exists, folder_of
+from ..sources.note_files import scan_note_files
 from ..sources.notes_csv import csv_files, scan_notes_csv
 from ..sources.state import init_state
 
@@ -41,9 +42,7 @@ def run_paths(spark: SparkSession, folder: str, paths: list[str], run: Run, kind
         return
     with Staging(spark):
         if kind == "txt":
-            texts = spark.read.option("wholetext", "true").text(paths).select(
-                F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
-            _, manifest = run_documents(spark, texts, run, surfaces)
+            _, manifest = run_documents(spark, scan_note_files(spark, paths), run, surfaces)
         else:
             _, manifest = run_exports(spark, scan_notes_csv(spark, paths), csv_files(spark, paths), run, surfaces)
     if run.archive:
