@@ -42,18 +42,30 @@ def collapsed(docs: DataFrame) -> DataFrame:
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents of each term in each source."""
+    """(lang, term, of): for each source that has the term, `of` holds (source, n, docs), its occurrences and documents.
+
+    Each task hands on one row for a term and language, with all its sources, so a term is moved once a task.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, within = defaultdict(Counter), defaultdict(Counter)
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for (lang, source), own in terms.items():
-                found = within[lang, source]
-                held = [pa.array([x] * len(own), pa.string()) for x in (lang, source)]
+            by_lang = defaultdict(list)
+            for lang, source in terms:
+                by_lang[lang].append(source)
+            for lang, sources in by_lang.items():
+                own = [terms[lang, s] for s in sources]
+                found = pa.array([t for c in own for t in c], pa.binary()).dictionary_encode()
+                at = found.indices.to_numpy()
+                order = np.argsort(at, kind="stable")
+                ends = np.searchsorted(at[order], np.arange(len(found.dictionary) + 1)).astype(np.int32)
+                names = pa.array(sources, pa.string()).take(pa.array(np.repeat(np.arange(len(own)), [len(c) for c in own])[order]))
+                n = np.array([n for c in own for n in c.values()], np.int64)[order]
+                docs = np.array([within[lang, s][t] for s, c in zip(sources, own, strict=True) for t in c], np.int64)[order]
                 yield pa.RecordBatch.from_arrays(
-                    [*held, pa.array(list(own), pa.binary()).cast(pa.string()), pa.array(list(own.values()), pa.int64()),
-                     pa.array([found[t] for t in own], pa.int64())], ["lang", "source", "term", "n", "docs"])
+                    [pa.array([lang] * (len(ends) - 1), pa.string()), found.dictionary.cast(pa.string()),
+                     *(pa.ListArray.from_arrays(pa.array(ends), x) for x in (names, pa.array(n), pa.array(docs)))], ["lang", "term", "sources", "n", "docs"])
             terms.clear()
             within.clear()
 
@@ -81,8 +93,10 @@ def term_counts(texts: DataFrame) -> DataFrame:
     size = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(size) == "10000":
         spark.conf.set(size, str(TEXT_ROWS))
-    found = texts.mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    found = texts.mapInArrow(count, "lang string, term string, sources array<string>, n array<long>, docs array<long>")
+    each = found.repartition("lang", "term").select("lang", "term", F.explode(F.arrays_zip("sources", "n", "docs")).alias("o")).groupBy(
+        "lang", "term", "o.sources").agg(F.sum("o.n").alias("n"), F.sum("o.docs").alias("docs"))
+    return each.groupBy("lang", "term").agg(F.collect_list(F.struct(F.col("sources").alias("source"), "n", "docs")).alias("of"))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -144,10 +158,8 @@ def audit(docs: DataFrame) -> DataFrame:
     language without kept terms has values 0; a language of one source has no pairs. Ties are ordered by item, in UTF-8
     order. Repeated rows count as often as they occur, no table rows give no rows, other columns are ignored.
     """
-    per_source = term_counts(collapsed(docs))
-    kept = written(per_source.groupBy("lang", "term").agg(
-        F.sum("n").alias("total"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("of")).where(
-        F.col("docs") >= LEAST_DOCS).select("lang", "term", "total", "of"), "kept terms")
+    add = lambda name: F.aggregate(F.col("of")[name], F.lit(0).cast("long"), lambda x, y: x + y)
+    kept = written(term_counts(collapsed(docs)).where(add("docs") >= LEAST_DOCS).select("lang", "term", add("n").alias("total"), "of"), "kept terms")
 
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
     counts = kept.select("lang", "term", "total", F.explode("of").alias("o")).select("lang", "term", "total", "o.source", F.col("o.n").alias("n"))
