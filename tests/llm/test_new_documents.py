@@ -79,6 +79,13 @@ def test_class_model_is_a_distribution():
         assert sum(known) + 10 ** model.unknown[h] == pytest.approx(1)
 
 
+@pytest.mark.parametrize("top", [0, 1, 255, 256, 65535, 70_000, 1 << 24, (1 << 31) - 1])
+def test_packed_codes(top):
+    codes = np.array([0, 3, top, top // 2, 0], np.int32)
+    assert class_model.unpacked(class_model.packed(codes), 5).tolist() == codes.tolist()
+    assert len(class_model.packed(codes)) == 5 * max(1, (max(3, top).bit_length() + 7) // 8)
+
+
 def test_class_model_along_a_text():
     """Scores of a chunk, with unknown words in runs and at the start, against one token after the other."""
     model, words = model_of()
@@ -89,7 +96,7 @@ def test_class_model_along_a_text():
     given = [*words.values(), (3, 0)]
     told = pa.table({"shard": pa.array([0], pa.int32()), "classes": [np.array([c for c, _ in given], np.uint8).tobytes()],
                      "counts": [np.array([n for _, n in given], np.int64).tobytes()]})
-    table = pa.table({"doc_ids": [list(range(26))], "held": [[False] * 26], "codes": [np.array(codes, np.int32).tobytes()],
+    table = pa.table({"doc_ids": [list(range(26))], "held": [[False] * 26], "codes": [class_model.packed(np.array(codes, np.int32))],
                       "sizes": [np.array([len(d) + 1 for d in docs], np.int64).tobytes()]})
     got = model.scores(table, told).to_pylist()
     for d, r in zip(docs, got, strict=True):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilnote.llm.common import TEXT_ROWS, Scratch, written
+from veilnote.llm.common import TEXT_ROWS, Scratch, new_path, remove, written
 
 #: Classes (0 is the end's) and sweeps; bytes of text of a chunk and, in the whole, for each shard.
 CLASSES, SWEEPS, CHUNK_BYTES, SHARD_BYTES = 64, 4, 4 << 20, 12 << 20
@@ -41,7 +41,7 @@ CLASSES, SWEEPS, CHUNK_BYTES, SHARD_BYTES = 64, 4, 4 << 20, 12 << 20
 FREQUENT, ADDED, WEIGHT = 200, 0.5, 32.0
 
 _REPLY = "chunk long, shard int, ids binary, classes binary, counts binary, sums array<long>"
-_CONTEXT = "chunk long, shard int, ids binary, classes binary, filled binary, beside binary, times binary, bigrams array<long>"
+_CONTEXT = "chunk long, shard int, ids binary, classes binary, filled binary, beside binary, times binary, often array<long>, bigrams array<long>"
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -73,8 +73,9 @@ def encoded(docs: DataFrame, shards: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array([first] * n, pa.int64()), pa.array([-1, *where], pa.int32()), pa.array([ids, *rest], pa.list_(pa.int64())),
                  pa.array([held, *rest], pa.list_(pa.bool_())), pa.array([np.array(sizes, np.int64).tobytes(), *rest], pa.binary()),
-                 pa.array([code[np.concatenate(codes)].tobytes(), *rest], pa.binary()), pa.array(words, pa.list_(pa.binary())), pa.array(counts, pa.binary())],
-                ["chunk", "shard", "doc_ids", "held", "sizes", "codes", "words", "counts"])
+                 pa.array([packed(code[np.concatenate(codes)]), *rest], pa.binary()), pa.array(words, pa.list_(pa.binary())), pa.array(counts, pa.binary())],
+                ["chunk", "shard", "doc_ids", "held", "sizes", "codes", "words", "counts"]).append_column(
+                "part", pa.array(["texts", *["words"] * (n - 1)]))
 
         for batch in batches:
             for row, doc_id, out, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
@@ -97,7 +98,20 @@ def encoded(docs: DataFrame, shards: int) -> DataFrame:
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), held_out(), F.col("text").cast("string")).mapInArrow(
-        encode, "chunk long, shard int, doc_ids array<long>, held array<boolean>, sizes binary, codes binary, words array<binary>, counts binary")
+        encode, "chunk long, shard int, doc_ids array<long>, held array<boolean>, sizes binary, codes binary, words array<binary>, counts binary, part string")
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """Codes as planes of bytes, the lowest first and without the empty ones, since the higher planes compress well."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return planes[:max(1, 4 - int(np.argmax(planes.any(axis=1)[::-1])))].tobytes()
+
+
+def unpacked(data: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(-1, count)
+    out = np.zeros((count, 4), np.uint8)
+    out[:, :len(planes)] = planes.T
+    return out.view("<u4").ravel().astype(np.int64)
 
 
 def held_out() -> Column:
@@ -135,7 +149,8 @@ def joined(replies: pa.Table, name: str, kind: type, end: int) -> np.ndarray:
 
 def contexts(texts: pa.Table, replies: pa.Table) -> pa.Table:
     """For each shard, what stands beside a chunk's words in training texts: `filled` is the number of entries of a word,
-    `beside` their classes (CLASSES + class for one before it), `times` how often. And the class bigrams, in a row of shard -1."""
+    `beside` their classes (CLASSES + class for one before it), `times` how often, in a byte; where that is 255, `often` has
+    the number. And the class bigrams, in a row of shard -1."""
     replies = replies.sort_by("shard")
     chunk = texts.column("chunk")[0].as_py()
     classes = joined(replies, "classes", np.uint8, 0)
@@ -146,24 +161,25 @@ def contexts(texts: pa.Table, replies: pa.Table) -> pa.Table:
     bigrams = np.bincount(known[1] * CLASSES + known[0], minlength=CLASSES * CLASSES)
     entry, times = np.unique(np.concatenate([word * 2 * CLASSES + CLASSES + known[1], previous * 2 * CLASSES + known[0]]), return_counts=True)
     filled = np.bincount(entry // (2 * CLASSES), minlength=len(classes)).astype(np.uint8)
-    beside, times = (entry % (2 * CLASSES)).astype(np.uint8), times.astype(np.int32)
+    beside, short = (entry % (2 * CLASSES)).astype(np.uint8), np.minimum(times, 255).astype(np.uint8)
     ends = np.append(0, np.cumsum(filled, dtype=np.int64))
-    rows, at = [(chunk, -1, None, None, None, None, None, bigrams.tolist())], 1
+    rows, at = [(chunk, -1, None, None, None, None, None, None, bigrams.tolist())], 1
     for shard, ids, own in zip(*(replies.column(c).to_pylist() for c in ("shard", "ids", "classes")), strict=True):
         lo, hi = ends[at], ends[at + len(own)]
-        rows.append((chunk, shard, ids, own, filled[at:at + len(own)].tobytes(), beside[lo:hi].tobytes(), times[lo:hi].tobytes(), None))
+        often = times[lo:hi][times[lo:hi] >= 255].tolist()
+        rows.append((chunk, shard, ids, own, filled[at:at + len(own)].tobytes(), beside[lo:hi].tobytes(), short[lo:hi].tobytes(), often, None))
         at += len(own)
     columns = zip(*rows, strict=True)
-    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.list_(pa.int64())]
-    names = ["chunk", "shard", "ids", "classes", "filled", "beside", "times", "bigrams"]
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.list_(pa.int64())]
+    names = ["chunk", "shard", "ids", "classes", "filled", "beside", "times", "often", "bigrams"]
     return pa.table({name: pa.array(c, kind) for name, c, kind in zip(names, columns, kinds, strict=True)})
 
 
 def training(texts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of a chunk's tokens, the code before each (0 at the start of a text; -1 in texts that are held out), and where
     texts start."""
-    codes = np.frombuffer(texts.column("codes")[0].as_py(), np.int32).astype(np.int64)
     sizes = np.frombuffer(texts.column("sizes")[0].as_py(), np.int64)
+    codes = unpacked(texts.column("codes")[0].as_py(), int(sizes.sum()))
     starts = np.append(0, np.cumsum(sizes)[:-1])
     before = np.append(0, codes[:-1])
     before[starts] = 0
@@ -208,11 +224,13 @@ def exchange(bigrams: np.ndarray, sweep: int) -> Callable[[pa.Table], pa.Table]:
         ids = [np.frombuffer(x, np.int32) for x in rows.column("ids").to_pylist()]
         size = max((int(x.max(initial=-1)) for x in ids), default=-1) + 1
         own, classes = np.zeros((size, 2 * CLASSES)), np.zeros(size, np.int64)
-        for number, old, filled, beside, times in zip(ids, *(rows.column(c).to_pylist() for c in ("classes", "filled", "beside", "times")), strict=True):
+        for number, old, filled, beside, short, often in zip(ids, *(rows.column(c).to_pylist() for c in ("classes", "filled", "beside", "times", "often")), strict=True):
             known = number >= 0
             classes[number[known]] = np.frombuffer(old, np.uint8)[known]
             word = np.repeat(number, np.frombuffer(filled, np.uint8))
-            own[word, np.frombuffer(beside, np.uint8)] += np.frombuffer(times, np.int32)
+            times = np.frombuffer(short, np.uint8).astype(np.int64)
+            times[times == 255] = often
+            own[word, np.frombuffer(beside, np.uint8)] += times
         n = own[:, CLASSES:].sum(1).astype(np.int64)
         moves = np.ones(size, bool) if sweep == 0 else (np.arange(size) + sweep) % 2 == 0
         classes = np.where(moves, best_classes(own, classes, bigrams.astype(float)), classes)
@@ -281,9 +299,13 @@ def score(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark)
     size, ends = docs.select(F.octet_length(F.col("text").cast("string")).alias("size"), held_out()).agg(
         F.coalesce(F.sum("size"), F.lit(0)), F.count(F.when(~F.col("held_out"), 1))).first()
-    chunks = scratch.put(encoded(docs, max(8, math.ceil(size / SHARD_BYTES))), "chunks")
-    texts = chunks.where("shard < 0").select("chunk", "doc_ids", "held", "sizes", "codes")
-    numbers = scratch.put(chunks.where("shard >= 0").select("chunk", "shard", "words", "counts").groupBy("shard").applyInArrow(numbered, _REPLY), "numbers")
+    chunks, kept = encoded(docs, max(8, math.ceil(size / SHARD_BYTES))), new_path(spark, "chunks")
+    chunks.write.partitionBy("part").parquet(kept)
+    read = spark.read.schema(chunks.schema).parquet(kept)
+    texts = read.where("part = 'texts'").select("chunk", "doc_ids", "held", "sizes", "codes")
+    words = read.where("part = 'words'").select("chunk", "shard", "words", "counts")
+    numbers = scratch.put(words.groupBy("shard").applyInArrow(numbered, _REPLY), "numbers")
+    remove(spark, f"{kept}/part=words")
 
     # At first each of the most frequent words is a class, and all others are the last one.
     place = numbers.where("chunk < 0").select("shard", "ids", "sums").collect()
@@ -303,6 +325,7 @@ def score(docs: DataFrame) -> DataFrame:
     model = Model(final, added_up(state.where("chunk < 0").select(F.col("sums").alias("x")), 4 * CLASSES), ends)
     out = written(texts.groupBy("chunk").cogroup(told().groupBy("chunk")).applyInArrow(lambda own, replies: model.scores(own, replies), _SCORE), "scores")
     scratch.drop(*list(scratch.paths))
+    remove(spark, kept)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
