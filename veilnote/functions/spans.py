@@ -16,6 +16,7 @@ from .text import any_case_pattern, bind, lit_map, quote_literal, word_pattern
 SPAN_TYPE = "struct<start:int,priority:int,neg_end:int,rank:int,label:string>"
 SPANS_TYPE = f"array<{SPAN_TYPE}>"
 _LABELS = list(SPAN_TAG)
+_BLOCK = 64         # spans that are closed together, so that no list of all of them is copied for each
 
 
 def no_spans() -> Column:
@@ -85,27 +86,34 @@ def find_spans(text: Column, locations: Column) -> Column:
 
 
 def merge_spans(spans: Column) -> Column:
-    """Overlap resolution, left to right.
+    """Overlap resolution, left to right; only the last span is open, closed ones are not looked at again.
 
     An overlapping span of higher priority replaces the last one, an equal and
     longer one extends it (the last one's label stays), a lower one is dropped.
     """
     def resolve(acc: Column, cur: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        before = F.slice(acc, F.lit(1), F.size(acc) - 1)
+        last = acc["last"]
         extended = F.struct(
             last["start"].alias("start"), last["priority"].alias("priority"),
-            cur["neg_end"].alias("neg_end"), last["rank"].alias("rank"),
-            last["label"].alias("label"))
-        return (
-            F.when((F.size(acc) == 0) | (cur["start"] >= -last["neg_end"]), F.array_append(acc, cur))
-            .when(cur["priority"] < last["priority"], F.array_append(before, cur))
-            .when((cur["priority"] == last["priority"]) & (cur["neg_end"] < last["neg_end"]),
-                  F.array_append(before, extended))
-            .otherwise(acc)
-        ).cast(SPANS_TYPE)
-
-    return F.aggregate(F.sort_array(spans), no_spans(), resolve)
+            cur["neg_end"].alias("neg_end"), last["rank"].alias("rank"), last["label"].alias("label"))
+        apart = cur["start"] >= -last["neg_end"]
+        longer = (cur["priority"] == last["priority"]) & (cur["neg_end"] < last["neg_end"])
+        return F.struct(
+            F.when(apart, F.array_append(acc["closed"], last)).otherwise(acc["closed"]).alias("closed"),
+            F.when(last.isNull() | apart | (cur["priority"] < last["priority"]), cur).when(longer, extended).otherwise(last).alias("last"))
+
+    def block(acc: Column, some: Column) -> Column:
+        start = F.struct(no_spans().alias("closed"), acc["last"].alias("last"))
+        return bind(F.aggregate(some, start, resolve), lambda r: F.struct(
+            F.array_append(acc["closed"], r["closed"]).alias("closed"), r["last"].alias("last")))
+
+    def swept(sorted_: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sorted_) - 1) / _BLOCK).cast("int")),
+                             lambda k: F.slice(sorted_, k * _BLOCK + 1, F.lit(_BLOCK)))
+        start = F.struct(F.array().cast(f"array<{SPANS_TYPE}>").alias("closed"), F.lit(None).cast(SPAN_TYPE).alias("last"))
+        return F.aggregate(blocks, start, block, lambda acc: F.array_append(F.flatten(acc["closed"]), acc["last"]))
+
+    return bind(F.sort_array(spans), lambda s: F.when(F.size(s) > 0, swept(s)).otherwise(no_spans()))
 
 
 def splice_spans(text: Column, spans: Column) -> Column:
