@@ -37,11 +37,11 @@ def lower(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
 
 
-def plain_components(docs):
+def plain_components(docs, n=4):
     sets = {}
     for i, t in docs:
         w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
-        sets[i] = {tuple(w[k:k + 4]) for k in range(max(1, len(w) - 3))} if w else set()
+        sets[i] = {tuple(w[k:k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()
     root = {i: i for i in sets}
 
     def find(x):
@@ -60,7 +60,7 @@ def plain_components(docs):
 
 def test_near_duplicates(frame):
     docs = texts()
-    got = chosen_path.near_duplicates(frame(rows_of(docs), DOCS)).collect()
+    got = chosen_path.near_duplicates(frame(rows_of(docs), DOCS), n=4).collect()
     assert len(got) == len(docs)
     expected = plain_components([d for d in docs if d[0] is not None])
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == expected
@@ -72,7 +72,7 @@ def test_near_duplicates(frame):
 def test_near_duplicates_large_group(frame):
     """A group of copies whose nodes are larger than a leaf, many pairs of it hardly linked: the recall of the trees."""
     docs = [d for d in texts(3, 240) if d[0] is not None]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(rows_of(docs), DOCS)).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(rows_of(docs), DOCS), n=4).collect()}
     expected = plain_components(docs)
     lost = [i for i in expected if got[i] != expected[i]]
     assert all(got[i][1] == i for i in lost) and len(lost) <= 0.01 * len(expected)
@@ -88,7 +88,7 @@ def test_near_duplicates_in_large_mixed_nodes(frame):
         docs += [(2 * k + x, " ".join(base + own + [f"d{k}x{x}w{j}" for j in range(apart)])) for x in (0, 1)]
     draw.shuffle(docs)
     expected = plain_components(docs)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(docs, "doc_id long, text string")).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(docs, "doc_id long, text string"), n=4).collect()}
     assert sum(expected[i][1] != i for i in expected) == 900
     assert sum(got[i] != expected[i] for i in expected) <= 0.005 * 900
 
@@ -105,7 +105,7 @@ def test_near_duplicates_of_strays(frame):
     docs = [(k, " ".join(base + [f"d{k}w{j}" for j in range(5)])) for k in range(1500)]
     docs += [(5000 + k, " ".join(base[8:] + docs[37 * k][1].split()[60:] + [f"e{k}w{j}" for j in range(2)])) for k in range(20)]
     expected = plain_components(docs)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(docs, "doc_id long, text string")).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(frame(docs, "doc_id long, text string"), n=4).collect()}
     assert got == expected
 
 

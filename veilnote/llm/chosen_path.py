@@ -11,7 +11,9 @@ is 2e-7 at depth two, 6e-5 two narrow levels below that, 3e-4 after four and 9e-
 Links are found in two passes, so that a group of n near copies needs some n comparisons, not n * n. The first compares
 every set with two leaders of each of its nodes, the smallest id and one drawn by hash. The second looks only at nodes
 that still hold several components: pairs within one component need no comparison, as only the components are returned.
-A large one in which all but a few sets are one component is finished at once: those few are compared with all others.
+A large one that is mostly one component is finished at once, on full sets: its sets are dealt over parts
+of bounded size, the strays go to each of them, and a part's task counts common shingles by an index of its own sets. It
+returns one link for a stray and a component, so neither rows nor confirmations are made for the pairs of a large group.
 Below BRANCHING levels the other large ones have a child for each tuple of tokens at NARROW positions, of DRAWS independent
 draws of positions, so that a node of many sets that are almost alike comes down to LEAF in few levels and a pair of
 similarity 0.8 still meets in 3 * 0.8^4 = 1.23 children. Every link is confirmed on the full sets.
@@ -27,11 +29,13 @@ from veilnote.llm.common import Scratch, map_batches, written
 from veilnote.llm.components import components
 from veilnote.llm.shingles import each_set, shingle_sets
 
-#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively (or sets outside of its
-#: largest component), levels with 1.25 children, and below them positions that are drawn at once and draws of a node.
+#: Minwise tokens of a set, independent trees, sets of a node that is compared exhaustively by pairs, levels with 1.25
+#: children, and below them positions that are drawn at once and draws of a node.
 TOKENS, TREES, LEAF, BRANCHING, NARROW, DRAWS = 128, 12, 32, 2, 4, 3
-#: Sets of a large node that one key has when it is finished.
-SPREAD = 1000
+#: Shingles of all strays of a node that is finished at once, and of the sets of each of its parts (a longer set is a part's only one).
+STRAYS, PART = 1 << 20, 1 << 20
+#: Rows that are broadcast, at most, to leave documents in no pair where they are.
+SLOTS = 1 << 20
 #: Pairs with fewer equal tokens aren't confirmed: a pair of similarity 0.8 has fewer with a chance of 8e-9.
 LEAST_EQUAL = 75
 
@@ -99,8 +103,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, least: int) -> DataFram
     scratch = Scratch(docs.sparkSession)
     pairs = scratch.put(pairs.select("a", "b"), "pairs")
     ids = scratch.put(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    # Few documents are in a pair; the texts of the others needn't be shuffled.
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
+    texts = texts_of(docs, ids)
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -116,7 +119,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, least: int) -> DataFram
     return links
 
 
-def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of some documents. Few are in a pair: the others mostly share no slot with one that is, and aren't shuffled."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int").alias("slot")
+    near = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("slot", slot).join(
+        F.broadcast(ids.select(slot).distinct()), "slot", "left_semi").drop("slot")
+    return near.join(ids, "doc_id", "left_semi")
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, least: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of docs(doc_id, text).
 
     Texts are linked if their sets of n-word shingles have 100 * intersection >= least * union; component_id is the
@@ -148,21 +159,23 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
     links = confirmed(first, docs, n, least)
     roots_of = components(links)
 
-    pairs, depth = None, 1
+    pairs, depth, finished = None, 1, []
     while True:
         known = scratch.put(nodes.join(roots_of.withColumnRenamed("node", "rep"), "rep", "left").select(
             "node", "rep", "n_shingles", F.coalesce("root", "rep").alias("root")), "known")
-        mixed = known.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node", "n")
+        mixed = known.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.min("root").alias("x"), F.max("root").alias("y")).where(
+            "x <> y").select("node", "n", "size")
         open_ = scratch.put(known.join(mixed, "node"), "mixed")
         a, b = (open_.where(F.col("n") <= LEAF).select("node", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n_shingles"))) for x in "ab")
         close = a.join(b, "node").where("rep_a < rep_b and root_a <> root_b")
         large = open_.where(F.col("n") > LEAF)
         last = large.isEmpty()
         if not last:
-            most = large.groupBy("node", "root").agg(F.count("*").alias("m")).groupBy("node").agg(F.max(F.struct("m", "root")).alias("most"))
+            most = large.groupBy("node", "root").agg(F.sum("n_shingles").alias("m")).groupBy("node").agg(F.max(F.struct("m", "root")).alias("most"))
             large = scratch.put(large.join(most, "node"), "large")
-            close = close.unionByName(strays(large.where(few_strays())))
-            large = large.where(~few_strays())
+            few = (2 * F.col("most.m") >= F.col("size")) & (F.col("size") - F.col("most.m") <= STRAYS)
+            finished.append(written(stray_links(large.where(few), docs, n, least), "stray links"))
+            large = large.where(~few)
             last = large.isEmpty()
         close = close.where(near_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), least)).select(
             F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
@@ -175,7 +188,10 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
         depth += 1
     scratch.drop("reps", "nodes", "shared", "known", "mixed", "large")
     pairs = pairs.distinct().join(first, ["a", "b"], "left_anti")
-    roots_of = components(links.union(confirmed(pairs, docs, n, least)))
+    links = links.union(confirmed(pairs, docs, n, least))
+    for more in finished:
+        links = links.union(more)
+    roots_of = components(links)
     scratch.drop("met", *(f"found {k}" for k in range(1, depth + 1)))
 
     member = classes.join(roots_of.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -186,18 +202,37 @@ def near_duplicates(docs: DataFrame, n: int = 4, least: int = 80) -> DataFrame:
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def few_strays() -> Column:
-    """Whether at most LEAF sets of a node are outside of its largest component."""
-    return F.col("n") - F.col("most.m") <= LEAF
-
-
-def strays(large: DataFrame) -> DataFrame:
-    """The pairs (rep_a, rep_b, ...) of a set outside of its node's largest component and any set of another component,
-    so at most LEAF * n of a node. The node's sets are dealt over several keys and the few go to each of them."""
-    spread = F.floor(F.col("n") / SPREAD).cast("long")
-    a, b = (large.select("node", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n_shingles")), part.alias("part"), F.col("most.root").alias(f"most_{x}"))
-            for x, part in (("a", F.explode(F.sequence(F.lit(0).cast("long"), spread))), ("b", F.pmod(F.xxhash64("rep"), spread + 1))))
-    return a.where("root_a <> most_a").drop("most_a").join(b.drop("most_b"), ["node", "part"]).where("root_a <> root_b").drop("part")
+def stray_links(large: DataFrame, docs: DataFrame, n: int, least: int) -> DataFrame:
+    """Links (a, b) between sets outside of their node's largest component and sets of other components: for each stray
+    and component one of a part's links, if there is any, found on full sets."""
+    parts = F.floor(F.col("size") / PART).cast("long")
+    dealt = large.select("node", F.pmod(F.xxhash64("rep"), parts + 1).alias("part"), "rep", "root", F.lit(False).alias("stray"))
+    strays = large.where(F.col("root") != F.col("most.root")).select(
+        "node", F.explode(F.sequence(F.lit(0).cast("long"), parts)).alias("part"), "rep", "root", F.lit(True).alias("stray"))
+    texts = texts_of(docs, large.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")
+
+    def find(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        reps, roots, stray = (rows.column(c).to_numpy() for c in ("rep", "root", "stray"))
+        sets = each_set(pa.concat_arrays(rows.column("text").chunks), n)
+        own = np.flatnonzero(~stray)
+        sizes = np.array([len(sets[k]) for k in own])
+        grams, owner = np.concatenate([sets[k] for k in own] or [np.zeros(0, np.uint64)]), np.repeat(np.arange(len(own)), sizes)
+        order = np.argsort(grams, kind="stable")
+        grams, owner = grams[order], owner[order]
+        links = []
+        for k in np.flatnonzero(stray):
+            lo, hi = np.searchsorted(grams, sets[k], "left"), np.searchsorted(grams, sets[k], "right")
+            reach = hi - lo
+            at = np.repeat(lo - np.append(0, np.cumsum(reach)[:-1]), reach) + np.arange(reach.sum())
+            common = np.bincount(owner[at], minlength=len(own))
+            near = own[(common > 0) & (100 * common >= least * (sizes + len(sets[k]) - common))]
+            first = np.unique(roots[near], return_index=True)[1]
+            links += [(min(reps[k], x), max(reps[k], x)) for x, root in zip(reps[near][first], roots[near][first], strict=True) if root != roots[k]]
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.unionByName(strays).join(texts, "rep").groupBy("node", "part").applyInArrow(find, "a long, b long").distinct()
 
 
 def near_sizes(x: Column, y: Column, least: int) -> Column:

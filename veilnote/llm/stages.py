@@ -15,11 +15,13 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: that with the smallest doc_id, and one row of it if it is repeated.
-    Rows without doc_id stay."""
-    kept = written(near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One document of each class of near copies (five words, 0.8): that with the smallest doc_id, and one row of it
+    if it is repeated, the same one in each run. Rows without doc_id stay."""
+    kept = written(near_duplicates(docs, n=5, least=80).where("kept and doc_id is not null").select("doc_id").distinct(), "kept")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = docs.join(kept, "doc_id", "left_semi").select(*columns).groupBy("doc_id").agg(
+        F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("first")).select("first.*")
+    return one.unionByName(docs.where("doc_id is null")).select(*columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +30,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).select(*docs.columns, F.expr("explode(array_repeat(0, int(copies)))").alias("copy"))
-    return taken.select(*docs.columns)
+    """Each document as often as the mix takes it, with all its columns, whatever their names."""
+    used = ["doc_id", "text", "source"]
+    others = F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c not in used))
+    mixed = mixing.mix(docs.select(*used, others.alias("others")))
+    row = F.struct(*((F.col(c) if c in used else F.col(f"others.c{k}")).alias(c) for k, c in enumerate(docs.columns)))
+    return mixed.select(row.alias("row"), F.expr("explode(array_repeat(0, int(copies)))").alias("copy")).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
