@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilnote.llm.common import written
+from veilnote.llm.common import Scratch
 from veilnote.llm.stages import clean, decontaminate, deduplicate, mix, shard
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -21,8 +21,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage in turn; what a stage returns is written as Parquet and read again by the next one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Every stage in turn; what a stage returns is written as Parquet and read again by the next one, then removed."""
+    docs, tables, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark), ()
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = tables.put(stage(spark, docs, sf_dir), name)
+        tables.drop(*before)
+        before = (name,)
     return STAGES[-1][1](spark, docs, sf_dir)
