@@ -14,6 +14,9 @@ NOTICE_NAMES = ("cookie-notice", "consent", "newsletter-signup", "alert", "promo
 ADVERT_NAMES = ("ad", "ads", "advertisement", "sponsored", "ad-slot")
 TALK_NAMES = ("comments", "comment-list", "respond", "discussion", "disqus_thread")
 
+#: Marks a page whose text outside of any element is content.
+BARE = "<!--state1-->"
+
 
 class Writer:
     """Writes html; every element is marked with its state, which is read back and removed by `labelled`."""
@@ -162,15 +165,56 @@ class Writer:
         return "".join(self.out) + self.draw.choice(("</body></html>", ""))
 
 
+    def bare(self) -> str:
+        """A page that is little more than its text: no markup, lines, some paragraphs, a short article, at times with a menu."""
+        kind = self.draw.randrange(8)
+        if kind < 2:
+            self.out.append(BARE)
+            for _ in range(self.draw.choice((1, 1, 2, 5))):
+                self.out.append(self.words(1, 60) + self.draw.choice(("<br>", "\n\n", " ")))
+            return "".join(self.out)
+        whole = kind > 3
+        if whole:
+            self.out.append(self.draw.choice(("", "<!DOCTYPE html>")) + "<html>" + self.draw.choice(("", "<head><title>" + self.words(1, 6) + "</title></head>")))
+        own = kind == 4                              # text right in the body
+        if whole:
+            self.open("body", own)
+        if not own and self.draw.random() < 0.3:
+            self.links("nav")
+        if own:
+            for _ in range(self.draw.choice((1, 2, 4))):
+                self.out.append(self.words(1, 60) + self.draw.choice(("<br>", " ")))
+        elif kind in (2, 5):
+            for _ in range(self.draw.choice((1, 1, 2, 4))):
+                self.element("p", True, self.words(1, 60) + self.draw.choice(("", " If a < b and b > c then a is small.")))
+        else:
+            tag = self.draw.choice(("article", "article", "main", "div"))
+            self.open(tag, True, "content" if tag == "div" else "")
+            if self.draw.random() < 0.5:
+                self.open("header", True)
+                self.element("h1", True, self.words(1, 8))
+                if self.draw.random() < 0.5:
+                    self.element("p", True, self.words(2, 15))
+                self.close("header")
+            for _ in range(self.draw.choice((1, 1, 2, 3))):
+                self.element("p", True, self.words(1, 40))
+            self.close(tag)
+        if not own and self.draw.random() < 0.3:
+            self.element("footer", False, "&copy; " + self.words(2, 10))
+        return "".join(self.out) + ("</body></html>" if whole else "")
+
+
 def labelled(source: str) -> tuple[Page, list[bool]]:
     """The tree without the marks, and the state of each element."""
-    page = parse(source.replace(' data-state="', ' id="state'))
-    states = []
+    page = parse(source.removeprefix(BARE).replace(' data-state="', ' id="state'))
+    states = [source.startswith(BARE)]
     for k, names in enumerate(page.names):
-        states.append("state1" in names.split())
+        if k:
+            states.append("state1" in names.split())
         page.names[k] = " ".join(w for w in names.split() if w not in ("state0", "state1"))
     return page, states
 
 
 def labelled_pages(count: int, seed: int = 0) -> list[tuple[Page, list[bool]]]:
-    return [labelled(Writer(seed + k).page()) for k in range(count)]
+    """Pages of which every fourth is bare."""
+    return [labelled(Writer(seed + k).bare() if k % 4 == 3 else Writer(seed + k).page()) for k in range(count)]

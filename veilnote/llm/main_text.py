@@ -20,13 +20,13 @@ from veilnote.llm.dom import INLINE, Page, parse
 from veilnote.llm.labelled_pages import labelled_pages
 
 #: Labelled pages, steps of the gradient and weight decay.
-PAGES, STEPS, DECAY = 800, 200, 1e-4
+PAGES, STEPS, DECAY = 1200, 200, 1e-4
 
 # Elements that are never content, and words of class names by what they tell.
-NEVER = frozenset("#page html head title meta link script style noscript template iframe svg canvas object nav form button select option input textarea "
+NEVER = frozenset("head title meta link script style noscript template iframe svg canvas object nav form button select option input textarea "
                   "label fieldset".split())
 TAGS = ("article main section div p h1 h2 h3 h4 li ul ol a b strong em i span table tr td blockquote pre code figure figcaption header footer aside nav "
-        "body dl dt dd time small details summary").split()
+        "body dl dt dd time small details summary #page html").split()
 CLASS_WORDS = {
     "content": "article content main post entry story text body prose",
     "menu": "nav menu navbar breadcrumb breadcrumbs navigation toc pagination pager tabs skip",
@@ -40,9 +40,10 @@ CLASS_WORDS = {
 WORDS = {w: group for group, listed in CLASS_WORDS.items() for w in listed.split()}
 GROUPS = list(CLASS_WORDS)
 STEPS_OF_LENGTH = (1, 20, 60, 150, 400, 1000)
-#: Columns of features: each tag, other tag, each group, the same of any ancestor, lengths of own and whole text, links.
-OFFSETS = dict(zip(("tag", "group", "above", "tag_above", "own", "whole", "links", "always"), np.cumsum(
-    [0, len(TAGS) + 1, len(GROUPS), len(GROUPS), len(TAGS) + 1, len(STEPS_OF_LENGTH) + 1, len(STEPS_OF_LENGTH) + 1, 6]).tolist(), strict=True))
+#: Columns of features: each tag, other tag, each group, the same of any ancestor, lengths of own and whole text, links,
+#: text right in the page or its body, paragraphs right in it whose class tells nothing.
+OFFSETS = dict(zip(("tag", "group", "above", "tag_above", "own", "whole", "links", "open", "top", "always"), np.cumsum(
+    [0, len(TAGS) + 1, len(GROUPS), len(GROUPS), len(TAGS) + 1, len(STEPS_OF_LENGTH) + 1, len(STEPS_OF_LENGTH) + 1, 6, 1, 1]).tolist(), strict=True))
 WIDTH = OFFSETS["always"] + 1
 TAG_AT = {t: k for k, t in enumerate(TAGS)}
 _SPLIT = re.compile(r"[^a-z]+")
@@ -97,12 +98,17 @@ def forest(pages: list[Page]) -> Forest:
     for level in levels[1:]:
         above[level] = groups[parent[level]] | above[parent[level]]
         tags_above[level] = tag_sets[parent[level]] | tags_above[parent[level]]
+    outer = np.array([t in ("#page", "html", "body") for t in tags])
+    within = np.where(parent >= 0, outer[parent], False)
+    paragraph = np.array([t == "p" for t in tags])
     share = np.where(whole > 0, linked / np.maximum(whole, 1), 0)
     pairs = [(np.arange(len(tags)), OFFSETS["tag"] + tag),
              (np.arange(len(tags)), OFFSETS["own"] + np.searchsorted(STEPS_OF_LENGTH, own, "right")),
              (np.arange(len(tags)), OFFSETS["whole"] + np.searchsorted(STEPS_OF_LENGTH, whole, "right")),
              (np.arange(len(tags)), OFFSETS["links"] + np.minimum(5, (share * 5).astype(int))),
              (np.arange(len(tags)), np.full(len(tags), OFFSETS["always"]))]
+    for name, flag in (("open", outer & (own > 0)), ("top", within & paragraph & ~groups.any(axis=1))):
+        pairs.append((np.flatnonzero(flag), np.full(int(flag.sum()), OFFSETS[name])))
     for name, flags in (("group", groups), ("above", above), ("tag_above", tags_above)):
         row, column = np.nonzero(flags)
         pairs.append((row, OFFSETS[name] + column))
