@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,11 +12,10 @@ from veilnote.functions.spans import literal_spans, merge_spans, make_span
 from veilnote.functions.values import dob_variants, street_part
 from veilnote.operators.codes import assign_codes
 from veilnote.operators.selection import dedup_notes, id_collisions
-from veilnote.operators import selection
 from veilnote.plans.daily_run import Run, daily_run
 from veilnote.sources.note_files import choose_source_mode, file_inventory, notes_from_files, scan_note_files, skipped_files
 from veilnote.sources.notes_csv import (
-    count_note_rows, no_match_alert, notes_from_rows, resolve_columns, scan_notes_csv)
+    count_note_rows, header_spots, no_match_alert, notes_from_rows, resolve_columns, scan_notes_csv)
 from veilnote.sources.pii_dictionary import scan_pii_dictionary
 from veilnote.sources.state import read_state
 
@@ -185,11 +185,50 @@ def test_code_blocks_rank_like_one_sort(spark, monkeypatch):
     assert got == {c: i + 1 for i, c in enumerate(order)}
 
 
-def test_hot_copies_leave_one(spark, monkeypatch):
-    monkeypatch.setattr(selection, "HOT_COPIES", 5)
+def test_offsets_of_many_files(spark):
+    """Running sums over 100,000 files, dealt by range, equal those of one sort."""
+    from veilnote.operators.codes import running_offsets
+    sizes = spark.range(100_000).select(F.format_string("f%06d", F.col("id") * 7919 % 100_000).alias("src_file"), F.lit(0).cast("long").alias("block"),
+                                        (F.col("id") % 5).alias("n"))
+    got = {r.src_file: r.offset for r in running_offsets(sizes, "src_file", "block").collect()}
+    total = 0
+    for name, n in sorted((f"f{i * 7919 % 100_000:06d}", i % 5) for i in range(100_000)):
+        assert got[name] == total
+        total += n
+    assert running_offsets(sizes.limit(0), "src_file", "block").isEmpty()
+
+
+def test_copies_leave_the_first(spark):
     notes = spark.range(300).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("note_id"),
-        F.lit("f").alias("src_file"), F.col("id").alias("src_row"), F.col("id").cast("string").alias("note"))
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") != 1, F.col("id").cast("string")).alias("note_id"),
+        F.lit("f").alias("src_file"), (299 - F.col("id")).alias("src_row"), F.col("id").cast("string").alias("note"))
     kept = dedup_notes(notes)
-    assert kept.count() == 201 and kept.where("note_id = 'hot'").first().src_row == 0
+    assert kept.count() == 200 and kept.where("note_id = 'hot'").first().src_row == 2 and kept.columns == notes.columns
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bAggregate\b", plan)) == 1 and "LeftSemi" in plan
     assert id_collisions(notes).count() == 1
+
+
+def test_many_layouts_are_one_plan(spark, tmp_path):
+    names = ("note", "Progress Note", "NOTES", "case note")
+    for k in range(500):
+        extra = [f"x{k}_{j}" for j in range(k % 7)]
+        header = [*extra, "client name", names[k % 4], *extra[::-1]]
+        row = ["-"] * len(extra) + ["Ivo Lund", f"Walk {k}."] + ["-"] * len(extra)
+        write(tmp_path, f"f{k:03d}.csv", ",".join(header) + "\n" + ",".join(row) + "\n")
+    scanned = scan_notes_csv(spark, str(tmp_path))
+    plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Join") == 1
+    assert sorted((r.src_file, r.full_name, r.note) for r in scanned.collect()) == [(f"f{k:03d}.csv", "Ivo Lund", f"Walk {k}.") for k in range(500)]
+
+
+def test_too_wide_a_header_is_an_error(spark, tmp_path):
+    write(tmp_path, "a.csv", ",".join(f"c{k}" for k in range(200)) + "\n" + ",".join(["v"] * 200) + "\n")
+    with pytest.raises(Exception, match="too many columns in a.csv"):
+        scan_notes_csv(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("header", [["dob", "NOTE", "Progress Note", "Client Name", "x"], ["note", "Note", "NOTE"], ["Date", "date", "DATE", "Notes"], [], [""]])
+def test_spots_of_columns_equal_those_in_python(spark, header):
+    got = spark.createDataFrame([(header,)], "h array<string>").select(header_spots(F.col("h"))).first()[0].asDict()
+    assert got == resolve_columns(header)

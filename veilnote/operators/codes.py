@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.keys import code_number, reference_code
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, cut_lineage
 
 BLOCK = 1 << 20
 
@@ -23,11 +23,9 @@ def assign_codes(notes: DataFrame, registry: DataFrame) -> DataFrame:
     file holds most of the rows.
     """
     seen = notes.groupBy("client_id").agg(F.min(F.struct("src_file", "src_row")).alias("at"))
-    new = seen.join(registry.select("client_id"), "client_id", "left_anti").select(
-        "client_id", "at.src_file", "at.src_row", F.floor(F.col("at.src_row") / BLOCK).alias("block"))
-    sizes = new.groupBy("src_file", "block").agg(F.count("*").alias("n"))
-    before = W.orderBy("src_file", "block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("src_file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    new = cut_lineage(seen.join(registry.select("client_id"), "client_id", "left_anti").select(
+        "client_id", "at.src_file", "at.src_row", F.floor(F.col("at.src_row") / BLOCK).alias("block")))
+    offsets = running_offsets(new.groupBy("src_file", "block").agg(F.count("*").alias("n")), "src_file", "block")
     ranked = new.withColumn("rank", F.row_number().over(W.partitionBy("src_file", "block").orderBy("src_row")))
     numbered = ranked.join(broadcast_if_small(offsets), ["src_file", "block"])
     number = code_base(registry).scalar() + F.col("offset") + F.col("rank")
@@ -35,6 +33,23 @@ def assign_codes(notes: DataFrame, registry: DataFrame) -> DataFrame:
         "client_id", reference_code(F.col("pos")).alias("ref_code"), "pos")
 
 
+def running_offsets(sizes: DataFrame, *order: str) -> DataFrame:
+    """(order..., offset) of sizes(order..., n): the sum of all sizes before, in order.
+
+    Two levels: rows are dealt to ranges of the order, sums run within a range,
+    and the ranges' totals, one for each partition, are added up on the driver.
+    """
+    dealt = cut_lineage(sizes.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    before, total = [], 0
+    for r in dealt.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():      # as many as partitions
+        before.append((r["range"], total))
+        total += r.n
+    starts = F.broadcast(dealt.sparkSession.createDataFrame(before, "range int, start long"))
+    within = W.partitionBy("range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return dealt.join(starts, "range").select(
+        *order, (F.col("start") + F.coalesce(F.sum("n").over(within), F.lit(0))).alias("offset"))
+
+
 def registry_entries(assigned: DataFrame, clients: DataFrame) -> DataFrame:
     """Full registry rows of newly coded clients."""
     name = F.trim(F.concat_ws(" ", "first_name", "last_name"))

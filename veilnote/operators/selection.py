@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import py_strip
 from ..session import broadcast_if_small
 
-HOT_COPIES = 10_000
-
 
 def position() -> Column:
     return F.struct("src_file", "src_row")
@@ -27,22 +25,22 @@ def already_processed(notes: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def first_positions(notes: DataFrame) -> DataFrame:
-    """Per note id: first position, number of copies, number of different bodies seen first/last."""
+    """Per note id: first position and number of copies."""
     return notes.groupBy("note_id").agg(F.min(position()).alias("first"), F.count("*").alias("copies"))
 
 
 def dedup_notes(notes: DataFrame) -> DataFrame:
-    """The first copy of each note id, in file and row order.
+    """The first copy of each note id, in file and row order; notes without id are left out.
 
-    Copies of very frequent ids are dropped before the shuffle, with a small
-    table of their first positions, so no task receives them all.
+    First positions are one aggregate with map-side combine.  Notes are joined
+    to them by id and position, so the copies of one id, however many, spread
+    over all tasks.
     """
-    firsts = first_positions(notes)
-    hot = firsts.where(F.col("copies") > HOT_COPIES).select("note_id", F.col("first").alias("hot_first"))
-    thinned = notes.join(broadcast_if_small(hot), "note_id", "left").where(
-        F.col("hot_first").isNull() | (F.col("hot_first") == position())).drop("hot_first")
-    return thinned.join(firsts.select("note_id", "first"), "note_id").where(
-        F.col("first") == position()).drop("first")
+    firsts = notes.groupBy("note_id").agg(F.min(position()).alias("first")).select(
+        F.col("note_id").alias("first_id"), "first.src_file", "first.src_row")
+    return notes.alias("n").join(
+        firsts.alias("f"), (F.col("n.note_id") == F.col("f.first_id")) & F.col("n.src_file").eqNullSafe(F.col("f.src_file"))
+        & F.col("n.src_row").eqNullSafe(F.col("f.src_row")), "left_semi")
 
 
 def file_order(notes: DataFrame, column: str) -> DataFrame:

@@ -143,7 +143,6 @@ def run_documents(spark: SparkSession, files: DataFrame, run: Run, surfaces: Dat
 def run_exports(spark: SparkSession, source: DataFrame, files: DataFrame, run: Run,
                 surfaces: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """A run over export rows of the files; gives counters and manifest."""
-    source = cut_lineage(source)                                        # files are read once
     notes = cut_lineage(notes_from_rows(source, run.target_date))
     stats = process(spark, code_notes(spark, notes, run), run, staff_roster(notes), surfaces)
     return stats, account(spark, row_states(source, run.target_date), files, run)
@@ -166,10 +165,10 @@ def daily_run(spark: SparkSession, input_path: str, run: Run, surfaces: DataFram
     if again and letters.isEmpty():
         return None
     there = set(input_files(spark, input_path)) if run.archive else set()    # files that land later stay for the next run
-    mode, source = choose_source_mode(scan_note_files(spark, input_path), lambda: scan_notes_csv(spark, input_path))
-    if mode == "none":
-        return None
     with Staging(spark):
+        mode, source = choose_source_mode(scan_note_files(spark, input_path), lambda: scan_notes_csv(spark, input_path))
+        if mode == "none":
+            return None
         if mode == "documents":
             if again:       # only documents that failed before
                 stem = F.regexp_replace("file_name", r"(?i)\.txt$", "")

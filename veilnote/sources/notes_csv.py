@@ -7,8 +7,10 @@ from ..fixed_values import HEADER_ALIASES
 from ..functions.keys import client_key, date_passes, note_key
 from ..functions.names import full_name
 from ..functions.text import blank_to_empty, py_strip, split_once
+from ..session import broadcast_if_small, cut_lineage
 
 FIELDS = ("date", "first_name", "last_name", "full_name", "note", "staff", "ndis", "dob")
+WIDTH = 128         # cells of a line that are read
 CSV_OPTIONS = {"multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
@@ -42,43 +44,55 @@ def logical_rows(df: DataFrame, headers, aliases=None) -> DataFrame:
         F.lit(spots["full_name"] is not None).alias("has_full_name"))
 
 
-def file_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """Files of a folder, not of the folders in it, grouped by header line.
+def header_spots(header: Column, aliases=None) -> Column:
+    """``resolve_columns`` for a column of header cells: a struct of positions from 0, null for absent fields.
 
-    One distributed pass takes the first line of every file; only those lines
-    and the file names reach the driver.
+    Of equal cells the last one counts.
     """
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
-    firsts = (
-        lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-                     F.monotonically_increasing_id().alias("row"), "value")
-        .where(F.col("at") == 0).groupBy("file").agg(F.min_by("value", "row").alias("header")))
-    groups: dict[str, list[str]] = {}
-    for r in firsts.orderBy("file").toLocalIterator():
-        groups.setdefault(r["header"].lstrip("﻿"), []).append(r["file"])
-    return groups
+    folded = F.transform(header, F.lower)
+
+    def spot(cells: Column, name: str) -> Column:
+        at = F.array_position(F.reverse(cells), F.lit(name))
+        return F.when(at > 0, F.size(cells) - at)
+
+    return F.struct(*[F.coalesce(*[s for n in names for s in (spot(header, n), spot(folded, n.lower()))]).cast("int").alias(field)
+                      for field, names in {**HEADER_ALIASES, **(aliases or {})}.items()])
+
+
+def raw_cells(spark: SparkSession, path: str | list[str], width: int = WIDTH) -> DataFrame:
+    """(src_file, src_row, cells) of every line of the files of a folder, or of listed files, headers too.
+
+    ``src_row`` orders lines within a file: a multi-line file is one split.
+    """
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    reader = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv").schema(schema)
+    return reader.csv(path).select(
+        F.col("_metadata.file_name").alias("src_file"), F.monotonically_increasing_id().alias("src_row"),
+        F.array(*[f"c{i}" for i in range(width)]).alias("cells"))
 
 
 def scan_notes_csv(spark: SparkSession, path: str | list[str], aliases=None) -> DataFrame:
     """All rows of all files (of a folder, or listed) under the logical fields, with file and row order.
 
-    ``src_row`` orders rows within a file: a multi-line file is one split.
+    Files are read once, without header.  Their first lines give a small table
+    of positions by file and field, so any number of layouts is one plan, and
+    no file name or header passes the driver.  ``src_row`` orders rows within a
+    file.  A header of ``WIDTH`` cells or more is an error, so no cell is lost.
     """
-    out = None
-    for files in file_headers(spark, path).values():
-        reader = spark.read.options(**CSV_OPTIONS)
-        headers = [(c or "").lstrip("﻿") for c in reader.csv(files[0]).first()]
-        schema = ", ".join(f"c{i} string" for i in range(len(headers)))
-        raw = reader.option("header", "true").schema(schema).csv(files).select(
-            "*", F.col("_metadata.file_name").alias("src_file"),
-            F.monotonically_increasing_id().alias("src_row"))
-        part = logical_rows(raw, headers, aliases)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        fields = ", ".join(f"{f} string" for f in FIELDS)
-        return spark.createDataFrame(
-            [], f"src_file string, src_row long, {fields}, has_note boolean, has_full_name boolean")
-    return out
+    lines = cut_lineage(raw_cells(spark, path))
+    heads = lines.groupBy("src_file").agg(F.min_by("cells", "src_row").alias("header"), F.min("src_row").alias("first"))
+    wide = F.raise_error(F.concat(F.lit("too many columns in "), F.col("src_file")))
+    known = F.transform(F.col("header"), lambda c, i: F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", ""))
+    heads = heads.select("src_file", "first", F.when(F.get("header", F.lit(WIDTH - 1)).isNotNull(), wide).otherwise(F.lit(None)).alias("_wide"),
+                         header_spots(known, aliases).alias("at")).where("_wide is null").drop("_wide")
+    rows = lines.join(broadcast_if_small(cut_lineage(heads)), "src_file").where(F.col("src_row") > F.col("first"))
+
+    def cell(field: str) -> Column:
+        return py_strip(blank_to_empty(F.get(F.col("cells"), F.col("at")[field])))
+
+    return rows.select(
+        "src_file", "src_row", *[cell(f).alias(f) for f in FIELDS],
+        F.col("at.note").isNotNull().alias("has_note"), F.col("at.full_name").isNotNull().alias("has_full_name"))
 
 
 def date_ok(target_date) -> Column:
