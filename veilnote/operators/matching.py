@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.detectors import detect_locations
 from ..functions.text import (
-    bind, empty_strings, fold_case, lit_words, ngrams, quote_literal, quote_replacement,
+    bind, empty_strings, fold_case, lit_words, ngrams, quote_literal,
     word_pattern, word_tokens,
 )
 from ..functions.verify import HITS_TYPE, no_hits
@@ -38,6 +38,7 @@ AT_CONTEXT = 64
 EVERY_NOTE = ""        # key of forms that are candidates of every note
 _BLOCK = 4096          # positions of a window over the holders of one value
 _SALTS = 32            # hot 'every note' key is spread over this many tasks
+_KEYLESS = 200         # forms without key that go to every note as one constant; more are joined
 
 STEP_TYPE = ("struct<pass_no:int,major:bigint,kind:bigint,variant:int,form:string,tag:string,"
              "label:string,pattern:string,once:boolean>")
@@ -46,12 +47,17 @@ STEPS_TYPE = f"array<{STEP_TYPE}>"
 
 @dataclass
 class KeyedForms:
-    """Forms with their join key, and what was measured about them."""
-    table: DataFrame            # key, reentrant, step
+    """Forms with their join key, and what was measured about them.
+
+    Where the forms are broadcast, notes are joined with numbers of steps alone:
+    only those are shuffled, and the steps themselves are looked up afterwards.
+    """
+    table: DataFrame            # key, reentrant, step, number
     sizes: list[int]            # word-run sizes (or gram sizes) in use
     every_note: bool            # some forms have no key
     emails: bool                # some forms are keyed around '@'
     broadcast: bool
+    keyless: DataFrame | None = None    # reentrant, step of the few forms without key, not in the table
     shared: DataFrame | None = None     # later holders of values that several participants have: pattern, major
 
 
@@ -60,13 +66,25 @@ def _step(**parts: Column) -> Column:
         "pass_no", "major", "kind", "variant", "form", "tag", "label", "pattern", "once")]).cast(STEP_TYPE)
 
 
+def _numbered(table: DataFrame) -> DataFrame:
+    """The forms, computed once, each with a number."""
+    return cut_lineage(table.withColumn("number", F.monotonically_increasing_id()))
+
+
+def _keyed(table: DataFrame, sizes: list[int], seen: dict, emails: bool) -> KeyedForms:
+    few = 0 < seen["keyless"] <= _KEYLESS
+    keyless = table.where(F.col("key") == EVERY_NOTE).select("reentrant", "step") if few else None
+    rest = table.where(F.col("key") != EVERY_NOTE) if few else table
+    return KeyedForms(rest, sizes, seen["keyless"] > 0 and not few, emails, fits_broadcast(seen["rows"], seen["bytes"]), keyless)
+
+
 def _measure(table: DataFrame, size: Column, odd: Column | None = None) -> dict:
     """One small job over the forms: size, key sizes, special keys."""
     return table.agg(
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.length("key") + 2 * F.length(F.col("step")["form"]) + 120), F.lit(0)).alias("bytes"),
         F.collect_set(size).alias("sizes"),
-        F.coalesce(F.bool_or(F.col("key") == EVERY_NOTE), F.lit(False)).alias("every_note"),
+        F.count_if(F.col("key") == EVERY_NOTE).alias("keyless"),
         F.coalesce(F.bool_or(F.contains(F.col("key"), F.lit("@"))), F.lit(False)).alias("emails"),
         F.coalesce(F.bool_or(F.lit(False) if odd is None else odd), F.lit(False)).alias("odd"),
     ).first().asDict()
@@ -95,14 +113,13 @@ def word_forms(steps: DataFrame, codes: bool) -> KeyedForms:
     form.  Forms equal but for case are one step of a pass unless re-entrant: after
     the first one ran nothing is left for the others.
     """
-    table = _keyed_words(steps, codes, edges=False)
+    table = _numbered(_keyed_words(steps, codes, edges=False))
     edge = F.col("step")["form"].rlike(r"(?U)^\W|\W$")
     seen = _measure(table, F.size(F.split("key", " ")), edge)
     if codes and seen["odd"]:       # words may be glued to a code: wider re-entrant test
-        table = _keyed_words(steps, codes, edges=True)
+        table = _numbered(_keyed_words(steps, codes, edges=True))
         seen = _measure(table, F.size(F.split("key", " ")), edge)
-    return KeyedForms(table, sorted(seen["sizes"]), seen["every_note"], False,
-                      fits_broadcast(seen["rows"], seen["bytes"]))
+    return _keyed(table, sorted(seen["sizes"]), seen, emails=False)
 
 
 def _keyed_words(steps: DataFrame, codes: bool, edges: bool) -> DataFrame:
@@ -128,8 +145,10 @@ def _keyed_words(steps: DataFrame, codes: bool, edges: bool) -> DataFrame:
 
 def longest_first(forms: KeyedForms, by: str) -> DataFrame:
     """(by, steps): the steps of each value of a step's field, in the order in which a note's fold takes them."""
-    steps = forms.table.select("step").distinct()
-    return steps.groupBy(F.col("step")[by].alias(by)).agg(F.sort_array(F.collect_list("step")).alias("steps"))
+    steps = forms.table.select("step")
+    if forms.keyless is not None:
+        steps = steps.union(forms.keyless.select("step"))
+    return steps.distinct().groupBy(F.col("step")[by].alias(by)).agg(F.sort_array(F.collect_list("step")).alias("steps"))
 
 
 def word_keys(text: Column, forms: KeyedForms) -> Column:
@@ -151,11 +170,10 @@ def value_forms(steps: DataFrame) -> KeyedForms:
     key = F.coalesce(gram, around, F.lit(EVERY_NOTE))
     step = _step(**{name: F.col(name) for name in (
         "pass_no", "major", "kind", "variant", "form", "tag", "label", "pattern", "once")})
-    table = steps.select(key.alias("key"), F.lit(False).alias("reentrant"), step.alias("step"))
+    table = _numbered(steps.select(key.alias("key"), F.lit(False).alias("reentrant"), step.alias("step")))
     seen = _measure(table, F.when(F.contains(F.col("key"), F.lit("@")), F.lit(None)).otherwise(F.length("key")))
     sizes = sorted(n for n in seen["sizes"] if n in GRAMS)
-    return KeyedForms(table, sizes, seen["every_note"], seen["emails"],
-                      fits_broadcast(seen["rows"], seen["bytes"]))
+    return _keyed(table, sizes, seen, seen["emails"])
 
 
 def value_keys(text: Column, forms: KeyedForms) -> Column:
@@ -186,10 +204,10 @@ def value_keys(text: Column, forms: KeyedForms) -> Column:
 
 
 def candidates(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str = "note_id") -> DataFrame:
-    """(note_id, reentrant, step): equi-join of note keys and form keys."""
+    """(note_id, reentrant, number), or step instead of number: equi-join of note keys and form keys."""
     exploded = notes.select(note_id, F.explode(keys).alias("key"))
     if forms.broadcast:
-        return exploded.join(F.broadcast(forms.table), "key").select(note_id, "reentrant", "step")
+        return exploded.join(F.broadcast(forms.table.drop("step")), "key").select(note_id, "reentrant", "number")
     salt = F.when(F.col("key") == EVERY_NOTE, F.pmod(F.xxhash64(note_id), F.lit(_SALTS))).otherwise(F.lit(0))
     salts = F.when(F.col("key") == EVERY_NOTE, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = forms.table.withColumn("salt", F.explode(salts))
@@ -197,22 +215,50 @@ def candidates(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str =
         note_id, "reentrant", "step")
 
 
+def with_steps(found: DataFrame, forms: KeyedForms) -> DataFrame:
+    """Candidates with their steps, looked up by number where they were found by number."""
+    if "step" in found.columns:
+        return found
+    return found.join(F.broadcast(forms.table.select("number", "step")), "number").drop("number")
+
+
 def candidate_steps(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str = "note_id") -> DataFrame:
-    """One row per note with its ordered steps.
+    """(note_id, direct, again): the steps of a note, those that can match its words and those that can match
+    what other steps put in.
 
-    Re-entrant forms count only where something else may put words in.  The
-    list is bounded by the distinct word runs or grams of the note itself.
+    The lists are bounded by the distinct word runs or grams of the note itself.
     """
     found = candidates(notes, keys, forms, note_id)
     if forms.shared is not None:
+        found = with_steps(found, forms)
+        if forms.keyless is not None:       # these may be shared too
+            found = found.unionByName(notes.select(note_id, F.explode(F.array(*[
+                F.struct(F.lit(r["reentrant"]).alias("reentrant"), _constant(r["step"]).alias("step")) for r in forms.keyless.collect()])).alias("k")).select(
+                note_id, "k.reentrant", "k.step"))
         found = cut_lineage(found)
         found = found.unionByName(searched_again(found, forms.shared, note_id))
-    grouped = found.groupBy(note_id).agg(
+    elif forms.broadcast:
+        found = with_steps(found.repartition(note_id), forms)     # numbers are shuffled, steps come after it
+    return found.groupBy(note_id).agg(
         F.collect_set(F.when(~F.col("reentrant"), F.col("step"))).alias("direct"),
         F.collect_set(F.when(F.col("reentrant"), F.col("step"))).alias("again"))
-    steps = F.when(F.size("direct") > 0, F.sort_array(F.array_union("direct", "again"))).otherwise(
-        F.array().cast(STEPS_TYPE))
-    return grouped.select(note_id, steps.alias("steps"))
+
+
+def ordered_steps(forms: KeyedForms) -> Column:
+    """The steps of a note in order, from ``direct`` and ``again``, with those of every note.
+
+    Re-entrant forms count only where something else may put words in.
+    """
+    direct, again = (F.coalesce(F.col(c), F.array().cast(STEPS_TYPE)) for c in ("direct", "again"))
+    if forms.keyless is not None:
+        rows = forms.keyless.collect()                            # _KEYLESS at most
+        every = [F.array(*[_constant(r["step"]) for r in rows if r["reentrant"] == kind]).cast(STEPS_TYPE) for kind in (False, True)]
+        direct, again = F.concat(direct, every[0]), F.concat(again, every[1])
+    return F.when(F.size(direct) > 0, F.sort_array(F.array_union(direct, again))).otherwise(F.array().cast(STEPS_TYPE))
+
+
+def _constant(step) -> Column:
+    return _step(**{name: F.lit(value) for name, value in step.asDict().items()})
 
 
 def searched_again(found: DataFrame, shared: DataFrame, note_id: str = "note_id") -> DataFrame:
@@ -255,12 +301,12 @@ def next_holders(asked: DataFrame, shared: DataFrame) -> DataFrame:
 def fold_steps(text: Column, steps: Column) -> Column:
     """Apply ordered steps; gives ``struct(text, hits)``."""
     def apply(acc: Column, s: Column) -> Column:
-        count = F.regexp_count(acc["text"], s["pattern"])
-        return bind(count, lambda n: F.when(n > 0, F.struct(
-            F.regexp_replace(acc["text"], s["pattern"], quote_replacement(s["tag"])).alias("text"),
+        # One search gives both the number of matches and the text without them.
+        return bind(F.split(acc["text"], s["pattern"], -1), lambda pieces: F.when(F.size(pieces) > 1, F.struct(
+            F.call_function("array_join", pieces, s["tag"]).alias("text"),
             F.array_append(acc["hits"], F.struct(
                 s["label"].alias("label"),
-                F.when(s["once"], F.lit(1)).otherwise(n).cast("long").alias("n"))).cast(HITS_TYPE).alias("hits"),
+                F.when(s["once"], F.lit(1)).otherwise(F.size(pieces) - 1).cast("long").alias("n"))).cast(HITS_TYPE).alias("hits"),
         )).otherwise(acc))
 
     start = F.struct(text.alias("text"), no_hits().alias("hits"))
@@ -286,19 +332,22 @@ def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text"
     # Null-safe: notes without an id share the candidates of all of them, more than each needs, and none is passed over.
     steps = steps.withColumnRenamed("note_id", "steps_of")
     joined = with_context(notes.join(steps, F.col("note_id").eqNullSafe(F.col("steps_of")), "left").drop("steps_of"), text)
-    folded = joined.withColumn(
-        "folded", fold_steps(F.col(text), F.coalesce(F.col("steps"), F.array().cast(STEPS_TYPE))))
+    folded = joined.withColumn("steps", ordered_steps(forms)).withColumn("folded", fold_steps(F.col(text), F.col("steps")))
     return folded.withColumn(text, F.col("folded.text")).withColumn(
-        "hits", F.concat("hits", "folded.hits")).drop("steps", "folded")
+        "hits", F.concat("hits", "folded.hits")).drop("direct", "again", "steps", "folded")
 
 
-def matches(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text") -> DataFrame:
-    """(note_id, pass_no, form, tag) for forms that occur in the unedited text."""
-    found = candidates(notes, keys_of(F.col(text), forms), forms).where(~F.col("reentrant"))
-    pairs = notes.select("note_id", text).join(found, "note_id")
-    return pairs.where(F.regexp_count(F.col(text), F.col("step.pattern")) > 0).select(
-        "note_id", "step.pass_no", "step.form", "step.tag")
+def matches(notes: DataFrame, forms: KeyedForms, keys_of, *fields: str, text: str = "text") -> DataFrame:
+    """(note_id, fields of the step) for forms that occur in the unedited text; else pass_no, form and tag."""
+    fields = fields or ("pass_no", "form", "tag")
+    found = with_steps(candidates(notes, keys_of(F.col(text), forms), forms).where(~F.col("reentrant")), forms)
+    hit = lambda step: F.regexp_count(F.col(text), step["pattern"]) > 0
+    pairs = notes.select("note_id", text).join(found, "note_id").where(hit(F.col("step"))).select("note_id", "step")
+    if forms.keyless is not None:
+        every = F.array(*[_constant(r["step"]) for r in forms.keyless.where("not reentrant").collect()]).cast(STEPS_TYPE)  # _KEYLESS at most
+        pairs = pairs.unionByName(notes.select("note_id", F.explode(F.filter(every, hit)).alias("step")))
+    return pairs.select("note_id", *[f"step.{name}" for name in fields])
 
 
 __all__ = ["KeyedForms", "word_forms", "word_keys", "value_forms", "value_keys", "candidates",
-           "candidate_steps", "fold_steps", "apply_forms", "matches", "quote_literal"]
+           "with_steps", "candidate_steps", "fold_steps", "apply_forms", "matches", "quote_literal"]

@@ -398,9 +398,7 @@ _VALUE_UNION = " UNION ALL ".join(o.VALUE_STEPS[k].replace("{src}", "w0") for k
     WHERE regexp_matches(text, pat)""", "corpus"))
 def _(spark, sf_dir):
     forms = m.value_forms(known_value_steps(b.roster(spark, sf_dir)))
-    found = m.candidates(b.corpus(spark, sf_dir), m.value_keys(F.col("note"), forms), forms).distinct()
-    pairs = b.corpus(spark, sf_dir).join(found, "note_id")
-    return pairs.where(F.regexp_count("note", F.col("step.pattern")) > 0).select("note_id", "step.kind", "step.form")
+    return m.matches(d.start(b.corpus(spark, sf_dir)), forms, m.value_keys, "kind", "form")
 
 
 @query("already_ran", with_sql("""

@@ -81,14 +81,11 @@ def written(df: DataFrame, path: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """A table that is computed once and survives executor loss: staged if a run's staging is open, else a reliable
-    checkpoint in the shared folder."""
+    """A table that is computed once and survives executor loss, in the shared folder: staged if a run's staging is
+    open, so that it goes with the run."""
     if Staging.current():
         return Staging.current()[-1].put(df)
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    return written(df, scratch_path(df.sparkSession, "cut"))
 
 
 def fits_broadcast(rows: int, text_bytes: int = 0) -> bool:
