@@ -11,7 +11,7 @@ is 2e-7 at depth two, 6e-5 two narrow levels below that, 3e-4 after four and 9e-
 Links are found in two passes, so that a group of n near copies needs some n comparisons, not n * n. The first compares
 every set with two leaders of each of its nodes, the smallest id and one drawn by hash. The second looks only at nodes
 that still hold several components: pairs within one component need no comparison, as only the components are returned.
-A large one that is mostly one component is finished at once, on full sets: its sets are dealt over parts
+A large one that is mostly one component, or any of bounded size below the first narrow level, is finished at once, on full sets: its sets are dealt over parts
 of bounded size, the strays go to each of them, and a part's task counts common shingles by an index of its own sets. It
 returns one link for a stray and a component, so neither rows nor confirmations are made for the pairs of a large group.
 Below BRANCHING levels the other large ones have a child for each tuple of tokens at NARROW positions, of DRAWS independent
@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, least: int = 80) -> DataFrame:
         if not last:
             most = large.groupBy("node", "root").agg(F.sum("n_shingles").alias("m")).groupBy("node").agg(F.max(F.struct("m", "root")).alias("most"))
             large = scratch.put(large.join(most, "node"), "large")
-            few = (2 * F.col("most.m") >= F.col("size")) & (F.col("size") - F.col("most.m") <= STRAYS)
+            few = (F.lit(depth > BRANCHING) | (2 * F.col("most.m") >= F.col("size"))) & (F.col("size") - F.col("most.m") <= STRAYS)
             finished.append(written(stray_links(large.where(few), docs, n, least), "stray links"))
             large = large.where(~few)
             last = large.isEmpty()
