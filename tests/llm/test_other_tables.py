@@ -74,8 +74,12 @@ def plain_nearest(rows, every, k):
     return sorted(out)
 
 
-def test_nearest(frame, monkeypatch):
+@pytest.mark.parametrize("most", [20_000, 20])
+def test_nearest(frame, monkeypatch, most):
     monkeypatch.setattr(stable_search, "LEAST", 100)
+    monkeypatch.setattr(stable_search, "QUERIES", most)
+    tables, write = [], stable_search.written
+    monkeypatch.setattr(stable_search, "written", lambda f, name: tables.append((name, write(f, name))) or tables[-1][1])
     draw = np.random.default_rng(2)
     rows = [(i, draw.normal(size=8).astype(np.float32).tolist()) for i in range(700)]
     rows += [(1000 + i, rows[5][1]) for i in range(300)]                    # one vector that many rows share
@@ -86,6 +90,10 @@ def test_nearest(frame, monkeypatch):
     assert [r[:2] for r in got] == [r[:2] for r in expected]
     hits = len({(r[0], r[2]) for r in got} & {(r[0], r[2]) for r in expected})
     assert hits >= 0.97 * len(expected)
+    # blocks are copied by the number of queries that they meet, most not at all
+    met = {name: t for name, t in tables if name in ("queries", "probes")}
+    copies, asked = [t.selectExpr("sum(last) as n").first().n for name, t in tables if name == "split"], [met[n].count() for n in ("queries", "probes")]
+    assert all(c <= n // most for c, n in zip(copies, asked, strict=True)) and (most > 1000 or sum(copies) > 0)
     scores = {(r[0], r[2]): r[3] for r in expected}
     assert all(scores[r[0], r[2]] == pytest.approx(r[3], abs=1e-12) for r in got if (r[0], r[2]) in scores)
     assert stable_search.nearest(frame([], "vec_id long, embedding array<float>")).count() == 0

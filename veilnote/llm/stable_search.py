@@ -149,12 +149,15 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     size = F.size("vector").alias("dims")
     dealt = written(map_batches(points, with_block, "vector array<double>, ids array<long>, projection array<double>, block long").select("*", size), "blocks")
     asked = written(map_batches(queries, with_block, "query_id long, vector array<double>, projection array<double>, block long").select("*", size), "queries")
-    parts = asked.count() // QUERIES + 1
-    everywhere = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def searched(probes: DataFrame) -> DataFrame:
+        """Only the blocks that some query meets are gathered, and only those that more than QUERIES meet are copied."""
+        meets = probes.groupBy("dims", "block").agg(F.count("*").alias("n"))
+        split = written(meets.select("dims", "block", F.floor((F.col("n") - 1) / QUERIES).cast("int").alias("last")), "split")
+        held = dealt.join(split, ["dims", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("last"))))
+        own = probes.join(split, ["dims", "block"]).withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("last") + 1).cast("int"))
         keys = ("dims", "block", "part")
-        return everywhere.groupBy(*keys).cogroup(probes.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")).groupBy(*keys)).applyInPandas(
+        return held.drop("last").groupBy(*keys).cogroup(own.drop("last").groupBy(*keys)).applyInPandas(
             lambda a, b: search_block(a, b, k), "query_id long, vec_id long, score double")
 
     home = written(searched(asked.withColumn("bound", F.lit(float("inf")))), "home")
@@ -182,7 +185,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
                                           probe.schema.names)
 
     bounded = asked.join(bounds, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    probes = map_batches(bounded.select("query_id", "vector", "projection", "block", "dims", "bound"), other_blocks,
-                         "query_id long, vector array<double>, projection array<double>, block long, dims int, bound double")
+    probes = written(map_batches(bounded.select("query_id", "vector", "projection", "block", "dims", "bound"), other_blocks,
+                                 "query_id long, vector array<double>, projection array<double>, block long, dims int, bound double"), "probes")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return home.union(searched(probes)).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
