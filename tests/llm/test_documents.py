@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -123,12 +124,13 @@ def plain_repeats(docs, size):
     return out
 
 
-@pytest.mark.parametrize("hot", [2, 4096])
+@pytest.mark.parametrize("hot", [2, 4096, 3 << 20])
 def test_remove_repeats(frame, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
     draw = random.Random(5)
     passage = " ".join(str(draw.random()) for _ in range(20))
     docs = texts(2, 30) + [(100 + k, f"{draw.random()} {passage} {draw.random()} é") for k in range(12)]
+    docs += [(200 + k, f"{k} {'-' * (1500 + k)} end") for k in range(2)] + [(202, "=" * 900), (202, "ab" * 300), (None, passage)]
     got = repeats.remove_repeats(frame(rows_of(docs), DOCS)).drop("kept").collect()
     assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, plain_repeats(docs, 200)))
     assert repeats.remove_repeats(frame([], DOCS)).count() == 0
@@ -166,6 +168,15 @@ def test_suffix_sort():
             assert found.tolist() == [k for k in range(len(p) - 2) if seen[bytes(p[k:k + 3])] > 1]
 
 
+def test_suffix_sort_of_long_runs():
+    """Runs of one byte and long common parts are sorted in linear time: minutes, if each byte were a step."""
+    dashes = np.full(1 << 20, 45, np.uint8)
+    begun = time.monotonic()
+    found = repeated_starts([dashes, np.append(dashes, np.uint8(66)), np.append(np.uint8(67), dashes)], 200)
+    assert [x[[0, -1]].tolist() for x in found] == [[0, (1 << 20) - 200], [0, (1 << 20) - 200], [1, (1 << 20) - 199]]
+    assert [len(x) for x in found] == [(1 << 20) - 199] * 3 and time.monotonic() - begun < 30
+
+
 @pytest.mark.parametrize("block", [1 << 20, 40])
 def test_decontaminate(frame, monkeypatch, block):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)

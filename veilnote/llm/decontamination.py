@@ -97,18 +97,18 @@ def matches(texts: pa.Array, windows: dict[int, tuple[np.ndarray, dict]]) -> tup
 
 
 def scan(docs: DataFrame, items: list[tuple[str, str]], size: int) -> DataFrame:
-    """(key, doc_id, n_words, spans, items) of docs(key, doc_id, text)."""
+    """(id, key, doc_id, n_words, spans, items) of docs(id, key, doc_id, text)."""
     windows = broadcast_windows(docs.sparkSession, items, size)
     kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("first", "stop", "from", "to")]))
 
     def match(batch: pa.RecordBatch) -> pa.RecordBatch:
-        count, spans, names = matches(batch.column(2), windows.value)
+        count, spans, names = matches(batch.column(3), windows.value)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(count), pa.array(spans, kind), pa.array(names, pa.list_(pa.string()))],
-            ["key", "doc_id", "n_words", "spans", "items"])
+            [*batch.columns[:3], pa.array(count), pa.array(spans, kind), pa.array(names, pa.list_(pa.string()))],
+            ["id", "key", "doc_id", "n_words", "spans", "items"])
 
-    return map_batches(docs.select("key", "doc_id", "text"), match,
-                       "key long, doc_id long, n_words long, spans array<struct<first:long,stop:long,from:long,to:long>>, items array<string>")
+    return map_batches(docs.select("id", "key", "doc_id", "text"), match,
+                       "id long, key long, doc_id long, n_words long, spans array<struct<first:long,stop:long,from:long,to:long>>, items array<string>")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
@@ -120,7 +120,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
     their bytes, which may be cut out of the text. Null texts have no words; items without an id or a text are left
     out, equal ids count once; null and repeated document ids are rows like any other; extra columns are ignored.
     """
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # A row is known by its id and a hash of its text, so only texts of one id (or without id) could ever be confused.
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = None
     for k, block in enumerate(benchmark_blocks(items)):
         now = scan(keyed, block, size)
@@ -128,9 +129,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
             found = now
             continue
         # Further blocks: only documents with hits travel; spans and items are united.
-        now = written(now.where("size(spans) > 0").select("key", F.col("spans").alias("more"), F.col("items").alias("names")).dropDuplicates(["key"]), "hits")
-        found = written(found, "scanned").join(now, "key", "left").select(
-            "key", "doc_id", "n_words", F.concat("spans", F.coalesce("more", F.expr("slice(spans, 1, 0)"))).alias("spans"),
+        now = written(now.where("size(spans) > 0").select("id", "key", F.col("spans").alias("more"), F.col("items").alias("names")).dropDuplicates(["id", "key"]), "hits")
+        found = written(found, "scanned").join(now, ["id", "key"], "left").select(
+            "id", "key", "doc_id", "n_words", F.concat("spans", F.coalesce("more", F.expr("slice(spans, 1, 0)"))).alias("spans"),
             F.array_sort(F.array_union("items", F.coalesce("names", F.expr("slice(items, 1, 0)")))).alias("items"))
     if found is None:
         found = scan(keyed, [], size)

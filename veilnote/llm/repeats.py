@@ -8,8 +8,8 @@ No task could sort the suffixes of a whole corpus, so equal strings are first br
 2. Runs of the same bytes are counted with map-side combine, and one of each goes on as a piece. Anchors are dealt to
    shards of about SHARD bytes; each shard is sorted by induced sorting (suffix_sort.py) and its permuted common
    prefixes tell which windows occur twice. All windows of all documents are judged, none from a sample.
-3. An anchor with more than HOT different pieces (a passage that very many documents hold between different
-   neighbours) would make a shard too large. Its windows are counted by a 128-bit hash with map-side combine instead.
+3. An anchor whose different pieces have more than HOT bytes (a passage that very many documents hold between
+   different neighbours) would make a shard too large. Its windows are counted by a 128-bit hash with map-side combine.
 4. What was found is mapped back to every occurrence, and each document drops the covered bytes.
 """
 from __future__ import annotations
@@ -27,8 +27,9 @@ from veilnote.llm.bytewords import mix, slices, utf8
 from veilnote.llm.common import map_batches, new_path, remove, written
 from veilnote.llm.suffix_sort import repeated_starts
 
-#: Bytes of an anchor, bytes of a shard, different pieces of an anchor that one shard takes, bytes worked on at a time.
-GRAM, SHARD, HOT, PIECE = 32, 2 << 20, 4096, 1 << 21
+#: Bytes of an anchor, bytes of a shard, bytes of pieces of one anchor that a shard takes (at least those of the longest
+#: piece), bytes worked on at a time.
+GRAM, SHARD, HOT, PIECE = 32, 2 << 20, 3 << 20, 1 << 21
 
 _TURN = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -105,24 +106,24 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tupl
 
 
 def runs(docs: DataFrame, size: int) -> DataFrame:
-    """(anchor, print, key, start, windows, twice) of docs(key, text)."""
+    """(anchor, print, id, key, start, windows, twice) of docs(id, key, text)."""
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, found = np.asarray(batch.column(0)), [[] for _ in range(6)]
-        data, offsets = utf8(batch.column(1))
+        ids, keys, found = np.asarray(batch.column(0)), np.asarray(batch.column(1)), [[] for _ in range(7)]
+        data, offsets = utf8(batch.column(2))
         for lo, at, part, own in pieces_of(data, offsets, size):
             anchor, print_, doc, start, windows, twice = window_runs(part, own, size)
-            for out, x in zip(found, (anchor.view(np.int64), print_.view(np.int64), keys[doc + lo], start + at, windows, twice), strict=True):
+            for out, x in zip(found, (anchor.view(np.int64), print_.view(np.int64), ids[doc + lo], keys[doc + lo], start + at, windows, twice), strict=True):
                 out.append(x)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found],
-                                          ["anchor", "print", "key", "start", "windows", "twice"])
+                                          ["anchor", "print", "id", "key", "start", "windows", "twice"])
 
-    return map_batches(docs, find, "anchor long, print long, key long, start long, windows long, twice boolean")
+    return map_batches(docs, find, "anchor long, print long, id long, key long, start long, windows long, twice boolean")
 
 
 def cut(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The bytes of the wanted runs (key, anchor, print, copies, hot, start, windows)."""
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "print", "copies", "hot", "start", "windows")).alias("runs"))
+    """The bytes of the wanted runs (id, key, anchor, print, copies, hot, start, windows)."""
+    lists = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "print", "copies", "hot", "start", "windows")).alias("runs"))
 
     def take(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = utf8(batch.column(0))
@@ -136,7 +137,7 @@ def cut(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
              pa.array([bytes(view[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)], pa.binary())],
             ["anchor", "print", "copies", "hot", "bytes"])
 
-    return map_batches(docs.join(lists, "key").select("text", "runs"), take,
+    return map_batches(docs.join(lists, ["id", "key"]).select("text", "runs"), take,
                        "anchor long, print long, copies long, hot boolean, bytes binary")
 
 
@@ -195,25 +196,26 @@ def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
     bytes. Null and empty texts have no bytes; null and repeated ids are rows like any other; extra columns are ignored.
     """
     spark = docs.sparkSession
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # A row is known by its id and a hash of its text, so only texts of one id (or without id) could ever be confused.
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     path = new_path(spark, "runs")
-    runs(keyed.select("key", "text"), size).write.parquet(path)
+    runs(keyed.select("id", "key", "text"), size).write.parquet(path)
     every = spark.read.parquet(path)
     again = every.groupBy("anchor").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where(
         "n > 1 or twice").select("anchor")
     places = written(every.drop("twice").join(again, "anchor"), "places")
     remove(spark, path)
 
-    one = F.min(F.struct("key", "start", "windows")).alias("one")
+    one = F.min(F.struct("id", "key", "start", "windows")).alias("one")
     distinct = written(places.groupBy("anchor", "print").agg(F.count("*").alias("copies"), one).select("anchor", "print", "copies", "one.*"), "pieces")
-    hot = distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor", F.lit(True).alias("hot"))
+    hot = distinct.groupBy("anchor").agg(F.sum(F.col("windows") + size).alias("n")).where(F.col("n") > HOT).select("anchor", F.lit(True).alias("hot"))
     wanted = distinct.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     total = distinct.agg(F.coalesce(F.sum(F.col("windows") + size), F.lit(0))).first()[0]
-    pieces = written(cut(keyed.select("key", "text"), wanted, size), "bytes")
+    pieces = written(cut(keyed.select("id", "key", "text"), wanted, size), "bytes")
     found = sorted_shards(pieces.where("not hot"), total // SHARD + 1, size)
     if not hot.isEmpty():
         found = found.union(counted_windows(pieces.where("hot"), size))
-    spans = places.join(written(found, "found"), ["anchor", "print"]).groupBy("key").agg(
+    spans = places.join(written(found, "found"), ["anchor", "print"]).groupBy("id", "key").agg(
         F.collect_list(F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last") + size).alias("stop"))).alias("spans"))
 
     def drop(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -238,5 +240,5 @@ def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
             [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
              pa.array(digest), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return map_batches(keyed.join(spans, "key", "left").select("doc_id", "text", "spans"), drop,
+    return map_batches(keyed.join(spans, ["id", "key"], "left").select("doc_id", "text", "spans"), drop,
                        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
