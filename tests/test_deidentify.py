@@ -156,6 +156,30 @@ def test_shuffle_path_equals_broadcast_path(spark, monkeypatch):
     assert run(spark, notes, people, staff, surfaces) == expect(notes, people, staff, surfaces)
 
 
+def test_hot_keys_are_split(spark, monkeypatch):
+    """A third of the notes hold one first name, a ninth another: both are dealt out, and no link is lost."""
+    monkeypatch.setattr(matching, "fits_broadcast", lambda *a: False)
+    names = ["Ina"] * 300 + ["Bob"] * 100 + [f"Name{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10 % 10]}" for k in range(500)]
+    notes = spark.createDataFrame([(f"n{k:04d}", f"{name} came.") for k, name in enumerate(names)], "note_id string, text string")
+    steps = [(0, name, "T", "L", k) for k, name in enumerate(sorted(set(names)))]
+    forms = matching.word_forms(spark.createDataFrame(steps, "pass_no int, form string, tag string, label string, first_pos long"), codes=False)
+    exploded = notes.select("note_id", F.explode(matching.word_keys(F.col("text"), forms)).alias("key")).where("key <> 'came'")
+    left, right = matching.split_hot_keys(exploded, forms.table)
+    dealt = {(r.key, r.salt): r["count"] for r in left.groupBy("key", "salt").count().collect()}
+    copies = {r.key: r["count"] for r in right.groupBy("key").count().collect()}
+    assert (copies["ina"], copies["bob"]) == (3, 1) and sum(copies.values()) == len(steps) + 2
+    assert sum(dealt.values()) == len(names) and max(dealt.values()) <= 2 * len(names) / 8
+    found = matching.matches(notes, forms, matching.word_keys, "form")
+    assert {(r.note_id, r.form) for r in found.collect()} == {(f"n{k:04d}", name) for k, name in enumerate(names)}
+    assert found.count() == len(names)
+
+
+def test_hot_keys_of_nothing(spark):
+    none = spark.createDataFrame([], "note_id string, key string")
+    left, right = matching.split_hot_keys(none, none.select("key"))
+    assert left.columns == ["note_id", "key", "salt"] and right.columns == ["key", "salt"] and left.isEmpty()
+
+
 def test_cut_lineage_gives_the_same(spark):
     notes, people, staff, surfaces = world(5)
     assert run(spark, notes, people, staff, surfaces, cut=True) == expect(notes, people, staff, surfaces)

@@ -37,7 +37,8 @@ GRAMS = (5, 8, 10, 12, 16)
 AT_CONTEXT = 64
 EVERY_NOTE = ""        # key of forms that are candidates of every note
 _BLOCK = 4096          # positions of a window over the holders of one value
-_SALTS = 32            # hot 'every note' key is spread over this many tasks
+_HEAVY = 256           # keys whose frequency is looked at, out of _TRACKED that the sketch holds
+_TRACKED = 8192
 _KEYLESS = 200         # forms without key that go to every note as one constant; more are joined
 
 STEP_TYPE = ("struct<pass_no:int,major:bigint,kind:bigint,variant:int,form:string,tag:string,"
@@ -208,11 +209,26 @@ def candidates(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str =
     exploded = notes.select(note_id, F.explode(keys).alias("key"))
     if forms.broadcast:
         return exploded.join(F.broadcast(forms.table.drop("step")), "key").select(note_id, "reentrant", "number")
-    salt = F.when(F.col("key") == EVERY_NOTE, F.pmod(F.xxhash64(note_id), F.lit(_SALTS))).otherwise(F.lit(0))
-    salts = F.when(F.col("key") == EVERY_NOTE, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = forms.table.withColumn("salt", F.explode(salts))
-    return exploded.withColumn("salt", salt.cast("int")).join(right, ["key", "salt"]).select(
-        note_id, "reentrant", "step")
+    left, right = split_hot_keys(exploded, forms.table, note_id)
+    return left.join(right, ["key", "salt"]).select(note_id, "reentrant", "step")
+
+
+def split_hot_keys(exploded: DataFrame, table: DataFrame, note_id: str = "note_id") -> tuple[DataFrame, DataFrame]:
+    """Both sides of a shuffle join by (key, salt), in which a key of many notes goes to as many tasks as it needs.
+
+    One sketch of the keys of all notes, combined in the tasks, gives the most frequent ones; a key of c in n rows has
+    its notes dealt to c * tasks / n salts, rounded up, and its forms copied to each. Keys beyond the sketch are in
+    fewer rows than those in it. Counts only steer the dealing: the join is the same whatever they are.
+    """
+    tasks = int(exploded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = exploded.agg(F.count("*").alias("n"), F.call_function("approx_top_k", F.col("key"), F.lit(_HEAVY), F.lit(_TRACKED)).alias("top")).first()
+    parts = {r["item"]: -(-r["count"] * tasks // seen["n"]) for r in seen["top"] or []}
+    hot = {key: n for key, n in parts.items() if n > 1}
+    if not hot:
+        return exploded.withColumn("salt", F.lit(0)), table.withColumn("salt", F.lit(0))
+    splits = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair]), F.col("key")), F.lit(1))
+    left = exploded.withColumn("salt", F.pmod(F.xxhash64(note_id), splits).cast("int"))
+    return left, table.withColumn("salt", F.explode(F.sequence(F.lit(0), splits.cast("int") - 1)))
 
 
 def with_steps(found: DataFrame, forms: KeyedForms) -> DataFrame:
