@@ -5,7 +5,8 @@ No task could sort the suffixes of a whole corpus, so equal strings are first br
 1. The windows of `size` bytes that start in a document are cut into runs with the same anchor, the smallest hash of
    GRAM bytes in the window. Equal windows have equal anchors. Runs with an anchor that occurs once in the corpus are
    done, if they hold it once too: none of their windows is repeated.
-2. Runs of the same bytes are counted with map-side combine, and one of each goes on as a piece. Anchors are dealt to
+2. Runs of the same bytes are counted with map-side combine, and one of each goes on as a piece. Where all runs with
+   an anchor are copies of one piece, all of its windows are repeated and nothing needs sorting. Other anchors are dealt to
    shards of about SHARD bytes; each shard is sorted by induced sorting (suffix_sort.py) and its permuted common
    prefixes tell which windows occur twice. All windows of all documents are judged, none from a sample.
 3. An anchor whose different pieces have more than HOT bytes (a passage that very many documents hold between
@@ -208,13 +209,16 @@ def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
 
     one = F.min(F.struct("id", "key", "start", "windows")).alias("one")
     distinct = written(places.groupBy("anchor", "print").agg(F.count("*").alias("copies"), one).select("anchor", "print", "copies", "one.*"), "pieces")
-    hot = distinct.groupBy("anchor").agg(F.sum(F.col("windows") + size).alias("n")).where(F.col("n") > HOT).select("anchor", F.lit(True).alias("hot"))
-    wanted = distinct.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    total = distinct.agg(F.coalesce(F.sum(F.col("windows") + size), F.lit(0))).first()[0]
+    of_anchor = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("windows") + size).alias("size"))
+    marked = written(distinct.join(of_anchor, "anchor").withColumn("alone", F.expr("n = 1 and copies > 1")).withColumn(
+        "hot", ~F.col("alone") & (F.col("size") > HOT)).drop("n", "size"), "marked")
+    wanted, alone = marked.where("not alone"), marked.where("alone")
+    total = wanted.agg(F.coalesce(F.sum(F.col("windows") + size), F.lit(0))).first()[0]
     pieces = written(cut(keyed.select("id", "key", "text"), wanted, size), "bytes")
     found = sorted_shards(pieces.where("not hot"), total // SHARD + 1, size)
-    if not hot.isEmpty():
+    if not wanted.where("hot").isEmpty():
         found = found.union(counted_windows(pieces.where("hot"), size))
+    found = found.union(alone.select("anchor", "print", F.lit(0).cast("long").alias("first"), (F.col("windows") - 1).alias("last")))
     spans = places.join(written(found, "found"), ["anchor", "print"]).groupBy("id", "key").agg(
         F.collect_list(F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last") + size).alias("stop"))).alias("spans"))
 
