@@ -13,6 +13,7 @@ from veilnote.functions.values import dob_variants, street_part
 from veilnote.operators.codes import assign_codes
 from veilnote.operators.selection import dedup_notes, id_collisions
 from veilnote.plans.daily_run import Run, daily_run
+from veilnote.sources import note_files
 from veilnote.sources.note_files import choose_source_mode, file_inventory, notes_from_files, scan_note_files, skipped_files
 from veilnote.sources.notes_csv import (
     count_note_rows, header_spots, no_match_alert, notes_from_rows, resolve_columns, scan_notes_csv)
@@ -232,3 +233,15 @@ def test_too_wide_a_header_is_an_error(spark, tmp_path):
 def test_spots_of_columns_equal_those_in_python(spark, header):
     got = spark.createDataFrame([(header,)], "h array<string>").select(header_spots(F.col("h"))).first()[0].asDict()
     assert got == resolve_columns(header)
+
+
+def test_documents_are_written_as_files_by_tasks(spark, tmp_path):
+    """Spark's own writer starts processes and makes a folder for each file; tasks give a folder of files under their names."""
+    rows = [("2025-01-15-PART-001.TXT", "Jane\nsmiled."), ("2025-01-16-part-002.txt", None), (None, "é"), ("same.txt", "a"), ("same.txt", "b")]
+    folders = note_files.write_note_files(spark.createDataFrame(rows, "file_name string, text string").coalesce(1), str(tmp_path / "in"))
+    assert len(folders) == 1 and len(list(tmp_path.glob("in/*/*.txt"))) == 4
+    got = {r.file_name: r.text for r in scan_note_files(spark, folders, note_files.stored_name()).collect()}
+    assert got.pop("same.txt") in ("a\nb\n", "b\na\n")
+    assert got == {"2025-01-15-PART-001.TXT": "Jane\nsmiled.\n", "2025-01-16-part-002.txt": "\n", None: "é\n"}
+    sizes = {r.file_name: r.length for r in file_inventory(spark, folders, note_files.stored_name()).collect()}
+    assert sizes == {"2025-01-15-PART-001.TXT": 13, "2025-01-16-part-002.txt": 1, None: 3, "same.txt": 4}

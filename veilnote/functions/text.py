@@ -68,7 +68,7 @@ def fold_case(c: Column) -> Column:
 
 def word_tokens(c: Column) -> Column:
     """Folded word runs, cut exactly where ``\\b`` may match."""
-    return F.filter(F.split(fold_case(c), r"(?U)\W+"), lambda w: w != "")
+    return F.array_remove(F.split(fold_case(c), r"(?U)\W+"), "")
 
 
 def quote_literal(c: Column) -> Column:

@@ -40,6 +40,7 @@ _BLOCK = 4096          # positions of a window over the holders of one value
 _HEAVY = 256           # keys whose frequency is looked at, out of _TRACKED that the sketch holds
 _TRACKED = 8192
 _KEYLESS = 200         # forms without key that go to every note as one constant; more are joined
+_SLOTS = 1 << 22       # slots of 64 bits that say which keys forms have, where the forms are not broadcast
 
 STEP_TYPE = ("struct<pass_no:int,major:bigint,kind:bigint,variant:int,form:string,tag:string,"
              "label:string,pattern:string,once:boolean>")
@@ -60,6 +61,7 @@ class KeyedForms:
     broadcast: bool
     keyless: DataFrame | None = None    # reentrant, step of the few forms without key, not in the table
     shared: DataFrame | None = None     # later holders of values that several participants have: pattern, major
+    rows: int = 0               # rows of the table when it was measured
 
 
 def _step(**parts: Column) -> Column:
@@ -76,7 +78,8 @@ def _keyed(table: DataFrame, sizes: list[int], seen: dict, emails: bool) -> Keye
     few = 0 < seen["keyless"] <= _KEYLESS
     keyless = table.where(F.col("key") == EVERY_NOTE).select("reentrant", "step") if few else None
     rest = table.where(F.col("key") != EVERY_NOTE) if few else table
-    return KeyedForms(rest, sizes, seen["keyless"] > 0 and not few, emails, fits_broadcast(seen["rows"], seen["bytes"]), keyless)
+    return KeyedForms(rest, sizes, seen["keyless"] > 0 and not few, emails, fits_broadcast(seen["rows"], seen["bytes"]), keyless,
+                      rows=seen["rows"])
 
 
 def _measure(table: DataFrame, size: Column, odd: Column | None = None) -> dict:
@@ -179,12 +182,11 @@ def value_forms(steps: DataFrame) -> KeyedForms:
 
 def value_keys(text: Column, forms: KeyedForms) -> Column:
     def grams(t: Column) -> Column:
-        """One scan for the longest gram at each start, then its prefixes."""
+        """One scan for the longest gram at each start, then its prefixes; one that is too short is no form's key."""
         lo, hi = min(forms.sizes), max(forms.sizes)
-        longest = F.array_distinct(F.regexp_extract_all(
-            t, F.lit(rf"(?sU)(?=([\d+(].{{{lo - 1},{hi - 1}}}))"), F.lit(1)))
-        return F.flatten(F.transform(longest, lambda g: F.array_compact(F.array(*[
-            F.when(F.length(g) >= n, F.substring(g, 1, n)) for n in forms.sizes]))))
+        longest = F.regexp_extract_all(t, F.lit(rf"(?sU)(?=([\d+(].{{{lo - 1},{hi - 1}}}))"), F.lit(1))
+        prefixes = lambda found, n: F.transform(found, lambda g: F.substring(g, 1, n))
+        return bind(longest, lambda found: F.concat(found, *[prefixes(found, n) for n in forms.sizes if n < hi]))
 
     def around_at(t: Column) -> Column:
         def keys(pieces: Column) -> Column:
@@ -209,8 +211,21 @@ def candidates(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str =
     exploded = notes.select(note_id, F.explode(keys).alias("key"))
     if forms.broadcast:
         return exploded.join(F.broadcast(forms.table.drop("step")), "key").select(note_id, "reentrant", "number")
-    left, right = split_hot_keys(exploded, forms.table, note_id)
-    return left.join(right, ["key", "salt"]).select(note_id, "reentrant", "step")
+    # Written once: most keys of a note are of no form, and the keys of all notes are many times their texts.
+    left, right = split_hot_keys(cut_lineage(keys_of_forms(exploded, forms)), forms.table, note_id)
+    return left.hint("merge").join(right, ["key", "salt"]).select(note_id, "reentrant", "step")
+
+
+def keys_of_forms(exploded: DataFrame, forms: KeyedForms) -> DataFrame:
+    """The note keys that a form may have: all that one has, and few others.
+
+    A key sets one bit, by its hash, in at most _SLOTS words that every task holds, whatever the number of forms.
+    """
+    slots = min(_SLOTS, 1 << max(forms.rows // 4, 1).bit_length())      # 16 bits a form or more, below the bound
+    slot = F.expr(f"shiftrightunsigned(xxhash64(key), 6) & {slots - 1}L").alias("slot")
+    bit = F.expr("shiftleft(1L, cast(xxhash64(key) & 63 as int))").alias("bit")
+    taken = forms.table.select(slot, bit).groupBy("slot").agg(F.bit_or("bit").alias("taken"))
+    return exploded.select("*", slot, bit).join(F.broadcast(taken), "slot").where("taken & bit <> 0").drop("slot", "bit", "taken")
 
 
 def split_hot_keys(exploded: DataFrame, table: DataFrame, note_id: str = "note_id") -> tuple[DataFrame, DataFrame]:

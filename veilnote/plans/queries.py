@@ -95,11 +95,9 @@ def note_file_rows(spark, sf_dir) -> DataFrame:
         name.alias("file_name"), F.when(k % 10 == 7, " \n").otherwise(F.col("text")).alias("text"))
 
 
-def note_folder(spark, sf_dir) -> str:
-    """One file for each document, under its name: a folder ``name=...`` each, as Spark names the file in it."""
-    path = scratch_path(spark, "documents")
-    note_file_rows(spark, sf_dir).select("text", F.col("file_name").alias("name")).write.partitionBy("name").text(path)
-    return path
+def note_folders(spark, sf_dir) -> list[str]:
+    """One file for each document, under its name, in a folder of each task."""
+    return note_files.write_note_files(note_file_rows(spark, sf_dir), scratch_path(spark, "documents"))
 
 
 _NAME = """CASE WHEN doc_id % 10 = 9 THEN 'report-' || doc_id || '.txt' WHEN doc_id % 10 = 8 THEN '2025-02-31-PART-' || doc_id || '.txt'
@@ -114,7 +112,7 @@ _BODY = r"CASE WHEN doc_id % 10 = 7 THEN ' ' || chr(10) ELSE text END || chr(10)
     FROM documents WHERE doc_id % 10 < 7 AND trim(text) <> ''""")
 def _(spark, sf_dir):
     """Every document as a file of its own, scanned whole (Spark ends a text with a line break)."""
-    return note_files.notes_from_files(note_files.scan_note_files(spark, note_folder(spark, sf_dir), F.col("name")))
+    return note_files.notes_from_files(note_files.scan_note_files(spark, note_folders(spark, sf_dir), note_files.stored_name()))
 
 
 @query("join_document_pages", """
@@ -245,7 +243,7 @@ def inventory(spark, sf_dir) -> DataFrame:
 @query("file_inventory", f"""
     SELECT {_NAME} AS file_name, CAST(strlen({_BODY}) AS BIGINT) AS length, doc_id % 10 = 8 AS of_day FROM documents""")
 def _(spark, sf_dir):
-    files = note_files.file_inventory(spark, note_folder(spark, sf_dir), F.col("name"))
+    files = note_files.file_inventory(spark, note_folders(spark, sf_dir), note_files.stored_name())
     day = note_files.files_of_date(files, F.lit("2025-02-31"), "txt").select("file_name", F.lit(True).alias("of_day"))
     return files.join(day, "file_name", "left").select("file_name", "length", F.coalesce("of_day", F.lit(False)).alias("of_day"))
 

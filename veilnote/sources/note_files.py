@@ -1,23 +1,68 @@
 """Per-participant text documents and page text."""
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import NOTE_FILE_PATTERN
 from ..functions.text import py_strip
 
+_NAMELESS = "__HIVE_DEFAULT_PARTITION__"        # file of rows without a name
+
 
 def scan_note_files(spark: SparkSession, path: str | list[str], name: Column | None = None) -> DataFrame:
     """One row per ``*.txt`` file of a folder, not of the folders in it: name and whole text.
 
-    ``name`` is the partition column that holds the file's name where each file has a folder of its own.
+    ``name`` gives the file's name where that isn't its own (``stored_name``).
     """
     return spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(
         (F.col("_metadata.file_name") if name is None else name.cast("string")).alias("file_name"), F.col("value").alias("text"))
 
 
+def write_note_files(files: DataFrame, folder: str) -> list[str]:
+    """Files of (file_name, text) rows, ``<name>.txt`` each, a line break after each text; gives the folders they are in.
+
+    A task writes its files to a folder of its own, and only those of tasks that succeeded are given. Rows of one name
+    and task share a file. Files are opened by the tasks themselves: Spark's writer starts several processes for
+    each file of a local folder, to set its mode, and makes a folder of each name. The folder must be one that all executors share.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pa.fs.LocalFileSystem(), folder)
+        part, last, out = uuid.uuid4().hex, None, None
+        try:
+            for batch in batches:
+                for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    name = _NAMELESS if name is None else name
+                    if out is None:
+                        system.create_dir(f"{root}/{part}", recursive=True)
+                    if name != last:
+                        if out is not None:
+                            out.close()
+                        last, out = name, system.open_output_stream(f"{root}/{part}/{name}.txt")
+                    if text.is_valid:
+                        out.write(text.as_buffer())
+                    out.write(b"\n")
+        finally:
+            if out is not None:
+                out.close()
+        if out is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([part])], ["part"])
+
+    ready = files.select("file_name", "text").sortWithinPartitions("file_name")
+    return [f"{folder}/{r.part}" for r in ready.mapInArrow(write, "part string").collect()]      # one row a task
+
+
+def stored_name() -> Column:
+    """The name under which ``write_note_files`` was given a file."""
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "")
+    return F.when(name != _NAMELESS, name)
+
+
 def notes_from_files(files: DataFrame) -> DataFrame:
     """Date and code from the file name; bad names and empty bodies are left out."""
     part = lambda n: F.regexp_extract("file_name", NOTE_FILE_PATTERN, n)
@@ -53,7 +98,7 @@ def choose_source_mode(documents: DataFrame, exports: DataFrame | Callable[[], D
     return "none", None
 
 
-def file_inventory(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:
+def file_inventory(spark: SparkSession, path: str | list[str], name: Column | None = None) -> DataFrame:
     """Files of a folder without reading their content; ``name`` as for ``scan_note_files``."""
     own = F.element_at(F.split("path", "/"), -1) if name is None else name.cast("string")
     return spark.read.format("binaryFile").load(path).select(own.alias("file_name"), "path", "modificationTime", "length")
