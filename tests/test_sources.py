@@ -237,11 +237,13 @@ def test_spots_of_columns_equal_those_in_python(spark, header):
 
 def test_documents_are_written_as_files_by_tasks(spark, tmp_path):
     """Spark's own writer starts processes and makes a folder for each file; tasks give a folder of files under their names."""
-    rows = [("2025-01-15-PART-001.TXT", "Jane\nsmiled."), ("2025-01-16-part-002.txt", None), (None, "é"), ("same.txt", "a"), ("same.txt", "b")]
+    rows = [("2025-01-15-PART-001.TXT", "Jane\nsmiled."), ("2025-01-16-part-002.txt", None), (None, "é"), ("_x.txt", "h"), ("same.txt", "a"), ("same.txt", "b")]
     folders = note_files.write_note_files(spark.createDataFrame(rows, "file_name string, text string").coalesce(1), str(tmp_path / "in"))
-    assert len(folders) == 1 and len(list(tmp_path.glob("in/*/*.txt"))) == 4
+    assert len(folders) == 1 and len(list(tmp_path.glob("in/*/*.txt"))) == 5
     got = {r.file_name: r.text for r in scan_note_files(spark, folders, note_files.stored_name()).collect()}
     assert got.pop("same.txt") in ("a\nb\n", "b\na\n")
-    assert got == {"2025-01-15-PART-001.TXT": "Jane\nsmiled.\n", "2025-01-16-part-002.txt": "\n", None: "é\n"}
+    assert got == {"2025-01-15-PART-001.TXT": "Jane\nsmiled.\n", "2025-01-16-part-002.txt": "\n", None: "é\n", "_x.txt": "h\n"}
     sizes = {r.file_name: r.length for r in file_inventory(spark, folders, note_files.stored_name()).collect()}
-    assert sizes == {"2025-01-15-PART-001.TXT": 13, "2025-01-16-part-002.txt": 1, None: 3, "same.txt": 4}
+    assert sizes == {"2025-01-15-PART-001.TXT": 13, "2025-01-16-part-002.txt": 1, None: 3, "_x.txt": 2, "same.txt": 4}
+    none = note_files.write_note_files(spark.createDataFrame([], "file_name string, text string"), str(tmp_path / "none"))
+    assert scan_note_files(spark, none, note_files.stored_name()).isEmpty()

@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import NOTE_FILE_PATTERN
 from ..functions.text import py_strip
-
-_NAMELESS = "__HIVE_DEFAULT_PARTITION__"        # file of rows without a name
+from ..session import folder_of
 
 
 def scan_note_files(spark: SparkSession, path: str | list[str], name: Column | None = None) -> DataFrame:
@@ -24,7 +23,7 @@ def scan_note_files(spark: SparkSession, path: str | list[str], name: Column | N
 
 
 def write_note_files(files: DataFrame, folder: str) -> list[str]:
-    """Files of (file_name, text) rows, ``<name>.txt`` each, a line break after each text; gives the folders they are in.
+    """Files of (file_name, text) rows, ``name=<name>.txt`` each, a line break after each text; gives the folders they are in.
 
     A task writes its files to a folder of its own, and only those of tasks that succeeded are given. Rows of one name
     and task share a file. Files are opened by the tasks themselves: Spark's writer starts several processes for
@@ -37,7 +36,7 @@ def write_note_files(files: DataFrame, folder: str) -> list[str]:
         try:
             for batch in batches:
                 for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    name = _NAMELESS if name is None else name
+                    name = "nameless" if name is None else f"name={name}"      # none is hidden, whatever the first character
                     if out is None:
                         system.create_dir(f"{root}/{part}", recursive=True)
                     if name != last:
@@ -54,13 +53,17 @@ def write_note_files(files: DataFrame, folder: str) -> list[str]:
             yield pa.RecordBatch.from_arrays([pa.array([part])], ["part"])
 
     ready = files.select("file_name", "text").sortWithinPartitions("file_name")
-    return [f"{folder}/{r.part}" for r in ready.mapInArrow(write, "part string").collect()]      # one row a task
+    parts = [f"{folder}/{r.part}" for r in ready.mapInArrow(write, "part string").collect()]      # one row a task
+    if not parts:
+        system, target = folder_of(files.sparkSession, folder)
+        system.mkdirs(target)
+    return parts or [folder]
 
 
 def stored_name() -> Column:
     """The name under which ``write_note_files`` was given a file."""
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "")
-    return F.when(name != _NAMELESS, name)
+    file = F.col("_metadata.file_name")
+    return F.when(file.startswith("name="), F.regexp_extract(file, r"(?s)^name=(.*)\.txt$", 1))
 
 
 def notes_from_files(files: DataFrame) -> DataFrame:
