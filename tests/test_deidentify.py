@@ -174,6 +174,20 @@ def test_hot_keys_are_split(spark, monkeypatch):
     assert found.count() == len(names)
 
 
+def test_only_keys_of_forms_are_joined(spark, monkeypatch):
+    """Without a broadcast, keys that no form has are dropped before the join, and none that a form has, however full the bits."""
+    monkeypatch.setattr(matching, "fits_broadcast", lambda *a: False)
+    words = ["".join("abcdefghij"[k // 10 ** i % 10] for i in range(4)) for k in range(2000)]
+    steps = [(0, w, "T", "L", k) for k, w in enumerate(words[:200])]
+    forms = matching.word_forms(spark.createDataFrame(steps, "pass_no int, form string, tag string, label string, first_pos long"), codes=False)
+    assert forms.rows == 200
+    exploded = spark.createDataFrame([(f"n{k}", w) for k, w in enumerate(words)], "note_id string, key string")
+    kept = {r.key for r in matching.keys_of_forms(exploded, forms).collect()}
+    assert set(words[:200]) <= kept and len(kept) < 500
+    monkeypatch.setattr(matching, "_SLOTS", 1)
+    assert set(words[:200]) <= {r.key for r in matching.keys_of_forms(exploded, forms).collect()}
+
+
 def test_hot_keys_of_nothing(spark):
     none = spark.createDataFrame([], "note_id string, key string")
     left, right = matching.split_hot_keys(none, none.select("key"))
