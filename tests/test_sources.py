@@ -1,12 +1,14 @@
 import os
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from veilnote import fixed_values
 from veilnote.functions.names import name_variations, surface_ok, strip_title
 from veilnote.functions.detectors import (
-    detect_addresses, detect_emails, detect_ndis, detect_phones, detect_suburb_postcode)
+    detect_addresses, detect_dob, detect_emails, detect_ndis, detect_phones, detect_states, detect_suburb_postcode)
 from veilnote.functions.keys import client_key, parse_note_date
 from veilnote.functions.spans import literal_spans, merge_spans, make_span
 from veilnote.functions.values import dob_variants, street_part
@@ -16,7 +18,7 @@ from veilnote.plans.daily_run import Run, daily_run
 from veilnote.sources import note_files
 from veilnote.sources.note_files import choose_source_mode, file_inventory, notes_from_files, scan_note_files, skipped_files
 from veilnote.sources.notes_csv import (
-    count_note_rows, header_spots, no_match_alert, notes_from_rows, resolve_columns, scan_notes_csv)
+    WIDTH, count_note_rows, header_spots, header_width, no_match_alert, notes_from_rows, resolve_columns, scan_notes_csv)
 from veilnote.sources.pii_dictionary import scan_pii_dictionary
 from veilnote.sources.state import read_state
 
@@ -247,3 +249,49 @@ def test_documents_are_written_as_files_by_tasks(spark, tmp_path):
     assert sizes == {"2025-01-15-PART-001.TXT": 13, "2025-01-16-part-002.txt": 1, None: 3, "_x.txt": 2, "same.txt": 4}
     none = note_files.write_note_files(spark.createDataFrame([], "file_name string, text string"), str(tmp_path / "none"))
     assert scan_note_files(spark, none, note_files.stored_name()).isEmpty()
+
+
+def test_lines_are_read_to_the_width_of_headers(spark, tmp_path):
+    """No cell of a header is left out, however it is quoted or cut into buffers, and none beyond all headers is asked for."""
+    for width in (1, 2, 7, 40, 127):
+        for size in (1, 3, 29):
+            folder = tmp_path / f"{width}-{size}"
+            folder.mkdir()
+            cells = ["Date"] + [f"{'x' * size}{k}" for k in range(width - 2)] + ["Note"] * (width > 1)
+            (folder / "a.csv").write_text("\n" * (size == 3) + ",".join(cells) + "\n15/01/2025" + ",c" * (width + 3) + "\n", newline="")
+            assert header_width(spark, str(folder)) == (width if width > 1 else WIDTH)
+            row = scan_notes_csv(spark, str(folder)).first()
+            assert (row.date, row.note, row.has_note) == ("15/01/2025", "c" * (width > 1), width > 1)
+    quoted = tmp_path / "quoted"
+    quoted.mkdir()
+    (quoted / "a.csv").write_text('"Service, old",",","x\ny, ""z""",Date,Note\n1,2,3,4,"5,\n6"\n')
+    (quoted / "b.csv").write_text("Note,Date\n7,8\n")
+    (quoted / "none.csv").write_text("")
+    assert 5 <= header_width(spark, str(quoted)) < 16
+    assert {(r.date, r.note) for r in scan_notes_csv(spark, str(quoted)).collect()} == {("4", "5,\n6"), ("8", "7")}
+
+
+def test_guards_let_every_match_through(spark):
+    """Detectors with their guard give what their patterns alone give."""
+    rng = random.Random(5)
+    bits = ["0", "4", "12", "\u0663", "2000", "518340276", "+61", "(", ")", "-", "/", ".", " ", " ", "\n", "\u00a0", ",", ":", "DOB", "Born", "d.o.b.",
+            "Box", "Hill", "VIC", "New South Wales", "Main", "Street", "Dr", "x", "\u00e9", "@", "a.b", "com"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(2, 16))) for _ in range(6000)]
+    texts += [f"{k} Main{s}Street, VIC{s}3128 DOB{s}1{c}2{c}1980" for k in ("7", "7/", "7-1") for s in (" ", "\n", "\u00a0") for c in "/.-"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    alone = {"ndis": [("(?U)" + fixed_values.NDIS_PATTERN, 0)], "phones": [("(?U)" + p, 0) for p in fixed_values.PHONE_PATTERNS],
+             "dob": [("(?iuU)" + fixed_values.DOB_PATTERN, 0)], "addresses": [("(?U)" + fixed_values.ADDRESS_PATTERN, 0)],
+             "suburb_postcode": [("(?U)" + fixed_values.SUBURB_POSTCODE_PATTERN, 0)],
+             "states": [(r"(?U)\b(?:" + "|".join(fixed_values.STATES) + r")\b", 0)]}
+    found = lambda name: F.array_distinct(F.concat(*[F.regexp_extract_all(F.col("t"), F.lit(p), F.lit(g)) for p, g in alone[name]]))
+    out = rows.select(*[f(F.col("t")).alias(name) for name, f in (
+        ("ndis", detect_ndis), ("phones", detect_phones), ("dob", detect_dob), ("addresses", detect_addresses), ("states", detect_states),
+        ("suburb_postcode", detect_suburb_postcode))], *[found(name).alias(f"{name}_alone") for name in alone]).collect()
+    for name in ("ndis", "phones", "dob"):
+        assert all(r[name] == r[f"{name}_alone"] for r in out) and any(r[name] for r in out)
+    for r in out:
+        assert set(r.states) == set(r.states_alone)
+        assert set(r.addresses) == {a for a in r.addresses_alone if not any(w in a.lower() for w in fixed_values.ADDRESS_STOP_WORDS)}
+        kept = [p for p in r.suburb_postcode_alone if 200 <= int(p[-4:]) <= 9999 and not 2020 <= int(p[-4:]) <= 2030]
+        assert bool(kept) == bool(r.suburb_postcode)
+    assert all(any(r[name] for r in out) for name in alone)

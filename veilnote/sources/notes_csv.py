@@ -71,15 +71,31 @@ def raw_cells(spark: SparkSession, path: str | list[str], width: int = WIDTH) ->
         F.array(*[f"c{i}" for i in range(width)]).alias("cells"))
 
 
+def header_width(spark: SparkSession, path: str | list[str]) -> int:
+    """At least the cells of the widest header, ``WIDTH`` at most.
+
+    A line costs by the cells that are asked for, so a first pass asks for one and the line as it is written, which
+    Spark gives of lines of other than one cell.  Commas are counted, also quoted ones; a header without that line or
+    without a first cell counts as ``WIDTH``.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv").option("columnNameOfCorruptRecord", "raw")
+    lines = reader.schema("c0 string, raw string").csv(path).select(
+        F.col("_metadata.file_path").alias("src_file"), F.monotonically_increasing_id().alias("src_row"),
+        F.when(F.col("c0").isNull() | F.col("raw").isNull(), WIDTH).otherwise(F.regexp_count("raw", F.lit(",")) + 1).alias("cells"))
+    first = lines.groupBy("src_file").agg(F.min_by("cells", "src_row").alias("cells"))
+    return min(WIDTH, first.agg(F.max("cells")).first()[0] or 1)
+
+
 def scan_notes_csv(spark: SparkSession, path: str | list[str], aliases=None) -> DataFrame:
     """All rows of all files (of a folder, or listed) under the logical fields, with file and row order.
 
-    Files are read once, without header.  Their first lines give a small table
-    of positions by file and field, so any number of layouts is one plan, and
-    no file name or header passes the driver.  ``src_row`` orders rows within a
+    Files are read without header: once for the width of their headers, and once
+    up to it.  Their first lines give a small table of positions by file and
+    field, so any number of layouts is one plan, and no file name or header
+    passes the driver.  ``src_row`` orders rows within a
     file.  A header of ``WIDTH`` cells or more is an error, so no cell is lost.
     """
-    lines = cut_lineage(raw_cells(spark, path))
+    lines = cut_lineage(raw_cells(spark, path, header_width(spark, path)))
     heads = lines.groupBy("src_file").agg(F.min_by("cells", "src_row").alias("header"), F.min("src_row").alias("first"))
     wide = F.raise_error(F.concat(F.lit("too many columns in "), F.col("src_file")))
     known = F.transform(F.col("header"), lambda c, i: F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", ""))
