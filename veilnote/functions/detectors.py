@@ -1,10 +1,14 @@
 """Pattern detectors: text column -> array of distinct matched strings.
 
-Each detector is guarded by a cheap containment test, so most rows never run
-the regular expression.
+Each detector is guarded by a cheap test that every match passes (without word
+boundaries, which are slow to find in Unicode text), so most rows never run the
+regular expression.
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from ..fixed_values import (
@@ -26,13 +30,9 @@ def _guarded(test: Column, value: Column) -> Column:
     return F.when(test, value).otherwise(empty_strings())
 
 
-def _has_digit(text: Column) -> Column:
-    return text.rlike(r"(?U)\d")
-
-
 def detect_ndis(text: Column) -> Column:
     """Standalone nine-digit runs."""
-    return _guarded(_has_digit(text), F.array_distinct(_find_all(text, _U + NDIS_PATTERN)))
+    return _guarded(text.rlike(r"(?U)\d{9}"), F.array_distinct(_find_all(text, _U + NDIS_PATTERN)))
 
 
 def union_phone_matches(text: Column) -> Column:
@@ -41,7 +41,8 @@ def union_phone_matches(text: Column) -> Column:
 
 
 def detect_phones(text: Column) -> Column:
-    return _guarded(text.contains("+61") | text.contains("0"), union_phone_matches(text))
+    test = r"(?U)\+61|0[2-478]\)?[\s-]?\d{4}|04\d{2}[\s-]?\d{3}"
+    return _guarded((text.contains("+61") | text.contains("0")) & text.rlike(test), union_phone_matches(text))
 
 
 def detect_emails(text: Column) -> Column:
@@ -50,7 +51,7 @@ def detect_emails(text: Column) -> Column:
 
 def dob_matches(text: Column) -> Column:
     """All birth-date mentions with their keyword, in text order (not distinct)."""
-    return _guarded(_has_digit(text), _find_all(text, _CI + DOB_PATTERN))
+    return _guarded(text.rlike(r"(?U)[:\s]\d{1,2}[/.\-]\d{1,2}[/.\-]\d{2}"), _find_all(text, _CI + DOB_PATTERN))
 
 
 def detect_dob(text: Column) -> Column:
@@ -60,15 +61,15 @@ def detect_dob(text: Column) -> Column:
 def detect_addresses(text: Column) -> Column:
     stop = "|".join(ADDRESS_STOP_WORDS)
     found = F.filter(_find_all(text, _U + ADDRESS_PATTERN), lambda m: ~F.lower(m).rlike(stop))
-    return _guarded(_has_digit(text), F.array_distinct(found))
+    return _guarded(text.rlike(r"(?U)[\d/.\-]\s+[A-Z][a-z]"), F.array_distinct(found))
 
 
 def detect_states(text: Column) -> Column:
     """State codes and names present as whole words, case-sensitive."""
-    any_state = _U + r"\b(?:" + "|".join(STATES) + r")\b"
+    any_state = reduce(or_, [text.contains(s) for s in STATES])
     hits = F.filter(lit_words(STATES), lambda s: F.contains(text, s) & F.rlike(
         text, F.concat(F.lit(_U + r"\b"), s, F.lit(r"\b"))))
-    return _guarded(text.rlike(any_state), hits)
+    return _guarded(any_state, hits)
 
 
 def detect_suburb_postcode(text: Column) -> Column:
@@ -83,7 +84,7 @@ def detect_suburb_postcode(text: Column) -> Column:
     parts = F.flatten(F.transform(kept, lambda p: F.when(
         is_generic_term(p["suburb"]), F.array(p["postcode"])
     ).otherwise(F.array(p["suburb"], p["postcode"]))))
-    return _guarded(text.contains(",") & _has_digit(text), F.array_distinct(parts))
+    return _guarded(text.contains(",") & text.rlike(r"(?U),\s+[A-Z]{0,3}\s*\d{4}"), F.array_distinct(parts))
 
 
 def detect_locations(text: Column) -> Column:
