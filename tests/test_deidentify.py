@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,6 +189,48 @@ def test_only_keys_of_forms_are_joined(spark, monkeypatch):
     assert set(words[:200]) <= {r.key for r in matching.keys_of_forms(exploded, forms).collect()}
 
 
+VALUE_STEP = "pass_no int, major bigint, kind bigint, variant int, form string, tag string, label string, pattern string, once boolean"
+
+
+def value_forms_of(spark, forms):
+    return matching.value_forms(spark.createDataFrame(
+        [(3, k, 1, 0, f, "T", "L", re.escape(f), False) for k, f in enumerate(forms)], VALUE_STEP))
+
+
+def test_only_grams_of_known_shapes_are_keys(spark):
+    """A long number gives no key where the forms are dates, and a date gives one."""
+    forms = value_forms_of(spark, ["01/02/1980", "11-12-1999", "jo@b.example", "mary.ann@b.example"])
+    texts = [("Ref 123456789012345678 noted", []), ("on 01/02/1980.", ["01/02/1980"]), ("1101-02-1980", ["01-02-1980"]),
+             ("(03) 1234 5678", []), ("to x.jo@b.example", ["jo@b"])]
+    rows = spark.createDataFrame([(t,) for t, _ in texts], "text string").select("text", matching.value_keys(F.col("text"), forms).alias("keys")).collect()
+    assert {r.text: r["keys"] for r in rows} == dict(texts)
+
+
+@pytest.mark.parametrize("most", [0, 2, 32])
+def test_shapes_lose_no_value(spark, monkeypatch, most):
+    """Forms of few and of many shapes, with signs, other scripts and digits, are found wherever they are in a text."""
+    monkeypatch.setattr(matching, "_SHAPES", most)
+    rng = random.Random(most)
+    make = lambda n: "".join(rng.choice(["1", "2", "\u0663", "a", "\u00e9", "\u4e2d", "/", "\\", " ", "+", "(", "$", "{", "|", "\U0001f600"]) for _ in range(n))
+    forms = sorted({rng.choice(["1", "22", "\u0663", "+", "("]) + make(rng.randrange(1, 20)) for _ in range(60)} | {"a.b@c.example", "1980-01-02", "1981-01-02"})
+    texts = [make(rng.randrange(6)) + rng.choice(forms) + make(rng.randrange(6)) + rng.choice(forms) for _ in range(300)]
+    notes = spark.createDataFrame(list(enumerate(texts)), "note_id long, text string")
+    found = [(r.note_id, r.form) for r in matching.matches(notes, value_forms_of(spark, forms), matching.value_keys, "form").collect()]
+    assert sorted(found) == sorted((k, f) for k, t in enumerate(texts) for f in forms if f in t)
+
+
+def test_runs_start_at_words_of_forms(spark):
+    """Of the words of a note only those that a form begins with are put together to runs; each form counts once for a note, also where notes share an id."""
+    steps = [(0, f, "T", "L", k) for k, f in enumerate(["Jo", "Jo Ann Lee", "Ann Lee", "Mara Quill"])]
+    forms = matching.word_forms(spark.createDataFrame(steps, "pass_no int, form string, tag string, label string, first_pos long"), codes=False)
+    notes = spark.createDataFrame([(1, "Then Jo saw Jo Ann Lee at noon, with many other people there."), (2, "Mara"), (3, "Mara Quill"), (3, "Mara Quill"), (4, None)],
+                                  "note_id long, text string")
+    keys = sorted((r.note_id, r.key) for r in matching.note_keys(notes, F.col("text"), forms, matching.word_keys, "note_id").collect())
+    assert keys == [(1, "ann lee"), (1, "jo"), (1, "jo"), (1, "jo ann lee"), (1, "jo saw jo"), (3, "mara quill"), (3, "mara quill")]
+    found = sorted((r.note_id, r.form) for r in matching.matches(notes, forms, matching.word_keys, "form").collect())
+    assert found == [(1, "Ann Lee"), (1, "Jo"), (1, "Jo Ann Lee")] + [(3, "Mara Quill")] * 4
+
+
 def test_hot_keys_of_nothing(spark):
     none = spark.createDataFrame([], "note_id string, key string")
     left, right = matching.split_hot_keys(none, none.select("key"))

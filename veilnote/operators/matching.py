@@ -14,13 +14,15 @@ the full fold:
 * value forms (dates, phones, streets, e-mails): they may sit inside longer
   runs, so keys are fixed-length grams that start at a digit, ``+`` or ``(``,
   and for e-mails the text around each ``@``.  Values that give no such key are
-  candidates of every note.
+  candidates of every note.  Only grams that are shaped like one of the forms
+  (digits, letters and signs in the same places) are looked up.
 
 A side is broadcast only after it was measured; a larger one is shuffled.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,6 +42,7 @@ _BLOCK = 4096          # positions of a window over the holders of one value
 _HEAVY = 256           # keys whose frequency is looked at, out of _TRACKED that the sketch holds
 _TRACKED = 8192
 _KEYLESS = 200         # forms without key that go to every note as one constant; more are joined
+_SHAPES = 32           # shapes of the grams of one size that are searched one by one; with more, all grams are keys
 _SLOTS = 1 << 22       # slots of 64 bits that say which keys forms have, where the forms are not broadcast
 
 STEP_TYPE = ("struct<pass_no:int,major:bigint,kind:bigint,variant:int,form:string,tag:string,"
@@ -62,6 +65,8 @@ class KeyedForms:
     keyless: DataFrame | None = None    # reentrant, step of the few forms without key, not in the table
     shared: DataFrame | None = None     # later holders of values that several participants have: pattern, major
     rows: int = 0               # rows of the table when it was measured
+    shapes: dict[int, list[str]] | None = None      # by gram size, where they are few
+    lefts: list[int] | None = None                  # lengths of the keys around '@', up to it
 
 
 def _step(**parts: Column) -> Column:
@@ -88,6 +93,7 @@ def _measure(table: DataFrame, size: Column, odd: Column | None = None) -> dict:
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.length("key") + 2 * F.length(F.col("step")["form"]) + 120), F.lit(0)).alias("bytes"),
         F.collect_set(size).alias("sizes"),
+        F.collect_set(F.when(F.contains(F.col("key"), F.lit("@")), F.length(F.substring_index("key", "@", 1)))).alias("lefts"),
         F.count_if(F.col("key") == EVERY_NOTE).alias("keyless"),
         F.coalesce(F.bool_or(F.contains(F.col("key"), F.lit("@"))), F.lit(False)).alias("emails"),
         F.coalesce(F.bool_or(F.lit(False) if odd is None else odd), F.lit(False)).alias("odd"),
@@ -177,43 +183,89 @@ def value_forms(steps: DataFrame) -> KeyedForms:
     table = _numbered(steps.select(key.alias("key"), F.lit(False).alias("reentrant"), step.alias("step")))
     seen = _measure(table, F.when(F.contains(F.col("key"), F.lit("@")), F.lit(None)).otherwise(F.length("key")))
     sizes = sorted(n for n in seen["sizes"] if n in GRAMS)
-    return _keyed(table, sizes, seen, seen["emails"])
+    forms = _keyed(table, sizes, seen, seen["emails"])
+    forms.shapes, forms.lefts = _shapes(table, sizes), sorted(seen["lefts"])
+    return forms
+
+
+def _shapes(table: DataFrame, sizes: list[int]) -> dict[int, list[str]]:
+    """Shapes of the grams of each size: 0 for a digit, a for a letter, all else as it is.  Sizes of many shapes are left out."""
+    shape = F.regexp_replace(F.regexp_replace("key", r"\p{Nd}", "0"), r"\p{L}", "a")
+    grams = table.where((F.col("key") != EVERY_NOTE) & ~F.contains(F.col("key"), F.lit("@")))
+    most = _SHAPES * len(GRAMS)
+    found = [r["shape"] for r in grams.select(shape.alias("shape")).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        return {}
+    by_size = {n: sorted(s for s in found if len(s) == n) for n in sizes}
+    return {n: shapes for n, shapes in by_size.items() if len(shapes) <= _SHAPES}
+
+
+def _shape_pattern(shape: str) -> str:
+    classes = {"0": r"\p{Nd}", "a": r"\p{L}"}
+    return "".join(f"{classes.get(c, rf'\x{{{ord(c):x}}}')}{{{len(list(run))}}}" for c, run in groupby(shape))
 
 
 def value_keys(text: Column, forms: KeyedForms) -> Column:
+    shapes = forms.shapes or {}
+    others = [n for n in forms.sizes if n not in shapes]
+
+    def shaped(t: Column, n: int) -> Column:
+        """The grams of one size that are shaped like a form's; a gram has one shape, so each start gives one at most."""
+        either = "|".join(_shape_pattern(s) for s in shapes[n])
+        return F.regexp_extract_all(t, F.lit(rf"(?=[\p{{Nd}}+(])(?=({either}))"), F.lit(1))
+
     def grams(t: Column) -> Column:
         """One scan for the longest gram at each start, then its prefixes; one that is too short is no form's key."""
-        lo, hi = min(forms.sizes), max(forms.sizes)
+        lo, hi = min(others), max(others)
         longest = F.regexp_extract_all(t, F.lit(rf"(?sU)(?=([\d+(].{{{lo - 1},{hi - 1}}}))"), F.lit(1))
         prefixes = lambda found, n: F.transform(found, lambda g: F.substring(g, 1, n))
-        return bind(longest, lambda found: F.concat(found, *[prefixes(found, n) for n in forms.sizes if n < hi]))
+        return bind(longest, lambda found: F.concat(found, *[prefixes(found, n) for n in others if n < hi]))
 
     def around_at(t: Column) -> Column:
         def keys(pieces: Column) -> Column:
             def at(piece: Column, i: Column) -> Column:
                 label = F.substring(F.substring_index(F.get(pieces, i + 1), ".", 1), 1, AT_CONTEXT)
+                lengths = F.array(*[F.lit(n) for n in forms.lefts])     # AT_CONTEXT at most
                 return bind(F.right(piece, F.lit(AT_CONTEXT)), lambda left: F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(left), F.lit(1))),
-                    lambda n: F.concat(F.right(left, n), F.lit("@"), label)))
+                    F.filter(lengths, lambda n: n <= F.length(left)), lambda n: F.concat(F.right(left, n), F.lit("@"), label)))
             return F.flatten(F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), at))
         return F.when(t.contains("@"), bind(F.split(t, "@", -1), keys)).otherwise(empty_strings())
 
     def keys(t: Column) -> Column:
-        parts = ([grams(t)] if forms.sizes else []) + ([around_at(t)] if forms.emails else [])
+        parts = [shaped(t, n) for n in forms.sizes if n in shapes] + ([grams(t)] if others else []) + ([around_at(t)] if forms.emails else [])
         parts.append(F.array(F.lit(EVERY_NOTE)) if forms.every_note else empty_strings())
         return F.array_distinct(F.concat(*parts))
 
     return bind(fold_case(text), keys)
 
 
-def candidates(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str = "note_id") -> DataFrame:
-    """(note_id, reentrant, number), or step instead of number: equi-join of note keys and form keys."""
-    exploded = notes.select(note_id, F.explode(keys).alias("key"))
+def note_keys(notes: DataFrame, text: Column, forms: KeyedForms, keys_of, *columns: str) -> DataFrame:
+    """(columns, key): the keys of each note's text, at least those that a broadcast form has.
+
+    Where the word forms are broadcast, a run is put together only from a word that some form's key starts with, at
+    the sizes of those keys; a key that a text has several times may come several times.  Keys are made in a
+    projection of their own, so that the rows of the explode are compiled together with the joins.
+    """
+    if keys_of is not word_keys or not forms.broadcast:
+        return notes.select(*columns, keys_of(text, forms).alias("keys")).select(*columns, F.explode("keys").alias("key"))
+    words = word_tokens(text)
+    every = F.concat(words, F.array(F.lit(EVERY_NOTE))) if forms.every_note else words
+    each = notes.select(*columns, every.alias("words")).select(*columns, "words", F.posexplode("words").alias("at", "word"))
+    starts = forms.table.select(F.substring_index("key", " ", 1).alias("word"), F.size(F.split("key", " ")).alias("run")).distinct()
+    return each.join(F.broadcast(starts), "word").where(F.col("at") + F.col("run") <= F.size("words")).select(
+        *columns, F.when(F.col("run") == 1, F.col("word")).otherwise(
+            F.array_join(F.slice("words", F.col("at") + 1, F.col("run")), " ")).alias("key"))
+
+
+def candidates(notes: DataFrame, text: Column, forms: KeyedForms, keys_of, *columns: str) -> DataFrame:
+    """(columns, reentrant, number), or step instead of number: equi-join of note keys and form keys."""
+    columns = columns or ("note_id",)
+    exploded = note_keys(notes, text, forms, keys_of, *columns)
     if forms.broadcast:
-        return exploded.join(F.broadcast(forms.table.drop("step")), "key").select(note_id, "reentrant", "number")
+        return exploded.join(F.broadcast(forms.table.drop("step")), "key").select(*columns, "reentrant", "number")
     # Written once: most keys of a note are of no form, and the keys of all notes are many times their texts.
-    left, right = split_hot_keys(cut_lineage(keys_of_forms(exploded, forms)), forms.table, note_id)
-    return left.hint("merge").join(right, ["key", "salt"]).select(note_id, "reentrant", "step")
+    left, right = split_hot_keys(cut_lineage(keys_of_forms(exploded, forms)), forms.table, columns[0])
+    return left.hint("merge").join(right, ["key", "salt"]).select(*columns, "reentrant", "step")
 
 
 def keys_of_forms(exploded: DataFrame, forms: KeyedForms) -> DataFrame:
@@ -253,13 +305,13 @@ def with_steps(found: DataFrame, forms: KeyedForms) -> DataFrame:
     return found.join(F.broadcast(forms.table.select("number", "step")), "number").drop("number")
 
 
-def candidate_steps(notes: DataFrame, keys: Column, forms: KeyedForms, note_id: str = "note_id") -> DataFrame:
+def candidate_steps(notes: DataFrame, text: Column, forms: KeyedForms, keys_of, note_id: str = "note_id") -> DataFrame:
     """(note_id, direct, again): the steps of a note, those that can match its words and those that can match
     what other steps put in.
 
     The lists are bounded by the distinct word runs or grams of the note itself.
     """
-    found = candidates(notes, keys, forms, note_id)
+    found = candidates(notes, text, forms, keys_of, note_id)
     if forms.shared is not None:
         found = with_steps(found, forms)
         if forms.keyless is not None:       # these may be shared too
@@ -359,7 +411,7 @@ def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text"
     Notes are shuffled once, by note id and with nothing but their own columns;
     a later phase on the result finds them already in place.
     """
-    steps = candidate_steps(notes, keys_of(F.col(text), forms), forms)
+    steps = candidate_steps(notes, F.col(text), forms, keys_of)
     # Null-safe: notes without an id share the candidates of all of them, more than each needs, and none is passed over.
     steps = steps.withColumnRenamed("note_id", "steps_of")
     joined = with_context(notes.join(steps, F.col("note_id").eqNullSafe(F.col("steps_of")), "left").drop("steps_of"), text)
@@ -371,7 +423,12 @@ def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text"
 def matches(notes: DataFrame, forms: KeyedForms, keys_of, *fields: str, text: str = "text") -> DataFrame:
     """(note_id, fields of the step) for forms that occur in the unedited text; else pass_no, form and tag."""
     fields = fields or ("pass_no", "form", "tag")
-    found = with_steps(candidates(notes, keys_of(F.col(text), forms), forms).where(~F.col("reentrant")), forms)
+    if forms.broadcast:     # a key that a text has several times counts once for each note, also where notes share an id
+        row = notes.withColumn("row", F.monotonically_increasing_id())
+        found = candidates(row, F.col(text), forms, keys_of, "note_id", "row").where(~F.col("reentrant"))
+        found = with_steps(found.repartition("note_id").distinct().drop("row"), forms)
+    else:
+        found = candidates(notes, F.col(text), forms, keys_of).where(~F.col("reentrant"))
     hit = lambda step: F.regexp_count(F.col(text), step["pattern"]) > 0
     pairs = notes.select("note_id", text).join(found, "note_id").where(hit(F.col("step"))).select("note_id", "step")
     if forms.keyless is not None:
@@ -380,5 +437,5 @@ def matches(notes: DataFrame, forms: KeyedForms, keys_of, *fields: str, text: st
     return pairs.select("note_id", *[f"step.{name}" for name in fields])
 
 
-__all__ = ["KeyedForms", "word_forms", "word_keys", "value_forms", "value_keys", "candidates",
+__all__ = ["KeyedForms", "word_forms", "word_keys", "value_forms", "value_keys", "note_keys", "candidates",
            "with_steps", "candidate_steps", "fold_steps", "apply_forms", "matches", "quote_literal"]
