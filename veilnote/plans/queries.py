@@ -10,7 +10,7 @@ from ..operators import (
     codes, deidentify as d, manifest, matching as m, rosters, selection as sel, stats as st, surfaces as sf,
 )
 from ..operators.known_values import known_value_steps
-from ..session import Staging, exists, folder_of, move, scratch_path, written
+from ..session import Staging, cut_lineage, exists, folder_of, move, scratch_path, written
 from ..streaming import incremental
 from ..sources import api_pages, note_files, notes_csv, outputs, pii_dictionary, state
 from ..fixed_values import CLEAN_MARKER, LEDGER_ERROR_SUFFIX, QUARANTINE_BANNER, QUARANTINE_MARKER
@@ -454,7 +454,7 @@ def staged(spark, make: Callable[[], DataFrame]) -> DataFrame:
 
 
 def result(spark, sf_dir) -> DataFrame:
-    return staged(spark, lambda: d.deidentify(b.corpus(spark, sf_dir), b.roster(spark, sf_dir), b.staff(spark, sf_dir),
+    return staged(spark, lambda: d.deidentify(cut_lineage(b.corpus(spark, sf_dir)), b.roster(spark, sf_dir), b.staff(spark, sf_dir),
                                               surfaces_of(spark, sf_dir), cut=True))
 
 
@@ -472,13 +472,13 @@ def run_of_notes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """All notes with their error, and the results of those that are new, by all passes."""
     broken = F.col("note_id").cast("bigint") % BROKEN == 0
     bad = F.concat("note", F.unhex(F.lit("C328")).cast("string"))
-    every = sel.isolate_errors(b.notes(spark, sf_dir).select(
-        "note_id", "ref_code", "created_at", F.when(broken, bad).otherwise(F.col("note")).alias("note")))
+    every = written(sel.isolate_errors(b.notes(spark, sf_dir).select(
+        "note_id", "ref_code", "created_at", F.when(broken, bad).otherwise(F.col("note")).alias("note"))), scratch_path(spark, "every"))
     usable = every.where(F.col("error").isNull()).drop("error")
     fresh = sel.skip_processed(sel.drop_blank_notes(usable), state.scan_processed_log(log_of(spark, sf_dir)))
     columns = ("note_id", "ref_code", "is_quarantined", "quarantine_reason")
     return every, staged(spark, lambda: d.deidentify(
-        fresh, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True).select(*columns))
+        cut_lineage(fresh), b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True).select(*columns))
 
 
 def disposed(every: DataFrame, done: DataFrame) -> DataFrame:
@@ -788,7 +788,7 @@ def _(spark, sf_dir):
 def whole(spark, sf_dir) -> DataFrame:
     """Every note with a body, by all passes."""
     kept = sel.drop_blank_notes(b.notes(spark, sf_dir)).select("note_id", "ref_code", "created_at", "note")
-    return staged(spark, lambda: d.deidentify(kept, b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True))
+    return staged(spark, lambda: d.deidentify(cut_lineage(kept), b.roster(spark, sf_dir), b.staff(spark, sf_dir), surfaces_of(spark, sf_dir), cut=True))
 
 
 _WHOLE = f"""WITH {o.notes_ctes("trim(note) <> ''")},
