@@ -423,12 +423,12 @@ def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text"
 def matches(notes: DataFrame, forms: KeyedForms, keys_of, *fields: str, text: str = "text") -> DataFrame:
     """(note_id, fields of the step) for forms that occur in the unedited text; else pass_no, form and tag."""
     fields = fields or ("pass_no", "form", "tag")
-    if forms.broadcast:     # a key that a text has several times counts once for each note, also where notes share an id
+    if forms.broadcast and keys_of is word_keys:    # a key that a text has several times counts once for each note, also where notes share an id
         row = notes.withColumn("row", F.monotonically_increasing_id())
         found = candidates(row, F.col(text), forms, keys_of, "note_id", "row").where(~F.col("reentrant"))
         found = with_steps(found.repartition("note_id").distinct().drop("row"), forms)
     else:
-        found = candidates(notes, F.col(text), forms, keys_of).where(~F.col("reentrant"))
+        found = with_steps(candidates(notes, F.col(text), forms, keys_of).where(~F.col("reentrant")), forms)
     hit = lambda step: F.regexp_count(F.col(text), step["pattern"]) > 0
     pairs = notes.select("note_id", text).join(found, "note_id").where(hit(F.col("step"))).select("note_id", "step")
     if forms.keyless is not None:
