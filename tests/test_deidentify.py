@@ -231,6 +231,18 @@ def test_runs_start_at_words_of_forms(spark):
     assert found == [(1, "Ann Lee"), (1, "Jo"), (1, "Jo Ann Lee")] + [(3, "Mara Quill")] * 4
 
 
+def test_keys_of_a_text_are_made_once(spark):
+    """No filter makes the list of keys a second time, and candidates are shuffled only once on their way to their notes."""
+    steps = spark.createDataFrame([(0, "Mara Quill", "T", "L", 0)], "pass_no int, form string, tag string, label string, first_pos long")
+    words, values = matching.word_forms(steps, codes=False), value_forms_of(spark, ["01/02/1980"])
+    notes = spark.createDataFrame([(1, "Mara Quill, 01/02/1980"), (2, None), (None, "Mara Quill")], "note_id long, text string")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for forms, keys_of, made in ((words, matching.word_keys, r"\W+"), (values, matching.value_keys, "regexp_extract_all(")):
+        assert plan(matching.note_keys(notes, F.col("text"), forms, keys_of, "note_id").select("key")).count(made) == 1
+    assert plan(matching.apply_forms(notes, values, matching.value_keys)).count("Exchange hashpartitioning") == 2
+    assert [r.text for r in matching.apply_forms(notes, words, matching.word_keys).orderBy("text").collect()] == [None, "T", "T, 01/02/1980"]
+
+
 def test_hot_keys_of_nothing(spark):
     none = spark.createDataFrame([], "note_id string, key string")
     left, right = matching.split_hot_keys(none, none.select("key"))

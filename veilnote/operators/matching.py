@@ -37,6 +37,7 @@ from ..session import cut_lineage, fits_broadcast
 MAX_RUN = 3            # longer forms are keyed by their first MAX_RUN words
 GRAMS = (5, 8, 10, 12, 16)
 AT_CONTEXT = 64
+ID_PARTS = ("same_id", "no_id")
 EVERY_NOTE = ""        # key of forms that are candidates of every note
 _BLOCK = 4096          # positions of a window over the holders of one value
 _HEAVY = 256           # keys whose frequency is looked at, out of _TRACKED that the sketch holds
@@ -244,13 +245,15 @@ def note_keys(notes: DataFrame, text: Column, forms: KeyedForms, keys_of, *colum
 
     Where the word forms are broadcast, a run is put together only from a word that some form's key starts with, at
     the sizes of those keys; a key that a text has several times may come several times.  Keys are made in a
-    projection of their own, so that the rows of the explode are compiled together with the joins.
+    projection of their own, so that the rows of the explode are compiled together with the joins.  A plain explode
+    would first be given a filter on the size of the list, for which each list were made a second time.
     """
     if keys_of is not word_keys or not forms.broadcast:
-        return notes.select(*columns, keys_of(text, forms).alias("keys")).select(*columns, F.explode("keys").alias("key"))
+        return notes.select(*columns, keys_of(text, forms).alias("keys")).select(
+            *columns, F.explode_outer("keys").alias("key")).where("key is not null")
     words = word_tokens(text)
     every = F.concat(words, F.array(F.lit(EVERY_NOTE))) if forms.every_note else words
-    each = notes.select(*columns, every.alias("words")).select(*columns, "words", F.posexplode("words").alias("at", "word"))
+    each = notes.select(*columns, every.alias("words")).select(*columns, "words", F.posexplode_outer("words").alias("at", "word")).where("word is not null")
     starts = forms.table.select(F.substring_index("key", " ", 1).alias("word"), F.size(F.split("key", " ")).alias("run")).distinct()
     return each.join(F.broadcast(starts), "word").where(F.col("at") + F.col("run") <= F.size("words")).select(
         *columns, F.when(F.col("run") == 1, F.col("word")).otherwise(
@@ -305,8 +308,13 @@ def with_steps(found: DataFrame, forms: KeyedForms) -> DataFrame:
     return found.join(F.broadcast(forms.table.select("number", "step")), "number").drop("number")
 
 
+def same_id(note_id: Column) -> dict[str, Column]:
+    """Two columns that are equal, and never null, where ids are the same, missing ones too."""
+    return dict(zip(ID_PARTS, (F.coalesce(note_id.cast("string"), F.lit("")), note_id.isNull())))
+
+
 def candidate_steps(notes: DataFrame, text: Column, forms: KeyedForms, keys_of, note_id: str = "note_id") -> DataFrame:
-    """(note_id, direct, again): the steps of a note, those that can match its words and those that can match
+    """(same_id, no_id, direct, again): the steps of a note, those that can match its words and those that can match
     what other steps put in.
 
     The lists are bounded by the distinct word runs or grams of the note itself.
@@ -320,9 +328,9 @@ def candidate_steps(notes: DataFrame, text: Column, forms: KeyedForms, keys_of,
                 note_id, "k.reentrant", "k.step"))
         found = cut_lineage(found)
         found = found.unionByName(searched_again(found, forms.shared, note_id))
-    elif forms.broadcast:
-        found = with_steps(found.repartition(note_id), forms)     # numbers are shuffled, steps come after it
-    return found.groupBy(note_id).agg(
+    # Shuffled once, by what the notes are joined by later; where forms are broadcast numbers are shuffled, steps come after it.
+    found = with_steps(found.withColumns(same_id(F.col(note_id))).repartition(*ID_PARTS), forms)
+    return found.groupBy(*ID_PARTS).agg(
         F.collect_set(F.when(~F.col("reentrant"), F.col("step"))).alias("direct"),
         F.collect_set(F.when(F.col("reentrant"), F.col("step"))).alias("again"))
 
@@ -412,9 +420,9 @@ def apply_forms(notes: DataFrame, forms: KeyedForms, keys_of, text: str = "text"
     a later phase on the result finds them already in place.
     """
     steps = candidate_steps(notes, F.col(text), forms, keys_of)
-    # Null-safe: notes without an id share the candidates of all of them, more than each needs, and none is passed over.
-    steps = steps.withColumnRenamed("note_id", "steps_of")
-    joined = with_context(notes.join(steps, F.col("note_id").eqNullSafe(F.col("steps_of")), "left").drop("steps_of"), text)
+    # Notes without an id share the candidates of all of them, more than each needs, and none is passed over.
+    joined = notes.withColumns(same_id(F.col("note_id"))).join(steps, list(ID_PARTS), "left").drop(*ID_PARTS)
+    joined = with_context(joined, text)
     folded = joined.withColumn("steps", ordered_steps(forms)).withColumn("folded", fold_steps(F.col(text), F.col("steps")))
     return folded.withColumn(text, F.col("folded.text")).withColumn(
         "hits", F.concat("hits", "folded.hits")).drop("direct", "again", "steps", "folded")

@@ -730,20 +730,25 @@ def _(spark, sf_dir):
 
 # --- passes ------------------------------------------------------------------
 
+def texts(spark, sf_dir) -> DataFrame:
+    """The corpus, made once: a pass reads it for its candidates and again for its fold."""
+    return d.start(cut_lineage(b.corpus(spark, sf_dir)))
+
+
 @query("redact_participants", o.pass_sql(o.FORMS, o.word_fold("w0", "participants", "w1"), last="w1", names=("staff",)))
 def _(spark, sf_dir):
-    return shown(d.redact_words(d.start(b.corpus(spark, sf_dir)), b.roster(spark, sf_dir)))
+    return shown(d.redact_words(texts(spark, sf_dir), b.roster(spark, sf_dir)))
 
 
 @query("redact_staff", o.pass_sql(o.FORMS, o.word_fold("w0", "staff", "w1"), last="w1", names=("staff",)))
 def _(spark, sf_dir):
-    return shown(d.redact_words(d.start(b.corpus(spark, sf_dir)), None, b.staff(spark, sf_dir)))
+    return shown(d.redact_words(texts(spark, sf_dir), None, b.staff(spark, sf_dir)))
 
 
 def known_pass(kind: str):
     @query(f"redact_known_{kind}", o.pass_sql(o.value_fold("w0", kind, "w1"), last="w1"))
     def run(spark, sf_dir):
-        return shown(d.redact_known_values(d.start(b.corpus(spark, sf_dir)), b.roster(spark, sf_dir), (kind,)))
+        return shown(d.redact_known_values(texts(spark, sf_dir), b.roster(spark, sf_dir), (kind,)))
 
 
 for _kind in ("ndis", "dob", "phone", "email", "address"):
@@ -756,7 +761,7 @@ def dictionary_pass(name: str, kind: str):
     @query(name, o.pass_sql(only, o.word_fold("w0", "dictionary", "w1"), last="w1", names=("dictionary",)))
     def run(spark, sf_dir):
         mine = surfaces_of(spark, sf_dir).where(F.col("type") == kind)
-        return shown(d.redact_dictionary(d.start(b.corpus(spark, sf_dir)), mine))
+        return shown(d.redact_dictionary(texts(spark, sf_dir), mine))
 
 
 for _name, _kind in (("redact_carers", "Carer"), ("redact_extra_providers", "Provider"),
