@@ -251,6 +251,32 @@ def test_documents_are_written_as_files_by_tasks(spark, tmp_path):
     assert scan_note_files(spark, none, note_files.stored_name()).isEmpty()
 
 
+def test_local_documents_are_listed_by_tasks(spark, tmp_path):
+    """The driver holds no file of a folder; rows are those of Spark's reader, whatever the names, bytes and folders inside."""
+    names = [f"2025-01-15-PART-{k:03d}.txt" for k in range(300)] + [
+        "a b.txt", "a%20b.txt", "\u00e9#?.txt", "nl\n.txt", "\u00a0[x]{y}.txt", 'q"\\`^|<>.txt', "z\u2028\u200b.txt", "\x85\U0001f600.txt", "~!$&'()*,;=@-_+.txt",
+        "_h=1.txt", "_h.txt", ".h.txt", "UP.TXT", "_metadata.txt", "empty.txt", "other.md"]
+    for k, name in enumerate(names):
+        (tmp_path / str(k % 3)).mkdir(exist_ok=True)
+        (tmp_path / str(k % 3) / name).write_bytes(b"" if name == "empty.txt" else f"{k} \u00e9\r\n".encode() + b"\xff\x00")
+    (tmp_path / "0" / "archive").mkdir()
+    (tmp_path / "0" / "archive" / "old.txt").write_text("old")
+    folders = [str(tmp_path / str(k)) for k in range(3)]
+    shown = lambda df: sorted(map(tuple, df.selectExpr("file_name", "hex(text)").collect()))
+    reader = lambda path: spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).selectExpr("_metadata.file_name", "value AS text")
+    for path in (folders, folders[0], "file://" + folders[1], [folders[2]] * 2):
+        files = scan_note_files(spark, path)
+        assert not [f for f in files.inputFiles() if f.endswith(".txt")] and shown(files) == shown(reader(path))
+    assert len(shown(scan_note_files(spark, folders))) == 310
+    for path in (f"{folders[0]}/2025*", [f"{folders[0]}/a b.txt", f"{folders[0]}/{names[0]}"]):       # left to Spark's reader
+        assert shown(scan_note_files(spark, path)) == shown(reader(path))
+    (tmp_path / "1" / "day=3").mkdir()
+    (tmp_path / "1" / "day=3" / "in.txt").write_text("in")
+    assert shown(scan_note_files(spark, folders[1])) == shown(reader(folders[1]))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_note_files(spark, str(tmp_path / "absent"))
+
+
 def test_lines_are_read_to_the_width_of_headers(spark, tmp_path):
     """No cell of a header is left out, however it is quoted or cut into buffers, and none beyond all headers is asked for."""
     for width in (1, 2, 7, 40, 127):

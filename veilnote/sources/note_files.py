@@ -1,8 +1,11 @@
 """Per-participant text documents and page text."""
 from __future__ import annotations
 
+import os
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs
@@ -10,18 +13,99 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import NOTE_FILE_PATTERN
 from ..functions.text import py_strip
-from ..session import folder_of
+from ..session import cut_lineage, folder_of
+
+READ_BYTES = 128 * 1024 * 1024      # of files that a task reads,
+FILE_BYTES = 64 * 1024              # and what opening one counts as
+BATCH_BYTES = 4 * 1024 * 1024
+#: Characters that Spark escapes in ``_metadata.file_name``: those that a URI's path can't have.
+ESCAPED = re.compile("[^A-Za-z0-9_.!~'()*,;:$&+=/@\\-\u00a1-\U0010ffff]|[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def scan_note_files(spark: SparkSession, path: str | list[str], name: Column | None = None) -> DataFrame:
     """One row per ``*.txt`` file of a folder, not of the folders in it: name and whole text.
 
-    ``name`` gives the file's name where that isn't its own (``stored_name``).
+    ``name`` gives the file's name where that isn't its own (``stored_name``), from ``_metadata.file_name``. Files of
+    local folders are listed and read by tasks; Spark's reader would hold all of them on the driver.
     """
-    return spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(
+    files = list_note_files(spark, [path] if isinstance(path, str) else path)
+    texts = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True) if files is None else read_note_files(files)
+    return texts.select(
         (F.col("_metadata.file_name") if name is None else name.cast("string")).alias("file_name"), F.col("value").alias("text"))
 
 
+def list_note_files(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """(folder, file, size) of what a scan of local folders reads, listed once, by tasks, which see the same folders.
+
+    None for paths that are left to Spark's reader: of other file systems, which tasks can't open in Hadoop's way, single
+    files, patterns, missing folders, and folders that have partition folders (``key=value``) in them.
+    """
+    folders = []
+    for path in paths:
+        system, target = folder_of(spark, path)
+        if system.getUri().getScheme() != "file" or set(path) & set("{}[]*?\\") or not system.isDirectory(target):
+            return None
+        folders.append((system.makeQualified(target).toUri().getPath(),))
+    if not folders:
+        return None
+
+    def rows_of(folder: str) -> Iterator[tuple[str, str, int]]:
+        ahead = [folder]
+        while ahead:
+            at = ahead.pop()
+            with os.scandir(at) as entries:
+                for entry in entries:
+                    if entry.name.startswith(".") or entry.name.startswith("_") and "=" not in entry.name:
+                        continue                                # hidden
+                    if entry.is_dir():
+                        ahead.append(entry.path)
+                        if "=" in entry.name:
+                            yield folder, entry.name, -1
+                    elif at == folder and entry.name.endswith(".txt") and entry.is_file() and entry.stat().st_size > 0:
+                        yield folder, entry.name, entry.stat().st_size
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                for row in rows_of(folder):
+                    rows.append(row)
+                    if len(rows) == 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["folder", "file", "size"])
+                        rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["folder", "file", "size"])
+
+    tasks = min(len(folders), spark.sparkContext.defaultParallelism)
+    files = cut_lineage(spark.createDataFrame(folders, "folder string").repartition(tasks).mapInArrow(
+        listed, "folder string, file string, size long"))
+    return files if files.where("size < 0").isEmpty() else None
+
+
+def read_note_files(files: DataFrame) -> DataFrame:
+    """Whole texts of the files of ``list_note_files``, as Spark's reader gives them: ``value`` and ``_metadata.file_name``."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, texts, held = [], [], 0
+        for batch in batches:
+            for folder, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with open(f"{folder}/{name}", "rb") as source:
+                    texts.append(source.read())
+                names.append(ESCAPED.sub(lambda m: quote(m[0], safe=""), name))
+                held += len(texts[-1])
+                if held >= BATCH_BYTES or len(names) == 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(texts, pa.binary())], ["name", "value"])
+                    names, texts, held = [], [], 0
+        if names:
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(texts, pa.binary())], ["name", "value"])
+
+    count, size = files.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(count, max(cores, -(-(size + count * FILE_BYTES) // READ_BYTES))))
+    return files.select("folder", "file").repartition(tasks).mapInArrow(read, "name string, value binary").select(
+        F.struct(F.col("name").alias("file_name")).alias("_metadata"), F.col("value").cast("string").alias("value"))
+
+
 def write_note_files(files: DataFrame, folder: str) -> list[str]:
     """Files of (file_name, text) rows, ``name=<name>.txt`` each, a line break after each text; gives the folders they are in.
 
